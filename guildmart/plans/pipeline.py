@@ -1,0 +1,230 @@
+"""Loading feeds into the warehouse and keeping the report current."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+from datetime import date, datetime
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from guildmart.functions import month_of
+from guildmart.operators import delta
+from guildmart.operators.rekey import rekey
+from guildmart.operators.staging import REASON, build_staging, reject_reason, require_complete
+from guildmart.operators.upsert import ERROR, load_stamp, upsert
+from guildmart.plans.report import customer_report, customer_report_for
+from guildmart.schemas import (
+    CRAFTSMEN_TABLE,
+    CUSTOMERS_TABLE,
+    DIMENSIONS,
+    LOG_TABLE,
+    ORDERS_TABLE,
+    PRODUCTS_TABLE,
+    REPORT_TABLE,
+    STAGING,
+    Table,
+    conform,
+    with_text,
+)
+from guildmart.sources.warehouse import WHOLE, Snapshot, Warehouse
+
+
+@dataclass(frozen=True)
+class Policy:
+    """How a load treats conflicting, unchanged and incomplete rows."""
+
+    on_conflict: str = ERROR
+    only_if_changed: bool = False
+    strict: bool = True
+
+
+def distinct_source(staging: DataFrame, table: Table) -> DataFrame:
+    """The dimension rows contained in staging. Hash-combined per task before any shuffle."""
+    return staging.select(*table.source_cols).distinct()
+
+
+def _months(rows: DataFrame, column: str) -> list[str]:
+    """The months present, which the calendar bounds."""
+    return [row[0] for row in rows.select(column).distinct().collect()]
+
+
+def _highest(rows: DataFrame, id_col: str, before: int) -> int:
+    return max(before, rows.agg(F.max(id_col)).first()[0] or 0)
+
+
+class Load:
+    """One run: everything it reads is pinned at its start, and one commit at its end shows it."""
+
+    def __init__(
+        self,
+        warehouse: Warehouse,
+        load_ts: datetime | str,
+        as_of: date | str,
+        policy: Policy = Policy(),
+    ) -> None:
+        self.warehouse, self.policy = warehouse, policy
+        self.load_ts, self.as_of = load_ts, as_of
+        self.before: Snapshot = warehouse.snapshot()
+        self.load_id = self.before.last_load + 1
+        self.written: dict[Table, tuple[list[str], int]] = {}
+        self.current: dict[str, DataFrame] = {}
+
+    def stage(self, orders_feed: DataFrame, customers_feed: DataFrame) -> DataFrame:
+        """Write the flat table once, so that the feeds are joined once and cannot move under us."""
+        staging = build_staging(orders_feed, customers_feed)
+        if self.policy.strict:
+            staging = require_complete(staging)
+        path = self.warehouse.path("_staging", self.load_id)
+        staging.withColumn(REASON, reject_reason()).write.mode("overwrite").parquet(path)
+        written = self.warehouse.spark.read.schema(with_text(STAGING, REASON)).parquet(path)
+        return written.filter(F.col(REASON).isNull()).drop(REASON)
+
+    def _merge(
+        self, table: Table, source: DataFrame, parts: list[str], only: list[str] | None = None
+    ) -> None:
+        start = self.before.max_id(table)
+        merged = upsert(
+            self.warehouse.read(table, self.before, only),
+            source,
+            table,
+            self.load_ts,
+            on_conflict=self.policy.on_conflict,
+            only_if_changed=self.policy.only_if_changed,
+            start=F.lit(start).cast("bigint"),
+        )
+        if table.partition_col and table.partition_col not in table.schema.names:
+            month = month_of(F.col("order_created_date"))
+            merged = merged.withColumn(table.partition_col, month)
+        self._write(table, merged, parts)
+
+    def _write(self, table: Table, frame: DataFrame, parts: list[str]) -> None:
+        back = self.warehouse.write(table, self.load_id, frame)
+        highest = _highest(back, table.id_col, self.before.max_id(table))
+        self.written[table] = (parts, highest)
+        pinned = dict(self.before.parts.get(table.name, {}))
+        pinned.update(dict.fromkeys(parts, self.load_id))
+        after = Snapshot(self.load_id, {table.name: pinned}, {})
+        self.current[table.name] = self.warehouse.read(table, after)
+
+    def table(self, table: Table) -> DataFrame:
+        """The table as this run has left it so far."""
+        if table.name not in self.current:
+            self.current[table.name] = self.warehouse.read(table, self.before)
+        return self.current[table.name]
+
+    def dimensions(self, staging: DataFrame) -> None:
+        for table in DIMENSIONS:
+            self._merge(table, distinct_source(staging, table), [WHOLE])
+
+    def orders(self, staging: DataFrame) -> None:
+        """Merge into the months the batch has orders in. The date is part of the match key, so no
+        other month can hold a match."""
+        lines = rekey(
+            staging,
+            self.table(PRODUCTS_TABLE),
+            self.table(CRAFTSMEN_TABLE),
+            self.table(CUSTOMERS_TABLE),
+        )
+        months = _months(
+            staging.select(month_of(F.col("order_created_date")).alias("month")), "month"
+        )
+        if months:
+            self._merge(ORDERS_TABLE, lines, months, only=months)
+
+    def mark(self) -> Column:
+        row = delta.read_mark(self.warehouse.read(LOG_TABLE, self.before)).first()
+        return load_stamp(row.load_dttm)
+
+    def report(self) -> None:
+        """Recompute the (customer, month) pairs that changed since the mark and merge them."""
+        orders, products = self.table(ORDERS_TABLE), self.table(PRODUCTS_TABLE)
+        customers = self.table(CUSTOMERS_TABLE)
+        touched = delta.touched_months(
+            orders,
+            products,
+            self.table(CRAFTSMEN_TABLE),
+            customers,
+            self.table(REPORT_TABLE),
+            self.mark(),
+        )
+        path = self.warehouse.path("_touched", self.load_id)
+        touched.write.mode("overwrite").parquet(path)
+        touched = self.warehouse.spark.read.schema(touched.schema).parquet(path)
+        months = _months(touched, "report_period")
+        if months:
+            theirs = self._orders_of_months(months)
+            rows = customer_report_for(touched, theirs, products, customers, self.as_of)
+            self._merge(REPORT_TABLE, rows, months, only=months)
+        self._log(delta.next_mark(touched, self.load_ts))
+
+    def full_report(self) -> None:
+        """Compute every month anew, replacing the whole report."""
+        orders = self.table(ORDERS_TABLE)
+        rows = customer_report(
+            orders, self.table(PRODUCTS_TABLE), self.table(CUSTOMERS_TABLE), self.as_of
+        )
+        months = list(self._pinned(ORDERS_TABLE))
+        if months:
+            self._merge(REPORT_TABLE, rows, months, only=months)
+        stamps = [
+            self.table(table).agg(F.max("load_dttm").alias("load_dttm"))
+            for table in (ORDERS_TABLE, *DIMENSIONS)
+        ]
+        newest = stamps[0]
+        for stamp in stamps[1:]:
+            newest = newest.unionByName(stamp)
+        latest = F.coalesce(F.max("load_dttm"), load_stamp(self.load_ts))
+        self._log(newest.agg(latest.alias("load_dttm")))
+
+    def _pinned(self, table: Table) -> dict[str, int]:
+        parts = dict(self.before.parts.get(table.name, {}))
+        if table in self.written:
+            parts.update(dict.fromkeys(self.written[table][0], self.load_id))
+        return parts
+
+    def _orders_of_months(self, months: list[str]) -> DataFrame:
+        snapshot = Snapshot(self.load_id, {ORDERS_TABLE.name: self._pinned(ORDERS_TABLE)}, {})
+        return self.warehouse.read(ORDERS_TABLE, snapshot, months)
+
+    def _log(self, mark: DataFrame) -> None:
+        row = conform(mark.withColumn("id", F.lit(self.load_id).cast("bigint")), LOG_TABLE.schema)
+        self._write(LOG_TABLE, row, [str(self.load_id)])
+
+    def commit(self) -> None:
+        self.warehouse.commit(self.load_id, self.written)
+
+
+def increment(
+    warehouse: Warehouse,
+    orders_feed: DataFrame,
+    customers_feed: DataFrame,
+    load_ts: datetime | str,
+    as_of: date | str,
+    policy: Policy = Policy(),
+) -> None:
+    """Load one batch of feeds and bring the report up to date with it."""
+    load = Load(warehouse, load_ts, as_of, policy)
+    staging = load.stage(orders_feed, customers_feed)
+    load.dimensions(staging)
+    load.orders(staging)
+    load.report()
+    load.commit()
+
+
+def refresh_report(
+    warehouse: Warehouse, load_ts: datetime | str, as_of: date | str, policy: Policy = Policy()
+) -> None:
+    """Bring the report up to date with tables that were changed by other loads."""
+    load = Load(warehouse, load_ts, as_of, policy)
+    load.report()
+    load.commit()
+
+
+def rebuild(
+    warehouse: Warehouse, load_ts: datetime | str, as_of: date | str, policy: Policy = Policy()
+) -> None:
+    """Compute the whole report anew from the tables."""
+    load = Load(warehouse, load_ts, as_of, policy)
+    load.full_report()
+    load.commit()
