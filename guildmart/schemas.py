@@ -9,14 +9,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+TYPES = {
+    "bigint": T.LongType(),
+    "int": T.IntegerType(),
+    "string": T.StringType(),
+    "date": T.DateType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+    "decimal(15,2)": T.DecimalType(15, 2),
+    "decimal(10,2)": T.DecimalType(10, 2),
+    "decimal(10,1)": T.DecimalType(10, 1),
+    "decimal(3,1)": T.DecimalType(3, 1),
+}
+
+
 def _schema(*columns: str) -> T.StructType:
     """Read lines such as ``"order_id bigint"``; a trailing ``?`` marks a nullable column."""
     fields = []
     for line in columns:
         name, type_name = line.split(" ", 1)
         nullable = type_name.endswith("?")
-        data_type = T.StructType.fromDDL(f"c {type_name.rstrip('?')}")[0].dataType
-        fields.append(T.StructField(name, data_type, nullable))
+        fields.append(T.StructField(name, TYPES[type_name.rstrip("?")], nullable))
     return T.StructType(fields)
 
 
