@@ -54,13 +54,16 @@ def one_per_key(
 
 def updated(
     target: DataFrame,
-    source: DataFrame,
+    rows: DataFrame,
     table: Table,
     load_ts: datetime | str,
     only_if_changed: bool = False,
 ) -> DataFrame:
-    """Every target row, with the source's values and the load stamp where its key is matched."""
-    news = source.select(
+    """Every target row, with the new values and the load stamp where its key is matched.
+
+    ``rows`` hold at most one row per key.
+    """
+    news = rows.select(
         *(F.col(k).alias(f"_{k}") for k in table.keys),
         F.struct(*table.update_cols).alias("_new"),
     )
@@ -68,29 +71,57 @@ def updated(
     if only_if_changed:
         current = F.struct(*table.update_cols)
         matched = matched & ~F.col("_new").eqNullSafe(current)
-    on = [F.col(k) == F.col(f"_{k}") for k in table.keys]
     replaced = {c: F.when(matched, F.col(f"_new.{c}")).otherwise(F.col(c)) for c in table.update_cols}
     if "load_dttm" in table.schema.names:
         replaced["load_dttm"] = F.when(matched, load_stamp(load_ts)).otherwise(F.col("load_dttm"))
-    joined = target.join(news, on, "left")
-    return conform(joined.select(*(replaced.get(c, F.col(c)).alias(c) for c in table.schema.names)), table.schema)
+    joined = target.join(news, [F.col(k) == F.col(f"_{k}") for k in table.keys], "left")
+    columns = (replaced.get(c, F.col(c)).alias(c) for c in table.schema.names)
+    return conform(joined.select(*columns), table.schema)
 
 
 def inserted(
     target: DataFrame,
-    source: DataFrame,
+    rows: DataFrame,
     table: Table,
     load_ts: datetime | str,
     start: Column | None = None,
 ) -> DataFrame:
-    """Source rows whose key the target lacks, with new ids and the load stamp."""
-    fresh = source.join(target.select(*table.keys), list(table.keys), "left_anti")
+    """Rows whose key the target lacks, with new ids and the load stamp."""
+    fresh = rows.join(target.select(*table.keys), list(table.keys), "left_anti")
     if "load_dttm" in table.schema.names:
         fresh = fresh.withColumn("load_dttm", load_stamp(load_ts))
     first_free = highest_id(target, table.id_col) if start is None else start
     return conform(assign_ids(fresh, table.keys, table.id_col, first_free), table.schema)
 
 
+def merge_single(
+    target: DataFrame,
+    rows: DataFrame,
+    table: Table,
+    load_ts: datetime | str,
+    only_if_changed: bool = False,
+    start: Column | None = None,
+    small: bool = False,
+) -> DataFrame:
+    """New state of ``target`` after loading ``rows``, which hold at most one row per key.
+
+    A left and an anti join let either side be broadcast, which a full outer join would rule out;
+    keys are unique on both sides, so neither join can be skewed. If ``rows`` are known to be
+    ``small``, the target is not shuffled at all: it is only ever filtered by them. ``start``
+    overrides the highest id in use, for a target given in part.
+    """
+    known = target
+    if small:
+        rows = F.broadcast(rows)
+        known = target.join(rows.select(*table.keys), list(table.keys), "left_semi")
+        known = F.broadcast(known.select(*table.keys))
+    if start is None:
+        start = highest_id(target, table.id_col)
+    return updated(target, rows, table, load_ts, only_if_changed).unionByName(
+        inserted(known, rows, table, load_ts, start)
+    )
+
+
 def upsert(
     target: DataFrame,
     source: DataFrame,
@@ -98,15 +129,10 @@ def upsert(
     load_ts: datetime | str,
     on_conflict: str = ERROR,
     only_if_changed: bool = False,
-    start: Column | None = None,
 ) -> DataFrame:
-    """New state of ``target`` after loading ``source``.
+    """New state of ``target`` after loading ``source``, whose rows may repeat a key.
 
-    The left and anti joins share the two exchanges on the key, and either side may be broadcast
-    when small, which a full outer join would rule out. Keys are unique on both sides, so neither
-    join can be skewed. ``start`` overrides the highest id in use, for a target given in part.
+    The source is read for both joins: write it down first if it is costly to compute.
     """
-    single = one_per_key(source, table.keys, table.update_cols, on_conflict)
-    return updated(target, single, table, load_ts, only_if_changed).unionByName(
-        inserted(target, single, table, load_ts, start)
-    )
+    rows = one_per_key(source, table.keys, table.update_cols, on_conflict)
+    return merge_single(target, rows, table, load_ts, only_if_changed)

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from guildmart.functions import month_of
 from guildmart.operators import delta
 from guildmart.operators.rekey import rekey
+from guildmart.operators.sizing import is_small
 from guildmart.operators.staging import REASON, build_staging, reject_reason, require_complete
-from guildmart.operators.upsert import ERROR, load_stamp, upsert
+from guildmart.operators.upsert import ERROR, load_stamp, merge_single, one_per_key
 from guildmart.plans.report import customer_report, customer_report_for
 from guildmart.schemas import (
     CRAFTSMEN_TABLE,
@@ -22,10 +23,8 @@ from guildmart.schemas import (
     ORDERS_TABLE,
     PRODUCTS_TABLE,
     REPORT_TABLE,
-    STAGING,
     Table,
     conform,
-    with_text,
 )
 from guildmart.sources.warehouse import WHOLE, Snapshot, Warehouse
 
@@ -75,29 +74,37 @@ class Load:
         staging = build_staging(orders_feed, customers_feed)
         if self.policy.strict:
             staging = require_complete(staging)
-        path = self.warehouse.path("_staging", self.load_id)
-        staging.withColumn(REASON, reject_reason()).write.mode("overwrite").parquet(path)
-        written = self.warehouse.spark.read.schema(with_text(STAGING, REASON)).parquet(path)
+        written = self._kept("_staging", staging.withColumn(REASON, reject_reason()))
         return written.filter(F.col(REASON).isNull()).drop(REASON)
 
+    def _kept(self, name: str, frame: DataFrame) -> DataFrame:
+        """Write an intermediate of this load, so that its several readers compute it once."""
+        path = self.warehouse.path(name, self.load_id)
+        frame.write.mode("overwrite").parquet(path)
+        return self.warehouse.spark.read.schema(frame.schema).parquet(path)
+
     def _merge(
-        self, table: Table, source: DataFrame, parts: list[str], only: list[str] | None = None
+        self, table: Table, rows: DataFrame, parts: list[str], only: list[str] | None = None
     ) -> None:
-        start = self.before.max_id(table)
-        merged = upsert(
+        """Merge rows, at most one per key, into the table or into some of its months."""
+        rows = self._kept(f"_{table.name}_news", rows)
+        merged = merge_single(
             self.warehouse.read(table, self.before, only),
-            source,
+            rows,
             table,
             self.load_ts,
-            on_conflict=self.policy.on_conflict,
             only_if_changed=self.policy.only_if_changed,
-            start=F.lit(start).cast("bigint"),
+            start=F.lit(self.before.max_id(table)).cast("bigint"),
+            small=is_small(rows),
         )
         if table.partition_col and table.partition_col not in table.schema.names:
             month = month_of(F.col("order_created_date"))
             merged = merged.withColumn(table.partition_col, month)
         self._write(table, merged, parts)
 
+    def _single(self, table: Table, source: DataFrame) -> DataFrame:
+        return one_per_key(source, table.keys, table.update_cols, self.policy.on_conflict)
+
     def _write(self, table: Table, frame: DataFrame, parts: list[str]) -> None:
         back = self.warehouse.write(table, self.load_id, frame)
         highest = _highest(back, table.id_col, self.before.max_id(table))
@@ -115,7 +122,7 @@ class Load:
 
     def dimensions(self, staging: DataFrame) -> None:
         for table in DIMENSIONS:
-            self._merge(table, distinct_source(staging, table), [WHOLE])
+            self._merge(table, self._single(table, distinct_source(staging, table)), [WHOLE])
 
     def orders(self, staging: DataFrame) -> None:
         """Merge into the months the batch has orders in. The date is part of the match key, so no
@@ -130,7 +137,7 @@ class Load:
             staging.select(month_of(F.col("order_created_date")).alias("month")), "month"
         )
         if months:
-            self._merge(ORDERS_TABLE, lines, months, only=months)
+            self._merge(ORDERS_TABLE, self._single(ORDERS_TABLE, lines), months, only=months)
 
     def mark(self) -> Column:
         row = delta.read_mark(self.warehouse.read(LOG_TABLE, self.before)).first()
@@ -148,9 +155,7 @@ class Load:
             self.table(REPORT_TABLE),
             self.mark(),
         )
-        path = self.warehouse.path("_touched", self.load_id)
-        touched.write.mode("overwrite").parquet(path)
-        touched = self.warehouse.spark.read.schema(touched.schema).parquet(path)
+        touched = self._kept("_touched", touched)
         months = _months(touched, "report_period")
         if months:
             theirs = self._orders_of_months(months)
