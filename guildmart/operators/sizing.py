@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 1_000_000
 
 
-def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``rows`` rows. Stops reading once it has seen more."""
+def is_small(df: DataFrame, rows: int | None = None) -> bool:
+    """Whether ``df`` has at most ``rows`` rows (BROADCAST_ROWS by default). Stops reading once it has seen more."""
+    rows = BROADCAST_ROWS if rows is None else rows
     return df.limit(rows + 1).count() <= rows
 
 
-def broadcast_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+def broadcast_small(df: DataFrame, rows: int | None = None) -> DataFrame:
     """Hint a broadcast if the frame is small, else leave the join strategy to the optimizer."""
     return F.broadcast(df) if is_small(df, rows) else df

@@ -1,0 +1,139 @@
+from __future__ import annotations
+
+from datetime import date
+from decimal import Decimal
+
+import duckdb
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from guildmart.functions import (
+    building,
+    commission,
+    days_between,
+    mean_price,
+    month_of,
+    street,
+    whole_years,
+    word,
+)
+from guildmart.schemas import REPORT, conform
+
+
+def value(spark, column):
+    return spark.range(1).select(column.alias("v")).first().v
+
+
+@pytest.mark.parametrize(
+    ("name", "first", "second"),
+    [
+        ("Ann", "Ann", None),
+        ("Ann Lee Ray", "Ann", "Lee"),
+        (" Ann Lee", "", "Ann"),
+        ("Ann \t Lee ", "Ann", "Lee"),
+        ("", "", None),
+        (None, None, None),
+    ],
+)
+def test_words(spark, name, first, second):
+    text = F.lit(name).cast("string")
+    assert (value(spark, word(text, 1)), value(spark, word(text, 2))) == (first, second)
+
+
+@pytest.mark.parametrize(
+    ("address", "number", "road"),
+    [
+        ("Main St", None, "Main St"),
+        ("Main St 4", 4, "Main St "),
+        ("12 Main St 4", 12, "Main St "),
+        ("12 Улица", 12, None),
+        ("12 A", 12, None),
+        ("12 A Road", 12, "A Road"),
+        ("2 MIDDLE EAST Street 19", 2, "MIDDLE EAST Street "),
+        ("", None, None),
+        (None, None, None),
+    ],
+)
+def test_address(spark, address, number, road):
+    text = F.lit(address).cast("string")
+    assert (value(spark, building(text)), value(spark, street(text))) == (number, road)
+
+
+def test_building_that_does_not_fit_is_an_error(spark):
+    with pytest.raises(PySparkException):
+        value(spark, building(F.lit("99999999999 Main")))
+
+
+def _day(text):
+    return F.lit(text).cast("date")
+
+
+@pytest.mark.parametrize(
+    ("born", "as_of", "age"),
+    [
+        ("2004-02-29", "2023-02-28", 18),
+        ("2004-02-29", "2023-03-01", 19),
+        ("1950-06-15", "2024-06-14", 73),
+        ("1950-06-15", "2024-06-15", 74),
+        ("2024-06-15", "2023-07-01", 0),
+        ("2024-06-15", "2023-06-15", -1),
+        (None, "2024-06-15", None),
+    ],
+)
+def test_whole_years(spark, born, as_of, age):
+    assert value(spark, whole_years(_day(born), _day(as_of))) == age
+
+
+def test_whole_years_equals_the_sql_function_on_many_days(spark):
+    days = spark.sql(
+        "select d as born, a as as_of from (select explode(sequence(date'1999-12-20', "
+        "date'2005-03-10')) d) cross join (select explode(sequence(date'2003-02-20', "
+        "date'2004-03-05')) a)"
+    )
+    ours = {(r.born, r.as_of, r.age) for r in days.withColumn(
+        "age", whole_years(F.col("born"), F.col("as_of"))).collect()}
+    theirs = duckdb.sql(
+        "select d::date, a::date, date_part('year', age(a, d))::int "
+        "from generate_series(timestamp '1999-12-20', timestamp '2005-03-10', interval 1 day) t(d), "
+        "generate_series(timestamp '2003-02-20', timestamp '2004-03-05', interval 1 day) u(a)"
+    ).fetchall()
+    assert ours == set(theirs)
+
+
+def test_days_and_month(spark):
+    assert value(spark, days_between(_day("2024-02-28"), _day("2024-03-01"))) == 2
+    assert value(spark, days_between(_day("2024-02-28"), _day(None))) is None
+    assert value(spark, month_of(_day("2024-02-28"))) == "2024-02"
+
+
+def test_commission_is_rounded_half_up(spark):
+    for total, share in ((125, 13), (124, 12), (-125, -13)):
+        assert value(spark, commission(F.lit(total).cast("bigint"))) == share
+
+
+def test_mean_price_is_exact(spark):
+    total, count = F.lit(10).cast("bigint"), F.lit(3).cast("bigint")
+    assert value(spark, mean_price(total, count)) == Decimal("3.33")
+
+
+def test_conform_rounds_into_integers_and_refuses_what_does_not_fit(spark):
+    frame = spark.range(1).select(
+        *(
+            F.lit(Decimal("12.5")).alias(f.name)
+            if f.name == "platform_money"
+            else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in REPORT.fields
+        )
+    )
+    assert conform(frame, REPORT).first().platform_money == 13
+    assert conform(frame.withColumn("unknown", F.lit(1)), REPORT).columns == REPORT.names
+    too_old = frame.withColumn("avg_age_customer", F.lit(100))
+    with pytest.raises(PySparkException):
+        conform(too_old, REPORT).collect()
+    with pytest.raises(ValueError, match="report_period"):
+        conform(frame.drop("report_period"), REPORT)
+
+
+def test_age_of_today_is_a_plain_number(spark):
+    assert value(spark, whole_years(_day(str(date.today())), F.current_date())) == 0

@@ -1,0 +1,135 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from guildmart.operators.keys import BUCKETS, assign_ids
+from guildmart.operators.upsert import KEEP_FIRST, merge_single, one_per_key, upsert
+from guildmart.schemas import PRODUCTS, PRODUCTS_TABLE, empty
+from tests.samples import LATER, STAMP
+
+KEYS = "product_name string, product_description string, product_price bigint"
+SOURCE = f"{KEYS}, product_type string"
+
+
+def source(spark, *rows):
+    return spark.createDataFrame(list(rows), SOURCE)
+
+
+def load(spark, target, *rows, **options):
+    return upsert(target, source(spark, *rows), PRODUCTS_TABLE, LATER, **options)
+
+
+def first_load(spark, *rows):
+    return upsert(empty(spark, PRODUCTS), source(spark, *rows), PRODUCTS_TABLE, STAMP)
+
+
+def state(df):
+    return sorted(
+        ((r.product_name, r.product_price, r.product_type, r.load_dttm) for r in df.collect()),
+        key=str,
+    )
+
+
+def test_matched_rows_are_updated_and_others_inserted(spark):
+    before = first_load(spark, ("cup", "blue", 5, "mugs"), ("hat", "red", 9, "hats"))
+    after = load(spark, before, ("cup", "blue", 5, "cups"), ("cup", "blue", 6, "cups"))
+    assert state(after) == [
+        ("cup", 5, "cups", LATER),
+        ("cup", 6, "cups", LATER),
+        ("hat", 9, "hats", STAMP),
+    ]
+
+
+def test_ids_survive_and_stay_unique(spark):
+    before = first_load(spark, *((f"p{n}", "d", n, "t") for n in range(200)))
+    after = load(spark, before, *((f"p{n}", "d", n, "u") for n in range(100, 300)))
+    old = {r.product_name: r.product_id for r in before.collect()}
+    new = {r.product_name: r.product_id for r in after.collect()}
+    assert len(set(new.values())) == 300
+    assert {name: new[name] for name in old} == old
+    assert min(i for name, i in new.items() if name not in old) > max(old.values())
+
+
+def test_ids_depend_on_the_rows_alone(spark):
+    rows = spark.range(5000).select(F.col("id").cast("string").alias("k"))
+    once = assign_ids(rows.repartition(3), ["k"], "n", F.lit(10).cast("bigint"))
+    again = assign_ids(rows.repartition(7), ["k"], "n", F.lit(10).cast("bigint"))
+    assert sorted(once.collect()) == sorted(again.collect())
+    assert once.select("n").distinct().count() == 5000
+    assert once.agg(F.min("n")).first()[0] > 10
+    assert once.agg(F.max("n")).first()[0] <= 10 + 3 * BUCKETS
+
+
+def test_rows_in_one_bucket_get_different_ids(spark):
+    rows = spark.createDataFrame([(None, n) for n in range(50)], "k string, v int")
+    numbers = assign_ids(rows, ["k"], "n", F.lit(0).cast("bigint"))
+    assert numbers.select("n").distinct().count() == 50
+
+
+def test_conflicting_source_rows_fail_by_default(spark):
+    with pytest.raises(PySparkException, match="several source rows for one key"):
+        load(
+            spark,
+            empty(spark, PRODUCTS),
+            ("cup", "blue", 5, "mugs"),
+            ("cup", "blue", 5, "cups"),
+        ).collect()
+
+
+def test_equal_source_rows_are_no_conflict(spark):
+    row = ("cup", "blue", 5, "mugs")
+    assert load(spark, empty(spark, PRODUCTS), row, row, row).count() == 1
+
+
+def test_the_first_of_conflicting_rows_can_be_kept(spark):
+    rows = [("cup", "blue", 5, kind) for kind in ("mugs", "cups", "tea")]
+    after = load(spark, empty(spark, PRODUCTS), *rows, on_conflict=KEEP_FIRST)
+    assert state(after) == [("cup", 5, "cups", LATER)]
+
+
+def test_an_unknown_policy_is_refused(spark):
+    with pytest.raises(ValueError, match="unknown conflict policy"):
+        load(spark, empty(spark, PRODUCTS), on_conflict="guess")
+
+
+def test_null_keys_match_nothing(spark):
+    before = first_load(spark, (None, "blue", 5, "mugs"))
+    after = load(spark, before, (None, "blue", 5, "mugs"), (None, "blue", 5, "cups"))
+    assert state(after) == sorted(
+        [
+            (None, 5, "mugs", STAMP),
+            (None, 5, "mugs", LATER),
+            (None, 5, "cups", LATER),
+        ],
+        key=str,
+    )
+
+
+def test_unchanged_rows_can_keep_their_stamp(spark):
+    before = first_load(spark, ("cup", "blue", 5, "mugs"), ("hat", "red", 9, "hats"))
+    rows = (("cup", "blue", 5, "mugs"), ("hat", "red", 9, "caps"))
+    assert state(load(spark, before, *rows, only_if_changed=True)) == [
+        ("cup", 5, "mugs", STAMP),
+        ("hat", 9, "caps", LATER),
+    ]
+    assert {r[3] for r in state(load(spark, before, *rows))} == {LATER}
+
+
+def test_a_small_source_gives_the_same_without_shuffling_the_target(spark):
+    before = first_load(spark, *((f"p{n}", "d", n, "t") for n in range(50)))
+    rows = one_per_key(
+        source(spark, *((f"p{n}", "d", n, "u") for n in range(40, 60))),
+        PRODUCTS_TABLE.keys,
+        PRODUCTS_TABLE.update_cols,
+    )
+    start = F.lit(10**9).cast("bigint")
+    plain = merge_single(before, rows, PRODUCTS_TABLE, LATER, start=start)
+    small = merge_single(before, rows, PRODUCTS_TABLE, LATER, start=start, small=True)
+    assert sorted(plain.collect()) == sorted(small.collect())
+
+
+def test_an_empty_source_changes_nothing(spark):
+    before = first_load(spark, ("cup", "blue", 5, "mugs"))
+    assert load(spark, before).collect() == before.collect()
