@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -121,9 +122,14 @@ class Load:
         return self.current[table.name]
 
     def dimensions(self, staging: DataFrame) -> None:
-        for table in DIMENSIONS:
+        """Merge the three dimensions, which do not depend on each other, side by side."""
+
+        def merge(table: Table) -> None:
             self._merge(table, self._single(table, distinct_source(staging, table)), [WHOLE])
 
+        with ThreadPoolExecutor(len(DIMENSIONS)) as pool:
+            list(pool.map(merge, DIMENSIONS))
+
     def orders(self, staging: DataFrame) -> None:
         """Merge into the months the batch has orders in. The date is part of the match key, so no
         other month can hold a match."""
