@@ -1,20 +1,35 @@
-"""Broadcast only what was counted to be small."""
+"""Broadcast only what was measured to be small."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Narrow key rows; at some 50 bytes each this stays near 50 MB per executor.
-BROADCAST_ROWS = 1_000_000
+# Largest frame to broadcast, and what a value takes in it apart from its text.
+BROADCAST_BYTES = 64 * 1024 * 1024
+VALUE_BYTES = 16
 
 
-def is_small(df: DataFrame, rows: int | None = None) -> bool:
-    """Whether ``df`` has at most ``rows`` rows (BROADCAST_ROWS by default). Stops reading once it has seen more."""
-    rows = BROADCAST_ROWS if rows is None else rows
-    return df.limit(rows + 1).count() <= rows
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes the frame takes in memory: its text as it is and a flat amount per value.
 
+    One pass that aggregates on the executors. Meant for filtered scans and written frames; the
+    rest of a costly plan would be computed for this alone.
+    """
+    text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    lengths = [F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c in text]
+    total = F.count(F.lit(1)) * (VALUE_BYTES * len(df.columns))
+    for length in lengths:
+        total = total + length
+    return df.agg(total.alias("bytes")).first().bytes
 
-def broadcast_small(df: DataFrame, rows: int | None = None) -> DataFrame:
+
+def is_small(df: DataFrame, limit: int | None = None) -> bool:
+    """Whether the frame takes at most ``limit`` bytes (BROADCAST_BYTES by default)."""
+    return measured_bytes(df) <= (BROADCAST_BYTES if limit is None else limit)
+
+
+def broadcast_small(df: DataFrame, limit: int | None = None) -> DataFrame:
     """Hint a broadcast if the frame is small, else leave the join strategy to the optimizer."""
-    return F.broadcast(df) if is_small(df, rows) else df
+    return F.broadcast(df) if is_small(df, limit) else df

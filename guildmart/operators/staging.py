@@ -28,11 +28,11 @@ def split_person(feed: DataFrame, kind: str) -> DataFrame:
 def build_staging(orders_feed: DataFrame, customers_feed: DataFrame) -> DataFrame:
     """One row per order line whose customer is known.
 
-    Customers are parsed before the join, once per customer and not once per order line.
+    Customers are parsed before the join, once each and not once per order line; craftsmen after
+    it, so that only their raw text is shuffled.
     """
-    orders = split_person(orders_feed, "craftsman")
-    customers = split_person(customers_feed, "customer")
-    return conform(orders.join(customers, "customer_id"), STAGING)
+    lines = orders_feed.join(split_person(customers_feed, "customer"), "customer_id")
+    return conform(split_person(lines, "craftsman"), STAGING)
 
 
 def _required() -> list[str]:

@@ -202,8 +202,8 @@ class Load:
         row = conform(mark.withColumn("id", F.lit(self.load_id).cast("bigint")), LOG_TABLE.schema)
         self._write(LOG_TABLE, row, [str(self.load_id)])
 
-    def commit(self) -> None:
-        self.warehouse.commit(self.load_id, self.written)
+    def commit(self, marks: dict[str, int] | None = None) -> None:
+        self.warehouse.commit(self.load_id, self.written, marks)
 
 
 def increment(
@@ -213,6 +213,7 @@ def increment(
     load_ts: datetime | str,
     as_of: date | str,
     policy: Policy = Policy(),
+    marks: dict[str, int] | None = None,
 ) -> None:
     """Load one batch of feeds and bring the report up to date with it."""
     load = Load(warehouse, load_ts, as_of, policy)
@@ -220,7 +221,7 @@ def increment(
     load.dimensions(staging)
     load.orders(staging)
     load.report()
-    load.commit()
+    load.commit(marks)
 
 
 def refresh_report(

@@ -20,10 +20,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _placed(spark: SparkSession, sf_dir: str, rows: DataFrame, nation_key: str) -> DataFrame:
+    """Add nation and region, each a fixed few rows, one after the other."""
     nation, region = _table(spark, sf_dir, "nation"), _table(spark, sf_dir, "region")
-    return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-        "n_nationkey", "r_name"
+    return rows.join(nation, rows[nation_key] == nation.n_nationkey).join(
+        region, nation.n_regionkey == region.r_regionkey
     )
 
 
@@ -35,18 +36,15 @@ def derived_customers_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers feed made from customer, nation and region."""
     key = F.col("c_custkey")
     building = (key % 97 + 1).cast("string")
-    feed = (
-        _table(spark, sf_dir, "customer")
-        .join(_places(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(
-            key.alias("customer_id"),
-            F.concat_ws(" ", "c_mktsegment", "c_name").alias("customer_name"),
-            F.concat(building, F.lit(" "), F.col("r_name"), F.lit(" Street "), _text("c_nationkey"))
-            .alias("customer_address"),
-            F.date_add(F.lit("1950-01-01").cast("date"), (key * 37 % 18000).cast("int"))
-            .alias("customer_birthday"),
-            F.concat(F.lower("c_name"), F.lit("@example.com")).alias("customer_email"),
-        )
+    people = _placed(spark, sf_dir, _table(spark, sf_dir, "customer"), "c_nationkey")
+    feed = people.select(
+        key.alias("customer_id"),
+        F.concat_ws(" ", "c_mktsegment", "c_name").alias("customer_name"),
+        F.concat(building, F.lit(" "), F.col("r_name"), F.lit(" Street "), _text("c_nationkey"))
+        .alias("customer_address"),
+        F.date_add(F.lit("1950-01-01").cast("date"), (key * 37 % 18000).cast("int"))
+        .alias("customer_birthday"),
+        F.concat(F.lower("c_name"), F.lit("@example.com")).alias("customer_email"),
     )
     return conform(feed, CUSTOMERS_FEED)
 
@@ -61,14 +59,14 @@ def derived_orders_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("l_linestatus") == "O", "created")
         .otherwise("in progress")
     )
-    masters = _table(spark, sf_dir, "supplier").join(
-        _places(spark, sf_dir), F.col("s_nationkey") == F.col("n_nationkey")
-    )
-    feed = (
+    lines = (
         _table(spark, sf_dir, "lineitem")
         .join(_table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(_table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(masters, F.col("l_suppkey") == supplier_key)
+        .join(_table(spark, sf_dir, "supplier"), F.col("l_suppkey") == supplier_key)
+    )
+    feed = (
+        _placed(spark, sf_dir, lines, "s_nationkey")
         .select(
             (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
             supplier_key.alias("craftsman_id"),

@@ -50,8 +50,8 @@ def test_touched_months_are_those_of_the_changed_orders(spark, sf_dir, monkeypat
     loaded = tables.orders.filter(F.col("load_dttm") <= mark)
     report = customer_report(loaded, tables.products, tables.customers, AS_OF)
     expected = _pairs(delta.changed_orders(tables.orders, *tables.dims(), mark))
-    for limit in (sizing.BROADCAST_ROWS, 0):
-        monkeypatch.setattr(sizing, "BROADCAST_ROWS", limit)
+    for limit in (sizing.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(sizing, "BROADCAST_BYTES", limit)
         touched = delta.touched_months(tables.orders, *tables.dims(), report, mark)
         assert _pairs(touched) == expected
         assert touched.count() == len(expected)

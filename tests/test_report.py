@@ -153,10 +153,10 @@ def test_report_equals_brute_force(spark, seed):
     assert {tuple(r) for r in frame.select(*FIGURES).collect()} == brute_force(rows, prices)
 
 
-@pytest.mark.parametrize("limit", [0, sizing.BROADCAST_ROWS])
+@pytest.mark.parametrize("limit", [0, sizing.BROADCAST_BYTES])
 def test_report_of_touched_months_is_a_part_of_the_whole(spark, monkeypatch, limit):
     """Both ways of matching the touched months: after the aggregation and by broadcast."""
-    monkeypatch.setattr(sizing, "BROADCAST_ROWS", limit)
+    monkeypatch.setattr(sizing, "BROADCAST_BYTES", limit)
     rows, prices = random_case(4)
     tables = orders(spark, *rows), products(spark, prices), customers(spark, *range(1, 13))
     whole = R.customer_report(*tables, AS_OF).collect()
