@@ -1,10 +1,10 @@
 """The customer report: one row per customer and calendar month.
 
-Three aggregations of the order lines make it: measures with the median, orders per category and
-orders per craftsman, the latter two followed by a top-1. Each combines rows before its shuffle and
-counts per category or craftsman are spread over tasks by that key too, so a customer and month
-holding a third of all orders is no hot spot. The median keeps one counter per distinct number of
-days, which the calendar bounds. The three meet on (customer, month), by which their results are
+Three aggregations of the order lines make it: sums per category, orders per craftsman and the
+median of the days to completion. Each combines rows before its shuffle, and categories and
+craftsmen are spread over tasks by their own key too before the best is taken, so a customer and
+month holding a third of all orders is no hot spot. The median keeps one counter per distinct number
+of days, which the calendar bounds. The three meet on (customer, month), by which their results are
 already partitioned, and customers join last, on rows that are aggregated.
 
 Orders must satisfy their foreign keys (``operators.quality.orphans`` finds those that do not).
@@ -171,12 +171,25 @@ def report_as_written(lines: DataFrame) -> DataFrame:
 
 
 def monthly_figures(orders: DataFrame, products: DataFrame) -> DataFrame:
-    """All figures per customer and month: measures, median and the two top entries."""
-    lines = order_lines(orders, products)
-    measures = lines.groupBy(*GROUP).agg(*sums(), median_days()).withColumns(price_columns())
-    category = top_category(lines).drop("count_product")
-    craftsman = top_craftsman(order_months(orders)).drop("count_product")
-    return measures.join(category, list(GROUP)).join(craftsman, list(GROUP))
+    """All figures per customer and month: measures, median and the two top entries.
+
+    Sums are taken per category first, from which both the totals and the top category follow, so
+    that orders meet products once. Median and craftsman need no product.
+    """
+    totals = ["total", "priced", "count_order", *STATUSES, "count_order_not_done"]
+    most_ordered = F.min(F.struct(-F.col("count_order"), F.col("product_type").alias("value")))
+    measures = (
+        order_lines(orders, products)
+        .groupBy(*GROUP, "product_type")
+        .agg(*sums())
+        .groupBy(*GROUP)
+        .agg(*(F.sum(c).alias(c) for c in totals), most_ordered.alias("_most_ordered"))
+        .withColumns({**price_columns(), "top_product_category": F.col("_most_ordered.value")})
+    )
+    months = order_months(orders)
+    craftsman = top_craftsman(months).drop("count_product")
+    median = median_completion(months.filter(F.col("days").isNotNull()))
+    return measures.join(craftsman, list(GROUP)).join(median, list(GROUP), "left")
 
 
 def with_customers(figures: DataFrame, customers: DataFrame, as_of: date | str) -> DataFrame:
