@@ -110,14 +110,14 @@ def merge_single(
     ``small``, the target is not shuffled at all: it is only ever filtered by them. ``start``
     overrides the highest id in use, for a target given in part.
     """
-    known = target
+    news, known = rows, target
     if small:
-        rows = F.broadcast(rows)
-        known = target.join(rows.select(*table.keys), list(table.keys), "left_semi")
-        known = F.broadcast(known.select(*table.keys))
+        news = F.broadcast(rows)
+        matched = target.join(news.select(*table.keys), list(table.keys), "left_semi")
+        known = F.broadcast(matched.select(*table.keys))
     if start is None:
         start = highest_id(target, table.id_col)
-    return updated(target, rows, table, load_ts, only_if_changed).unionByName(
+    return updated(target, news, table, load_ts, only_if_changed).unionByName(
         inserted(known, rows, table, load_ts, start)
     )
 

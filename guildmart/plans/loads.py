@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import UTC, date, datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,17 +54,22 @@ def _highest(rows: DataFrame, id_col: str, before: int) -> int:
 
 
 class Load:
-    """One run: everything it reads is pinned at its start, and one commit at its end shows it."""
+    """One run: everything it reads is pinned at its start, and one commit at its end shows it.
+
+    ``load_ts`` stamps all rows it changes, now (UTC) by default, and ages are counted at ``as_of``,
+    by default the day of the stamp. Loads of one warehouse must follow one another.
+    """
 
     def __init__(
         self,
         warehouse: Warehouse,
-        load_ts: datetime | str,
-        as_of: date | str,
+        load_ts: datetime | str | None = None,
+        as_of: date | str | None = None,
         policy: Policy = Policy(),
     ) -> None:
         self.warehouse, self.policy = warehouse, policy
-        self.load_ts, self.as_of = load_ts, as_of
+        self.load_ts = load_ts or datetime.now(UTC).replace(tzinfo=None)
+        self.as_of = as_of or str(self.load_ts)[:10]
         self.before: Snapshot = warehouse.snapshot()
         self.load_id = self.before.last_load + 1
         self.written: dict[Table, tuple[list[str], int]] = {}
@@ -210,8 +215,8 @@ def increment(
     warehouse: Warehouse,
     orders_feed: DataFrame,
     customers_feed: DataFrame,
-    load_ts: datetime | str,
-    as_of: date | str,
+    load_ts: datetime | str | None = None,
+    as_of: date | str | None = None,
     policy: Policy = Policy(),
     marks: dict[str, int] | None = None,
 ) -> None:
@@ -225,7 +230,10 @@ def increment(
 
 
 def refresh_report(
-    warehouse: Warehouse, load_ts: datetime | str, as_of: date | str, policy: Policy = Policy()
+    warehouse: Warehouse,
+    load_ts: datetime | str | None = None,
+    as_of: date | str | None = None,
+    policy: Policy = Policy(),
 ) -> None:
     """Bring the report up to date with tables that were changed by other loads."""
     load = Load(warehouse, load_ts, as_of, policy)
@@ -234,7 +242,10 @@ def refresh_report(
 
 
 def rebuild(
-    warehouse: Warehouse, load_ts: datetime | str, as_of: date | str, policy: Policy = Policy()
+    warehouse: Warehouse,
+    load_ts: datetime | str | None = None,
+    as_of: date | str | None = None,
+    policy: Policy = Policy(),
 ) -> None:
     """Compute the whole report anew from the tables."""
     load = Load(warehouse, load_ts, as_of, policy)

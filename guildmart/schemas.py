@@ -43,6 +43,8 @@ def _person(kind: str) -> list[str]:
     ]
 
 
+# Names, order, types and nullability of all columns.
+
 ORDERS_FEED = _schema(
     "id bigint?",
     "craftsman_id bigint?",

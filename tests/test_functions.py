@@ -86,11 +86,11 @@ def test_whole_years(spark, born, as_of, age):
 
 
 def test_whole_years_equals_the_sql_function_on_many_days(spark):
-    days = spark.sql(
-        "select d as born, a as as_of from (select explode(sequence(date'1999-12-20', "
-        "date'2005-03-10')) d) cross join (select explode(sequence(date'2003-02-20', "
-        "date'2004-03-05')) a)"
-    )
+    def day(first, last):
+        return F.explode(F.sequence(_day(first), _day(last)))
+
+    days = spark.range(1).select(day("1999-12-20", "2005-03-10").alias("born"))
+    days = days.select("born", day("2003-02-20", "2004-03-05").alias("as_of"))
     ours = {(r.born, r.as_of, r.age) for r in days.withColumn(
         "age", whole_years(F.col("born"), F.col("as_of"))).collect()}
     theirs = duckdb.sql(
