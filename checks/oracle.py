@@ -203,15 +203,13 @@ def merged(target: str, rows: str, id_col: str, keys: list[str], values: list[st
         from ({numbered(fresh, keys, id_col, f"(select max({id_col}) from {target})")})"""
 
 
-def _merge_query(
-    source: str, id_col: str, keys: list[str], values: list[str], renewed: str
-) -> str:
+def _merge_query(id_col: str, keys: list[str], values: list[str], renewed: str) -> str:
     """First batch loaded, second batch merged; ``renewed`` is what the second one changes."""
     early = f"(select * from staging where order_created_date < {SPLIT})"
     late = f"""(select distinct {_columns(keys)}, {_columns(values)} from
                (select * replace ({renewed}) from staging where order_created_date >= {SPLIT}))"""
     views = loaded("target", early, id_col, keys, values)
-    return _with(merged("target", late, id_col, keys, values), "staging", **views)
+    return _with(merged("target", late, id_col, keys, values), **views)
 
 
 def _needed(sql: str, views: dict[str, str]) -> list[str]:
@@ -231,9 +229,9 @@ def _words(text: str) -> list[str]:
     return "".join(c if c.isalnum() or c == "_" else " " for c in text).split()
 
 
-def _with(sql: str, *roots: str, **extra: str) -> str:
+def _with(sql: str, **extra: str) -> str:
     views = {**VIEWS, **extra}
-    names = _needed(" ".join([sql, *roots]), views)
+    names = _needed(sql, views)
     return "with " + ",\n".join(f"{n} as ({views[n]})" for n in names) + f"\nselect * from ({sql})"
 
 
@@ -291,19 +289,11 @@ AS_WRITTEN = f"""
             from ({TIES}) t join ({MASTERS}) k using (customer_id) group by customer_id) f
         using (customer_id)"""
 
-ADDRESSED = ", ".join(["craftsman_id", *CRAFTSMAN_KEYS])
-
-
-def _increment() -> str:
-    views = {
-        **loaded("d_products", "staging", "product_id", PRODUCT_KEYS, ["product_type"]),
-        **loaded("d_craftsmen", "staging", "craftsman_id", CRAFTSMAN_KEYS, CRAFTSMAN_VALUES),
-        **loaded("d_customers", "staging", "customer_id", CUSTOMER_KEYS, CUSTOMER_VALUES),
-    }
-    return views
-
-
-DIM_VIEWS = _increment()
+DIM_VIEWS = {
+    **loaded("d_products", "staging", "product_id", PRODUCT_KEYS, ["product_type"]),
+    **loaded("d_craftsmen", "staging", "craftsman_id", CRAFTSMAN_KEYS, CRAFTSMAN_VALUES),
+    **loaded("d_customers", "staging", "customer_id", CUSTOMER_KEYS, CUSTOMER_VALUES),
+}
 REKEYED = f"""
     select d.product_id, c.craftsman_id, u.customer_id, order_created_date,
       order_completion_date, order_status
@@ -416,15 +406,15 @@ ORACLE: dict[str, str] = {
         )
     ),
     "merge_products": _merge_query(
-        "products", "product_id", PRODUCT_KEYS, ["product_type"],
+        "product_id", PRODUCT_KEYS, ["product_type"],
         "lower(product_type) as product_type",
     ),
     "merge_craftsmen": _merge_query(
-        "craftsmen", "craftsman_id", CRAFTSMAN_KEYS, CRAFTSMAN_VALUES,
+        "craftsman_id", CRAFTSMAN_KEYS, CRAFTSMAN_VALUES,
         "upper(craftsman_address_street) as craftsman_address_street",
     ),
     "merge_customers": _merge_query(
-        "customers", "customer_id", CUSTOMER_KEYS, CUSTOMER_VALUES,
+        "customer_id", CUSTOMER_KEYS, CUSTOMER_VALUES,
         "customer_address_building + 100 as customer_address_building",
     ),
     "merge_orders": _with(

@@ -6,7 +6,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import UTC, date, datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from guildmart.functions import month_of
@@ -57,7 +57,8 @@ class Load:
     """One run: everything it reads is pinned at its start, and one commit at its end shows it.
 
     ``load_ts`` stamps all rows it changes, now (UTC) by default, and ages are counted at ``as_of``,
-    by default the day of the stamp. Loads of one warehouse must follow one another.
+    by default the day of the stamp. Loads of one warehouse must follow one another, with growing
+    stamps: what carries the last load's stamp counts as reported.
     """
 
     def __init__(
@@ -72,11 +73,17 @@ class Load:
         self.as_of = as_of or str(self.load_ts)[:10]
         self.before: Snapshot = warehouse.snapshot()
         self.load_id = self.before.last_load + 1
+        self.mark = self._last_mark()
         self.written: dict[Table, tuple[list[str], int]] = {}
         self.current: dict[str, DataFrame] = {}
 
+    def _last_mark(self) -> datetime:
+        return delta.read_mark(self.warehouse.read(LOG_TABLE, self.before)).first().load_dttm
+
     def stage(self, orders_feed: DataFrame, customers_feed: DataFrame) -> DataFrame:
         """Write the flat table once, so that the feeds are joined once and cannot move under us."""
+        if datetime.fromisoformat(str(self.load_ts)) <= self.mark:
+            raise ValueError(f"load_ts {self.load_ts} is not after the last load, {self.mark}")
         staging = build_staging(orders_feed, customers_feed)
         if self.policy.strict:
             staging = require_complete(staging)
@@ -150,10 +157,6 @@ class Load:
         if months:
             self._merge(ORDERS_TABLE, self._single(ORDERS_TABLE, lines), months, only=months)
 
-    def mark(self) -> Column:
-        row = delta.read_mark(self.warehouse.read(LOG_TABLE, self.before)).first()
-        return load_stamp(row.load_dttm)
-
     def report(self) -> None:
         """Recompute the (customer, month) pairs that changed since the mark and merge them."""
         orders, products = self.table(ORDERS_TABLE), self.table(PRODUCTS_TABLE)
@@ -164,7 +167,7 @@ class Load:
             self.table(CRAFTSMEN_TABLE),
             customers,
             self.table(REPORT_TABLE),
-            self.mark(),
+            load_stamp(self.mark),
         )
         touched = self._kept("_touched", touched)
         months = _months(touched, "report_period")

@@ -18,7 +18,7 @@ from guildmart.schemas import (
     REPORT_TABLE,
     WAREHOUSE,
 )
-from guildmart.sources.warehouse import Warehouse
+from guildmart.sources.warehouse import Warehouse, shared_folder, written
 from tests.samples import ANN, BOB, customers_feed, order_feed_row, orders_feed
 
 
@@ -201,6 +201,23 @@ def test_tables_loaded_without_a_report_are_caught_up_later(spark, tmp_path):
     assert rows(warehouse, LOG_TABLE, "load_dttm") == [(datetime(2024, 1, 1),)]
 
 
+def test_a_stamp_must_be_later_than_the_last_load(spark, tmp_path):
+    warehouse = new_warehouse(spark, tmp_path)
+    increment(warehouse, *batch(spark, order_feed_row(1)), "2024-01-02 00:00:00", AS_OF)
+    for early in ("2024-01-02 00:00:00", datetime(2024, 1, 1)):
+        with pytest.raises(ValueError, match="not after the last load"):
+            increment(warehouse, *batch(spark, order_feed_row(2)), early, AS_OF)
+    assert warehouse.snapshot().last_load == 1
+
+
+def test_intermediates_go_to_the_folder_the_session_names(spark):
+    folder = spark.conf.get("spark.checkpoint.dir")
+    assert shared_folder(spark) == folder
+    frame = written(spark.range(5))
+    assert frame.count() == 5
+    assert all(folder in name for name in frame.inputFiles())
+
+
 def test_creating_a_warehouse_twice_keeps_it(spark, tmp_path):
     warehouse = new_warehouse(spark, tmp_path)
     increment(warehouse, *batch(spark, order_feed_row(1)), "2024-01-01 00:00:00", AS_OF)
