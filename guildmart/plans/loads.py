@@ -118,9 +118,12 @@ class Load:
     def _single(self, table: Table, source: DataFrame) -> DataFrame:
         return one_per_key(source, table.keys, table.update_cols, self.policy.on_conflict)
 
-    def _write(self, table: Table, frame: DataFrame, parts: list[str]) -> None:
+    def _write(
+        self, table: Table, frame: DataFrame, parts: list[str], highest: int | None = None
+    ) -> None:
         back = self.warehouse.write(table, self.load_id, frame)
-        highest = _highest(back, table.id_col, self.before.max_id(table))
+        if highest is None:
+            highest = _highest(back, table.id_col, self.before.max_id(table))
         self.written[table] = (parts, highest)
         pinned = dict(self.before.parts.get(table.name, {}))
         pinned.update(dict.fromkeys(parts, self.load_id))
@@ -208,7 +211,7 @@ class Load:
 
     def _log(self, mark: DataFrame) -> None:
         row = conform(mark.withColumn("id", F.lit(self.load_id).cast("bigint")), LOG_TABLE.schema)
-        self._write(LOG_TABLE, row, [str(self.load_id)])
+        self._write(LOG_TABLE, row, [str(self.load_id)], highest=self.load_id)
 
     def commit(self, marks: dict[str, int] | None = None) -> None:
         self.warehouse.commit(self.load_id, self.written, marks)

@@ -228,12 +228,15 @@ DIMENSIONS = (PRODUCTS_TABLE, CRAFTSMEN_TABLE, CUSTOMERS_TABLE)
 WAREHOUSE = (*DIMENSIONS, ORDERS_TABLE, REPORT_TABLE, LOG_TABLE)
 
 
-def assign(value: Column, source: T.DataType, target: T.DataType) -> Column:
+def assign(name: str, source: T.DataType, target: T.DataType) -> Column:
     """Assignment cast. Fractions going into an integer are rounded, where a bare cast would cut."""
-    fractional = (T.DecimalType, T.FractionalType)
-    if isinstance(target, T.IntegralType) and isinstance(source, fractional):
+    value = F.col(name)
+    if source == target:
+        return value
+    if isinstance(target, T.IntegralType) and isinstance(source, (T.DecimalType, T.FractionalType)):
         value = F.round(value)
-    return value.cast(target)
+    # by name: casting to a type object asks the session to parse the type each time
+    return value.cast(target.simpleString()).alias(name)
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -242,9 +245,7 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     missing = [f.name for f in schema.fields if f.name not in have]
     if missing:
         raise ValueError(f"columns missing from the frame: {missing}")
-    return df.select(
-        *(assign(F.col(f.name), have[f.name], f.dataType).alias(f.name) for f in schema.fields)
-    )
+    return df.select(*(assign(f.name, have[f.name], f.dataType) for f in schema.fields))
 
 
 def with_text(schema: T.StructType, name: str) -> T.StructType:
