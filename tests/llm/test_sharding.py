@@ -1,0 +1,76 @@
+from __future__ import annotations
+
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from guildmart.llm import sharding as S
+from guildmart.llm.queries import QUERIES
+from tests.llm.samples import TEXTS, edge_docs, no_docs, texts_of
+
+
+def gapless(rows):
+    slots = defaultdict(list)
+    for shard, slot in rows:
+        slots[shard].append(slot)
+    return all(sorted(x) == list(range(len(x))) for x in slots.values())
+
+
+def test_query(spark, sf_dir):
+    rows = {r["doc_id"]: r["text"] for r in texts_of(sf_dir)}
+    ours = QUERIES["op5_sharding"](spark, sf_dir).collect()
+    assert Counter(r.doc_id for r in ours) == Counter(rows.keys())
+    for r in ours:
+        data = (rows[r.doc_id] or "").encode()
+        assert (r["size"], r.text_crc32, r.law, r.grown_shard) == (len(data) + 8, zlib.crc32(data), "bytes", None)
+        assert 0 <= r.shard < 24
+    assert gapless((r.shard, r.slot) for r in ours)
+
+
+def many(spark, n, hot):
+    """``n`` records of 8 to 1007 bytes; a share of ``hot`` has one key."""
+    rows = spark.range(n).withColumn("size", F.pmod(F.xxhash64("id"), F.lit(1000)) + 8)
+    key = F.when(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(100)) < hot, F.lit(5)).otherwise(F.xxhash64(F.floor(F.col("id") / 3)))
+    return rows.select(F.col("id").alias("doc_id"), "size", key.alias("group"))
+
+
+@pytest.mark.parametrize("hot", [0, 35])
+def test_sizes_are_near_equal_and_groups_whole(spark, hot):
+    placed = S.shard(many(spark, 60_000, hot), key=F.col("group"), size=F.col("size"))
+    rows = placed.collect()
+    assert len({r.doc_id for r in rows}) == len(rows) == 60_000
+    sizes = Counter()
+    for r in rows:
+        sizes[r.shard] += r["size"]
+    mean = sum(sizes.values()) / 24
+    assert len(sizes) == 24 and max(abs(v - mean) for v in sizes.values()) <= 0.01 * mean + 3000
+    assert gapless((r.shard, r.slot) for r in rows)
+    groups = defaultdict(set)
+    for r in rows:
+        groups[r.group].add(r.shard)
+    assert all(len(x) == 1 for k, x in groups.items() if k != 5)
+
+
+def test_reruns_agree(spark):
+    one, two = (S.shard(x, key=F.col("group"), size=F.col("size")) for x in (many(spark, 5000, 35), many(spark, 5000, 35).repartition(7)))
+    assert one.exceptAll(two).count() == 0
+
+
+def test_edge_rows_keep_their_columns(spark):
+    docs = edge_docs(spark)
+    placed = S.shard(docs, n_shards=3)
+    assert placed.columns == [c for c in docs.columns if c not in ("shard", "slot")] + ["shard", "slot"]
+    rows = placed.collect()
+    assert Counter((r.doc_id, r.text) for r in rows) == Counter((i, t) for i, t, _, _ in TEXTS)
+    assert gapless((r.shard, r.slot) for r in rows)
+
+
+def test_no_documents(spark):
+    assert S.shard(no_docs(spark)).count() == 0
+
+
+def test_main_path_runs_no_python(spark, sf_dir):
+    plan = QUERIES["op5_sharding"](spark, sf_dir)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
