@@ -118,13 +118,15 @@ def permute(x: np.ndarray, n: int, *key: int) -> np.ndarray:
 class Mix:
     """The packed documents, the sources' targets and the drawn slots of one mix.
 
-    ``sized`` has one row per document: the columns given, ``source_no``, ``size`` and ``offset``, the
+    ``size`` gives a document's words, by default those of its text. ``sized`` has one row per document:
+    ``row`` with the columns given, ``source_no``, ``size`` and ``offset``, the
     document's place in its source's stream. (source_no, offset) names a document of size over 0.
     """
 
     def __init__(
         self,
         docs: DataFrame,
+        size: Column | None = None,
         weights: tuple[float, ...] = WEIGHTS,
         block_words: int = BLOCK_WORDS,
         seed: int = SEED,
@@ -132,8 +134,9 @@ class Mix:
     ) -> None:
         self.spark, self.block, self.seed, self.per_shard = docs.sparkSession, block_words, seed, slots_per_shard
         names = docs.columns
-        rows = docs.select(F.struct(*names).alias("row"), F.col("doc_id"), F.col("source"), n_words().alias("size"))
-        counted = written(rows.select("doc_id", "source", "size"))
+        rows = docs.select(F.struct(*names).alias("row"), F.col("doc_id"), F.col("source"), (n_words() if size is None else size).alias("size"))
+        rows = written(rows) if "text" not in names else rows
+        counted = rows.select("doc_id", "source", "size")
         found = counted.groupBy("source").agg(F.sum("size").alias("size")).limit(MAX_SOURCES + 1).collect()
         if len(found) > MAX_SOURCES:
             raise ValueError(f"more than {MAX_SOURCES} sources")
@@ -146,7 +149,7 @@ class Mix:
         )
         self.blocks = [-(-s // block_words) for s in self.sizes]
         self.slots = [min(round(t / block_words), MAX_REPEAT * b) for t, b in zip(self.targets, self.blocks)]
-        self.sized = self._packed(rows if len(names) > 2 else counted.select(F.struct(*names).alias("row"), "*"))
+        self.sized = self._packed(rows)
 
     def _packed(self, rows: DataFrame) -> DataFrame:
         """Offsets from exact sums over (source, bucket) cells and a window within each cell."""
@@ -220,7 +223,8 @@ class Mix:
 
     def rows(self) -> DataFrame:
         """The mix: every slot's segments, as (out_shard, slot, source_no, offset, from_word, n_words)."""
-        return self.slot_blocks().join(self.segments(), ["source_no", "block"]).drop("block")
+        # Both sides grow with the data; the slots' number cannot be estimated, so the join is named.
+        return self.slot_blocks().join(self.segments().hint("merge"), ["source_no", "block"]).drop("block")
 
     def taken(self) -> DataFrame:
         """(row, source_no, size, offset, taken): words the mix takes of each document, repeats counted."""
