@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from guildmart.llm import line_dedup, mixing, sharding, simhash
+from guildmart.llm import language, licenses, line_dedup, mixing, quality, sharding, simhash, toxicity
 from guildmart.llm.common import documents
+from guildmart.llm.labelled import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,10 +20,22 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir).select("doc_id", "text")).drop("text", "spans")
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    held_out = remainder("doc_id", toxicity.FOLDS) == toxicity.HELD_OUT
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mix = mixing.Mix(documents(spark, sf_dir).select("doc_id", "source", "text"))
+    docs = documents(spark, sf_dir).select("doc_id", "source", mixing.n_words().alias("size"))
+    mix = mixing.Mix(docs, size=F.col("size"))
     named = mix.taken().join(F.broadcast(mix.sources.drop("source")), "source_no")
-    return named.select(F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", "taken")
+    return named.select(F.col("row.doc_id").alias("doc_id"), named["size"], "source_size", "target", "taken")
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,6 +57,21 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    profiles = language.learn(language.training_documents(docs))
+    held_out = remainder("doc_id", language.FOLDS) == language.HELD_OUT
+    return language.predict(docs.select("doc_id", "text"), profiles).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score"
+    )
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    crf = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.judge(docs, crf).drop("text")
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = simhash.near_duplicates(documents(spark, sf_dir))
     return named.select(
@@ -53,7 +81,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_licenses": op2_licenses,
+    "op3_toxicity": op3_toxicity,
     "op4_mixing": op4_mixing,
     "op5_sharding": op5_sharding,
+    "op6_language": op6_language,
+    "op8_quality": op8_quality,
     "op10_simhash": op10_simhash,
 }
