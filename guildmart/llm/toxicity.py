@@ -1,6 +1,6 @@
 """Toxicity by class-conditional Kneser-Ney models of the characters in words.
 
-Each class, toxic and ordinary, has an interpolated model of a character given the five before it in
+Each class, toxic and ordinary, has an interpolated model of a character given the four before it in
 its word. Both back off to the same Kneser-Ney counts, pooled over the classes, so a rare expression
 that neither class has seen says nothing, and a new word with a known beginning says as much as its
 beginning. A word's evidence is the difference of its two log-likelihoods. Where both classes back
@@ -32,10 +32,10 @@ from pyspark.sql import functions as F
 from guildmart.llm.common import Frames, alnum_words
 from guildmart.llm.labelled import remainder, sample
 
-ORDER = 6
+ORDER = 5
 DISCOUNT = 0.75
 TELLING = 3
-MAX_LABELLED = 6000
+MAX_LABELLED = 3000
 MAX_TEXT_BYTES = 100_000
 THRESHOLD = 0.7
 FOLDS, HELD_OUT = 3, 1
@@ -180,10 +180,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
             yield pd.DataFrame({"fold": fold, "label": label, "gram": list(total), "n": list(total.values())})
 
     counted = rows.mapInPandas(count, "fold int, label int, gram binary, n bigint")
-    summed = counted.groupBy("fold", "label", "gram").agg(F.sum("n").alias("n")).toPandas()
-    counts = {}
-    for (fold, label), own in summed.groupby(["fold", "label"]):
-        counts[fold, label] = Counter(dict(zip(map(bytes, own.gram), own.n.tolist())))
+    summed = counted.groupBy("fold", "label", "gram").agg(F.sum("n").alias("n"))
+    counts: dict[tuple[int, int], Counter] = {}
+    for row in summed.toLocalIterator():
+        counts.setdefault((row.fold, row.label), Counter())[bytes(row.gram)] = row.n
     both = tuple(counts.get((0, c), Counter()) + counts.get((1, c), Counter()) for c in (0, 1))
     if not both[0] or not both[1]:
         return None
