@@ -195,14 +195,29 @@ def test_language_held_out(spark):
     assert np.mean([r.lang_pred == lang[r.doc_id] for r in rows]) > 0.97
 
 
-def test_language_equals_plain_out_of_place(spark):
+def plain_grams(word):
+    padded = f"_{word}_"
+    return [padded[i : i + n] for n in (1, 2, 3) for i in range(len(padded) - n + 1) if padded[i : i + n] != "_"]
+
+
+@pytest.mark.parametrize("dense", [1 << 24, 1])
+def test_counted_grams(monkeypatch, dense):
+    monkeypatch.setattr(language, "DENSE", dense)
+    texts = ["Ab, a bc!", "", "\u00c4b 12 \u4f60\u597d x"]
+    plain = Counter(g for w in ("ab", "a", "bc", "\u00e4b", "\u4f60\u597d", "x") for g in plain_grams(w))
+    assert language.count_grams(texts) == plain
+
+
+@pytest.mark.parametrize("dense", [1 << 24, 1])
+def test_language_equals_plain_out_of_place(spark, monkeypatch, dense):
+    monkeypatch.setattr(language, "DENSE", dense)
     docs = spark.createDataFrame([(1, "abc abd abc", "x"), (2, "xyz xyy zz", "y"), (3, "ab xy", None)], "doc_id bigint, text string, lang string")
     profiles = language.learn(docs)
-    counts = Counter(g for w in ("abc", "abd", "abc") for g in language.grams(w))
+    counts = Counter(g for w in ("abc", "abd", "abc") for g in plain_grams(w))
     order = sorted(counts, key=lambda g: (-counts[g], g))
     x = profiles.langs.index("x")
     assert [profiles.ranks[profiles.index[g], x] for g in order] == list(range(len(order)))
-    mine = Counter(g for w in ("ab", "xy") for g in language.grams(w) if g in profiles.index)
+    mine = Counter(g for w in ("ab", "xy") for g in plain_grams(w) if g in profiles.index)
     ranked = sorted(mine, key=lambda g: (-mine[g], profiles.index[g]))
     away = [
         sum(400 if profiles.ranks[profiles.index[g], k] == 400 else abs(int(profiles.ranks[profiles.index[g], k]) - r) for r, g in enumerate(ranked))
