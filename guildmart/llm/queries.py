@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from guildmart.llm import language, licenses, line_dedup, mixing, quality, sharding, simhash, toxicity
+from guildmart.llm import decontamination, language, licenses, line_dedup, mixing, quality, sharding, simhash, toxicity
 from guildmart.llm.common import documents
 from guildmart.llm.labelled import remainder
 
@@ -72,6 +72,11 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, crf).drop("text")
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return decontamination.find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = simhash.near_duplicates(documents(spark, sf_dir))
     return named.select(
@@ -87,5 +92,6 @@ QUERIES: dict[str, Query] = {
     "op5_sharding": op5_sharding,
     "op6_language": op6_language,
     "op8_quality": op8_quality,
+    "op9_decontamination": op9_decontamination,
     "op10_simhash": op10_simhash,
 }
