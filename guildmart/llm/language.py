@@ -31,6 +31,7 @@ PROFILE = 400
 TOP = 300
 FOLDS, HELD_OUT = 4, 2
 UNKNOWN = "und"
+PIECE_CHARS = 4_000_000
 DENSE = 1 << 24  # entries of the largest table that is counted in without sorting
 
 
@@ -170,7 +171,9 @@ def learn(docs: DataFrame) -> Profiles:
 
     def count(frames: Frames) -> Frames:
         for frame in frames:
-            for lang, own in frame.groupby("lang"):
+            # Texts of a few million characters at a time bound the memory.
+            piece = frame.text.str.len().cumsum() // PIECE_CHARS
+            for (lang, _), own in frame.groupby(["lang", piece]):
                 found = count_grams(own.text.tolist())
                 yield pd.DataFrame({"lang": lang, "gram": list(found), "n": list(found.values())})
 
