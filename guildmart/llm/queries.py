@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from guildmart.llm import decontamination, language, licenses, line_dedup, mixing, quality, sharding, simhash, toxicity
+from guildmart.llm import decontamination, language, licenses, line_dedup, mixing, ngram_lm, quality, sharding, simhash, toxicity
 from guildmart.llm.common import documents
 from guildmart.llm.labelled import remainder
 
@@ -66,6 +66,12 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = remainder("doc_id", ngram_lm.FOLDS) == ngram_lm.HELD_OUT
+    scored = ngram_lm.score(documents(spark, sf_dir).select("doc_id", "text"), held_out)
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     crf = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -91,6 +97,7 @@ QUERIES: dict[str, Query] = {
     "op4_mixing": op4_mixing,
     "op5_sharding": op5_sharding,
     "op6_language": op6_language,
+    "op7_ngram_lm": op7_ngram_lm,
     "op8_quality": op8_quality,
     "op9_decontamination": op9_decontamination,
     "op10_simhash": op10_simhash,
