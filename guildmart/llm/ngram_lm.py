@@ -38,8 +38,8 @@ from guildmart.llm.elias_fano import PairTrie
 from guildmart.sources.warehouse import written
 
 MU = 50.0
-CHUNK_WORDS = 4_000_000
-SHARD_WORDS = 4_000_000
+CHUNK_WORDS = 2_000_000
+SHARD_BYTES = 4_000_000  # of the packed texts, some two million words
 FOLDS, HELD_OUT = 7, 2
 CONTEXT_SHARE = 4  # a context with over 1/4 of a shard's words is spread
 # Word numbers below FIRST_WORD: the context of a first word, and all words of no training document.
@@ -187,6 +187,7 @@ def _send_pairs(numbered: DataFrame, shards: int, total: int, kinds: int, starts
                 known = np.bincount(doc, weights=count > 0, minlength=len(lengths)).astype(np.int64)
                 shard = pair_shards(context, context_count, word, shards, total)
                 order = np.lexsort((word, context, shard))
+                del numbers, ids, counts, hashes
                 ends = np.searchsorted(shard[order], np.arange(shards + 1))
                 for k in np.flatnonzero(np.diff(ends)).tolist():
                     own = order[ends[k] : ends[k + 1]]
@@ -305,8 +306,8 @@ def score(docs: DataFrame, held_out) -> DataFrame:
     # A chunk is named by its first row, once and for all as it is written.
     chunks = written(_chunks(rows))
     starts = docs.where(~F.coalesce(held_out, F.lit(False))).count()
-    words = chunks.agg(F.coalesce(F.sum(F.octet_length("numbers")), F.lit(0)).alias("bytes")).first().bytes
-    shards = max(4, math.ceil(words / SHARD_WORDS))
+    packed = chunks.agg(F.coalesce(F.sum(F.octet_length("numbers")), F.lit(0)).alias("bytes")).first().bytes
+    shards = max(4, math.ceil(packed / SHARD_BYTES))
     answers = written(_number_words(chunks, shards))
     figures = answers.select("shard", "kinds", "total").distinct().agg(F.sum("kinds").alias("kinds"), F.sum("total").alias("total")).first()
     kinds, total = int(figures.kinds or 0), int(figures.total or 0)

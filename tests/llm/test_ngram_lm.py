@@ -50,7 +50,7 @@ def test_query_equals_plain_model(spark, sf_dir):
 
 def test_many_chunks_and_shards(spark, monkeypatch, sf_dir):
     monkeypatch.setattr(N, "CHUNK_WORDS", 500)
-    monkeypatch.setattr(N, "SHARD_WORDS", 20_000)
+    monkeypatch.setattr(N, "SHARD_BYTES", 20_000)
     same(QUERIES["op7_ngram_lm"](spark, sf_dir).collect(), plain([(r["doc_id"], r["text"]) for r in texts_of(sf_dir)]))
 
 
