@@ -39,7 +39,7 @@ MAX_LABELLED = 3000
 MAX_TEXT_BYTES = 100_000
 THRESHOLD = 0.7
 FOLDS, HELD_OUT = 3, 1
-CACHE_WORDS = 400_000
+CACHE_WORDS = 100_000
 START, END = b"\x01", b"\x02"
 
 
@@ -200,6 +200,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
             yield pd.DataFrame({"a": x[:, 0], "b": x[:, 1], "c": x[:, 2], "d": x[:, 3], "y": frame.label.astype(float)})
 
     x = rows.mapInPandas(features, "a double, b double, c double, d double, y double").toPandas()
+    crossed.destroy()
     x = x.sort_values(list("abcdy")).to_numpy()
     return Model(model.ratio, model.backoff, logistic(x[:, :4], x[:, 4]))
 
