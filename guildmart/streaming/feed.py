@@ -27,11 +27,16 @@ def load_stream(
     """Writer that loads every micro-batch; set its trigger and checkpoint location and start it.
 
     The customers feed is read anew for each batch. The batch number is committed together with the
-    batch's data, so a batch delivered again after a failure is not loaded twice.
+    batch's data, so a batch delivered again after a failure is not loaded twice. Numbers count per
+    query id, which a checkpoint keeps: a new checkpoint starts a new sequence and loads everything it
+    delivers, merged on natural keys.
     """
-    mark = f"stream {name}"
 
     def load(batch: DataFrame, batch_id: int) -> None:
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not query_id:
+            raise RuntimeError("the query's id is unknown, so its batches cannot be told apart")
+        mark = f"stream {name} {query_id}"
         if batch_id + 1 <= warehouse.snapshot().max_ids.get(mark, 0):
             return
         now = clock()
