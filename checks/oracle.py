@@ -341,6 +341,66 @@ ORDER_VIEWS = {
                                     else order_status end as order_status) from s_orders""",
 }
 
+
+
+def latest_per_key(rows: str, keys: list[str], values: list[str], order: str) -> str:
+    """Of the rows of a key the one with the largest order, of equals the largest values."""
+    by = ", ".join(f"{v} desc nulls last" for v in [order, *values])
+    return f"""
+        select {_columns(keys + values)} from {rows}
+        qualify row_number() over (partition by {_columns(keys)} order by {by}) = 1"""
+
+
+LATEST_VIEWS = {
+    "target_first": ORDER_VIEWS["target_first"],
+    "target": ORDER_VIEWS["target"],
+    "states": """
+        select *, order_id * 2 as place from s_orders union all
+        select * replace ('done' as order_status), order_id * 2 + 1 from s_orders
+        where order_status <> 'done'""",
+    "newest": latest_per_key("states", ORDER_KEYS, ORDER_VALUES, "place"),
+}
+
+
+def _overlapping(name: str, id_col: str, keys: list[str], values: list[str]) -> dict[str, str]:
+    early = f"({latest_per_key('(select * from staging where id % 3 <> 0)', keys, values, 'id')})"
+    late = f"({latest_per_key('(select * from staging where id % 3 <> 2)', keys, values, 'id')})"
+    first = loaded(f"{name}_early", early, id_col, keys, values)
+    return {**first, name: merged(f"{name}_early", late, id_col, keys, values)}
+
+
+def _rekeyed(lines: str) -> str:
+    return f"""
+        select s.id, d.product_id, c.craftsman_id, u.customer_id, order_created_date,
+          order_completion_date, order_status
+        from {lines} s
+          join x_products d using ({_columns(PRODUCT_KEYS)})
+          join x_craftsmen c using ({_columns(CRAFTSMAN_KEYS)})
+          join x_customers u using ({_columns(CUSTOMER_KEYS)})"""
+
+
+OVERLAP_VIEWS = {
+    **_overlapping("x_products", "product_id", PRODUCT_KEYS, ["product_type"]),
+    **_overlapping("x_craftsmen", "craftsman_id", CRAFTSMAN_KEYS, CRAFTSMAN_VALUES),
+    **_overlapping("x_customers", "customer_id", CUSTOMER_KEYS, CUSTOMER_VALUES),
+    "x_open": """
+        select * replace (case when id % 3 = 1 then 'created' else order_status end as order_status,
+          case when id % 3 <> 1 then order_completion_date end as order_completion_date)
+        from staging where id % 3 <> 0""",
+    "x_early": _rekeyed("x_open"),
+    "x_late": _rekeyed("(select * from staging where id % 3 <> 2)"),
+    "x_first": latest_per_key("x_early", ORDER_KEYS, ORDER_VALUES, "id"),
+    "x_second": latest_per_key("x_late", ORDER_KEYS, ORDER_VALUES, "id"),
+    "x_orders": f"""
+        select * from x_second union all
+        select f.* from x_first f anti join x_second s using ({_columns(ORDER_KEYS)})""",
+    "x_lines": """
+        select o.*, 1 as order_id, strftime(order_created_date, '%Y-%m') as report_period,
+          cast(order_completion_date - order_created_date as int) as days, product_type,
+          product_price
+        from x_orders o join x_products using (product_id)""",
+}
+
 NAMELESS = "(select distinct * replace (nullif(customer_name, 'BUILDING') as customer_name) from {})"
 PEOPLE_OF = "(select distinct {} from staging where order_created_date {} " + SPLIT + ")"
 
@@ -374,6 +434,11 @@ ORACLE: dict[str, str] = {
         """select id, order_id, customer_id, 'customer_surname' as reject_reason
            from staging where customer_name = 'BUILDING'"""
     ),
+    "staging_overflow": _with(
+        """select id, order_id, customer_id,
+             'customer_address_building out of range' as reject_reason
+           from staging where customer_id % 10 = 0"""
+    ),
     "staging_fact": _with(REKEYED, **DIM_VIEWS),
     "distinct_products": _with(f"select distinct {_columns(PRODUCT_KEYS)}, product_type from staging"),
     "distinct_craftsmen": _with(
@@ -420,6 +485,9 @@ ORACLE: dict[str, str] = {
     "merge_orders": _with(
         merged("target", "renewed", "order_id", ORDER_KEYS, ORDER_VALUES), **ORDER_VIEWS
     ),
+    "merge_orders_latest": _with(
+        merged("target", "newest", "order_id", ORDER_KEYS, ORDER_VALUES), **LATEST_VIEWS
+    ),
     "merge_null_keys": _with(_null_keys()),
     "table_contracts": _with(CONTRACTS),
     "check_nulls": _with(
@@ -496,4 +564,5 @@ ORACLE: dict[str, str] = {
            select b.* from report_before b anti join touched using (customer_id, report_period)"""
     ),
     "increment_two_batches": _with(report("w_lines", "w_customers"), **BATCH_VIEWS),
+    "increment_overlapping_batches": _with(report("x_lines", "x_customers"), **OVERLAP_VIEWS),
 }

@@ -22,9 +22,9 @@ from guildmart.operators import delta, quality
 from guildmart.operators.keys import assign_ids
 from guildmart.operators.rekey import rekey, star_join
 from guildmart.operators.staging import REASON, build_staging, rejected
-from guildmart.operators.upsert import KEEP_FIRST, inserted, load_stamp, updated, upsert
+from guildmart.operators.upsert import KEEP_FIRST, LATEST, ORDER, inserted, load_stamp, updated, upsert
 from guildmart.plans import report as R
-from guildmart.plans.loads import Policy, distinct_source, increment
+from guildmart.plans.loads import Policy, distinct_source, increment, read_report
 from guildmart.schemas import (
     CRAFTSMEN,
     CRAFTSMEN_TABLE,
@@ -90,6 +90,15 @@ def staging_rejected(spark, sf_dir):
     return lines.select("id", "order_id", "customer_id", REASON)
 
 
+def staging_overflow(spark, sf_dir):
+    """Every tenth customer has a building number of eleven digits, which a lenient load leaves out."""
+    orders, customers = feeds(spark, sf_dir)
+    long = F.concat(F.lit("99999999999 "), "customer_address")
+    address = F.when(F.col("customer_id") % 10 == 0, long).otherwise(F.col("customer_address"))
+    lines = rejected(build_staging(orders, customers.withColumn("customer_address", address), strict=False))
+    return lines.select("id", "order_id", "customer_id", REASON)
+
+
 def staging_fact(spark, sf_dir):
     staging = _staging(spark, sf_dir)
     return rekey(staging, *_loaded_dims(spark, staging))
@@ -181,6 +190,18 @@ def merge_orders(spark, sf_dir):
     return upsert(before, news, ORDERS_TABLE, SECOND_LOAD, KEEP_FIRST)
 
 
+def merge_orders_latest(spark, sf_dir):
+    """All lines, the open ones in two states of which the later is done, merged into the first batch."""
+    tables = star(spark, sf_dir)
+    first = tables.orders.filter(first_batch())
+    before = upsert(empty(spark, ORDERS), first, ORDERS_TABLE, FIRST_LOAD, KEEP_FIRST)
+    earlier = tables.orders.withColumn(ORDER, F.col("order_id") * 2)
+    later = tables.orders.filter("order_status <> 'done'").withColumns(
+        {"order_status": F.lit("done"), ORDER: F.col("order_id") * 2 + 1}
+    )
+    return upsert(written(before), earlier.unionByName(later), ORDERS_TABLE, SECOND_LOAD, LATEST)
+
+
 def merge_null_keys(spark, sf_dir):
     """A person without a name matches nobody: kept in the target and inserted from the source."""
     staging = _staging(spark, sf_dir)
@@ -352,11 +373,31 @@ def increment_two_batches(spark, sf_dir):
     return warehouse.read(REPORT_TABLE, warehouse.snapshot()).drop("id")
 
 
+def increment_overlapping_batches(spark, sf_dir):
+    """Two batches that share months, customers and orders, which are open in the first; ages as of
+    the second. Only changed rows are stamped."""
+    orders, customers = feeds(spark, sf_dir)
+    root = f"{shared_folder(spark)}/warehouse-{uuid.uuid4().hex}"
+    warehouse = Warehouse(spark, root).create()
+    policy = Policy(on_conflict=LATEST, only_if_changed=True, order_by=("id",))
+    shared = F.col("id") % 3 == 1
+    early = orders.filter("id % 3 <> 0").withColumns(
+        {
+            "order_status": F.when(shared, "created").otherwise(F.col("order_status")),
+            "order_completion_date": F.when(~shared, F.col("order_completion_date")),
+        }
+    )
+    increment(warehouse, early, customers, FIRST_LOAD, "2020-01-01", policy)
+    increment(warehouse, orders.filter("id % 3 <> 2"), customers, SECOND_LOAD, AS_OF, policy)
+    return read_report(warehouse, AS_OF).drop("id")
+
+
 QUERIES: dict[str, Query] = {
     "scan_orders_feed": scan_orders_feed,
     "scan_customers_feed": scan_customers_feed,
     "staging_flat": _staging,
     "staging_rejected": staging_rejected,
+    "staging_overflow": staging_overflow,
     "staging_fact": staging_fact,
     "distinct_products": distinct_of(PRODUCTS_TABLE),
     "distinct_craftsmen": distinct_of(CRAFTSMEN_TABLE),
@@ -371,6 +412,7 @@ QUERIES: dict[str, Query] = {
     "merge_craftsmen": merge_craftsmen,
     "merge_customers": merge_customers,
     "merge_orders": merge_orders,
+    "merge_orders_latest": merge_orders_latest,
     "merge_null_keys": merge_null_keys,
     "table_contracts": table_contracts,
     "check_nulls": check_nulls,
@@ -399,4 +441,5 @@ QUERIES: dict[str, Query] = {
     "datamart_insert_new": datamart_insert_new,
     "datamart_update_existing": datamart_update_existing,
     "increment_two_batches": increment_two_batches,
+    "increment_overlapping_batches": increment_overlapping_batches,
 }

@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from guildmart.operators.upsert import ERROR, KEEP_FIRST  # noqa: E402
+from guildmart.operators.upsert import ERROR, POLICIES  # noqa: E402
 from guildmart.plans.loads import Policy, increment, rebuild, refresh_report  # noqa: E402
 from guildmart.sources.feeds import read_customers_feed, read_orders_feed  # noqa: E402
 from guildmart.sources.warehouse import Warehouse  # noqa: E402
@@ -25,8 +25,9 @@ def arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--format", default="parquet", help="file format of the feeds")
     parser.add_argument("--load-ts", help="stamp of changed rows; now by default")
     parser.add_argument("--as-of", help="day at which ages are counted; that of the stamp")
-    parser.add_argument("--on-conflict", choices=[ERROR, KEEP_FIRST], default=ERROR)
-    parser.add_argument("--only-if-changed", action="store_true")
+    parser.add_argument("--on-conflict", choices=POLICIES, default=ERROR)
+    parser.add_argument("--order-by", nargs="+", default=["id"], help="columns that tell the latest row")
+    parser.add_argument("--only-if-changed", action=argparse.BooleanOptionalAction, default=True)
     parser.add_argument("--lenient", action="store_true", help="leave incomplete rows out")
     chosen = parser.parse_args(argv)
     if chosen.command == "increment" and not (chosen.orders and chosen.customers):
@@ -38,7 +39,7 @@ def main(argv: list[str] | None = None) -> None:
     chosen = arguments(argv)
     spark = SparkSession.builder.appName(f"guildmart {chosen.command}").getOrCreate()
     warehouse = Warehouse(spark, chosen.warehouse).create()
-    policy = Policy(chosen.on_conflict, chosen.only_if_changed, strict=not chosen.lenient)
+    policy = Policy(chosen.on_conflict, chosen.only_if_changed, not chosen.lenient, tuple(chosen.order_by))
     if chosen.command == "increment":
         orders = read_orders_feed(spark, chosen.orders, chosen.format)
         customers = read_customers_feed(spark, chosen.customers, chosen.format)

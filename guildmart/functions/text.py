@@ -16,9 +16,16 @@ def word(text: Column, n: int) -> Column:
     return F.get(F.split(text, BLANKS), F.lit(n - 1))
 
 
-def building(address: Column) -> Column:
-    """First run of digits as int; NULL without digits, an error if it does not fit."""
-    return F.regexp_substr(address, F.lit(DIGITS)).cast("int")
+def building_digits(address: Column) -> Column:
+    """First run of digits, as text; NULL without digits."""
+    return F.regexp_substr(address, F.lit(DIGITS))
+
+
+def building(address: Column, strict: bool = True) -> Column:
+    """First run of digits as int; NULL without digits. One that does not fit is an error, or NULL if
+    not ``strict``."""
+    digits = building_digits(address)
+    return digits.cast("int") if strict else digits.try_cast("int")
 
 
 def street(address: Column) -> Column:

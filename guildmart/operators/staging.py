@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from guildmart.functions import building, street, word
+from guildmart.functions import building, building_digits, street, word
 from guildmart.schemas import STAGING, WAREHOUSE, conform
 
 REASON = "reject_reason"
+OVERFLOW = "out of range"
 
 
-def split_person(feed: DataFrame, kind: str) -> DataFrame:
+def split_person(feed: DataFrame, kind: str, strict: bool = True) -> DataFrame:
     """Replace a raw name and address by the raw name, its parts and the address parts."""
     name, address = F.col(f"{kind}_name"), F.col(f"{kind}_address")
     return feed.withColumns(
@@ -19,20 +20,23 @@ def split_person(feed: DataFrame, kind: str) -> DataFrame:
             f"{kind}_name_all": name,
             f"{kind}_name": word(name, 1),
             f"{kind}_surname": word(name, 2),
-            f"{kind}_address_building": building(address),
+            f"{kind}_address_building": building(address, strict),
             f"{kind}_address_street": street(address),
         }
     )
 
 
-def build_staging(orders_feed: DataFrame, customers_feed: DataFrame) -> DataFrame:
+def build_staging(
+    orders_feed: DataFrame, customers_feed: DataFrame, strict: bool = True
+) -> DataFrame:
     """One row per order line whose customer is known.
 
     Customers are parsed before the join, once each and not once per order line; craftsmen after
-    it, so that only their raw text is shuffled.
+    it, so that only their raw text is shuffled. A building number that does not fit is an error, or
+    left NULL, for ``reject_reason`` to name, if not ``strict``.
     """
-    lines = orders_feed.join(split_person(customers_feed, "customer"), "customer_id")
-    return conform(split_person(lines, "craftsman"), STAGING)
+    lines = orders_feed.join(split_person(customers_feed, "customer", strict), "customer_id")
+    return conform(split_person(lines, "craftsman", strict), STAGING)
 
 
 def _required() -> list[str]:
@@ -46,9 +50,17 @@ def _required() -> list[str]:
     return [name for name in STAGING.names if name in required]
 
 
+def _fault(name: str) -> Column:
+    """What to say of a missing value: its column's name, and whether a number was too large."""
+    if not name.endswith("_address_building"):
+        return F.lit(name)
+    digits = building_digits(F.col(name.removesuffix("_building")))
+    return F.when(digits.isNull(), F.lit(name)).otherwise(F.lit(f"{name} {OVERFLOW}"))
+
+
 def reject_reason() -> Column:
     """Names of the missing required columns, comma separated; NULL for a complete row."""
-    missing = F.concat_ws(",", *(F.when(F.col(c).isNull(), F.lit(c)) for c in _required()))
+    missing = F.concat_ws(",", *(F.when(F.col(c).isNull(), _fault(c)) for c in _required()))
     return F.when(missing != "", missing)
 
 

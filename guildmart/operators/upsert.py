@@ -11,7 +11,15 @@ from pyspark.sql import functions as F
 from guildmart.operators.keys import assign_ids, highest_id
 from guildmart.schemas import Table, conform
 
-ERROR, KEEP_FIRST = "error", "keep_first"
+ERROR, KEEP_FIRST, LATEST = "error", "keep_first", "latest"
+POLICIES = (ERROR, KEEP_FIRST, LATEST)
+# The column that says how late a source row is, for the policy ``latest``.
+ORDER = "_order"
+
+
+def order_column(names: Sequence[str]) -> Column:
+    """Several columns order as one, the first of them first; a missing value is the earliest."""
+    return (F.col(names[0]) if len(names) == 1 else F.struct(*names)).alias(ORDER)
 
 
 def load_stamp(load_ts: datetime | str) -> Column:
@@ -24,21 +32,35 @@ def one_per_key(
     """Reduce source rows to one per key; equal rows always collapse.
 
     Different values under one key either fail the job (``error``) or the smallest, compared in
-    the order of ``values``, stays (``keep_first``). It is one aggregation that combines before the
-    shuffle, so a key repeated in a third of all rows costs one row per map task. A row with a NULL
-    in its key matches nothing, so it is told apart by its values too and kept.
+    the order of ``values``, stays (``keep_first``), or the one whose ``ORDER`` column is the largest
+    (``latest``; of equally late ones the largest values). Equal rows are counted first, in a hash
+    aggregation that combines before its shuffle, so only the few distinct rows are sorted and a key
+    repeated in a third of all rows costs one row per task and variant. A row with a NULL in its key
+    matches nothing, so it is told apart by its values too and kept.
     """
-    if on_conflict not in (ERROR, KEEP_FIRST):
+    if on_conflict not in POLICIES:
         raise ValueError(f"unknown conflict policy: {on_conflict}")
+    if on_conflict == LATEST and ORDER not in rows.columns:
+        raise ValueError(f"the policy {LATEST} needs columns that order the source rows")
     no_match = F.lit(False)
     for key in keys:
         no_match = no_match | F.col(key).isNull()
     value = F.struct(*values)
-    aggregates = [F.min("_value").alias("_first")]
+    counted = [F.count(F.lit(1)).alias("_rows")]
+    if on_conflict == LATEST:
+        counted.append(F.max(ORDER).alias(ORDER))
+        aggregates = [F.max(F.struct(ORDER, "_value"))["_value"].alias("_first")]
+    else:
+        aggregates = [F.min("_value").alias("_first")]
     if on_conflict == ERROR:
         aggregates.append(F.max("_value").alias("_last"))
     reduced = (
-        rows.select(*keys, value.alias("_value"), F.when(no_match, value).alias("_apart"))
+        rows.groupBy(*keys, *values)
+        .agg(*counted)
+        # Always true. Without a use of the count the optimizer would drop the aggregation above as
+        # redundant and sort all source rows in the next one.
+        .filter("_rows > 0")
+        .withColumns({"_value": value, "_apart": F.when(no_match, value)})
         .groupBy(*keys, "_apart")
         .agg(*aggregates)
     )

@@ -14,8 +14,16 @@ from guildmart.operators import delta
 from guildmart.operators.rekey import rekey
 from guildmart.operators.sizing import is_small
 from guildmart.operators.staging import REASON, build_staging, reject_reason, require_complete
-from guildmart.operators.upsert import ERROR, load_stamp, merge_single, one_per_key
-from guildmart.plans.report import customer_report, customer_report_for
+from guildmart.operators.upsert import (
+    ERROR,
+    LATEST,
+    ORDER,
+    load_stamp,
+    merge_single,
+    one_per_key,
+    order_column,
+)
+from guildmart.plans.report import aged, customer_report, customer_report_for
 from guildmart.schemas import (
     CRAFTSMEN_TABLE,
     CUSTOMERS_TABLE,
@@ -32,15 +40,29 @@ from guildmart.sources.warehouse import WHOLE, Snapshot, Warehouse
 
 @dataclass(frozen=True)
 class Policy:
-    """How a load treats conflicting, unchanged and incomplete rows."""
+    """How a load treats conflicting, unchanged and incomplete rows.
+
+    ``order_by`` names the staging columns that say which of several source rows is the latest.
+    """
 
     on_conflict: str = ERROR
     only_if_changed: bool = False
     strict: bool = True
+    order_by: tuple[str, ...] = ("id",)
+
+    def ordered(self, staging: DataFrame) -> DataFrame:
+        if self.on_conflict != LATEST:
+            return staging
+        return staging.withColumn(ORDER, order_column(self.order_by))
 
 
 def distinct_source(staging: DataFrame, table: Table) -> DataFrame:
-    """The dimension rows contained in staging. Hash-combined per task before any shuffle."""
+    """The dimension rows contained in staging, with the latest place of each if staging is ordered.
+
+    Hash-combined per task before any shuffle.
+    """
+    if ORDER in staging.columns:
+        return staging.groupBy(*table.source_cols).agg(F.max(ORDER).alias(ORDER))
     return staging.select(*table.source_cols).distinct()
 
 
@@ -84,11 +106,11 @@ class Load:
         """Write the flat table once, so that the feeds are joined once and cannot move under us."""
         if datetime.fromisoformat(str(self.load_ts)) <= self.mark:
             raise ValueError(f"load_ts {self.load_ts} is not after the last load, {self.mark}")
-        staging = build_staging(orders_feed, customers_feed)
+        staging = build_staging(orders_feed, customers_feed, self.policy.strict)
         if self.policy.strict:
             staging = require_complete(staging)
         written = self._kept("_staging", staging.withColumn(REASON, reject_reason()))
-        return written.filter(F.col(REASON).isNull()).drop(REASON)
+        return self.policy.ordered(written.filter(F.col(REASON).isNull()).drop(REASON))
 
     def _kept(self, name: str, frame: DataFrame) -> DataFrame:
         """Write an intermediate of this load, so that its several readers compute it once."""
@@ -97,12 +119,23 @@ class Load:
         return self.warehouse.spark.read.schema(frame.schema).parquet(path)
 
     def _merge(
-        self, table: Table, rows: DataFrame, parts: list[str], only: list[str] | None = None
+        self,
+        table: Table,
+        rows: DataFrame,
+        parts: list[str],
+        only: list[str] | None = None,
+        replace: bool = False,
     ) -> None:
-        """Merge rows, at most one per key, into the table or into some of its months."""
+        """Merge rows, at most one per key, into the table or into some of its months.
+
+        With ``replace`` the table's rows that none of them matches go.
+        """
         rows = self._kept(f"_{table.name}_news", rows)
+        target = self.warehouse.read(table, self.before, only)
+        if replace:
+            target = target.join(rows.select(*table.keys), list(table.keys), "left_semi")
         merged = merge_single(
-            self.warehouse.read(table, self.before, only),
+            target,
             rows,
             table,
             self.load_ts,
@@ -113,15 +146,20 @@ class Load:
         if table.partition_col and table.partition_col not in table.schema.names:
             month = month_of(F.col("order_created_date"))
             merged = merged.withColumn(table.partition_col, month)
-        self._write(table, merged, parts)
+        self._write(table, merged, parts, replace=replace)
 
     def _single(self, table: Table, source: DataFrame) -> DataFrame:
         return one_per_key(source, table.keys, table.update_cols, self.policy.on_conflict)
 
     def _write(
-        self, table: Table, frame: DataFrame, parts: list[str], highest: int | None = None
+        self,
+        table: Table,
+        frame: DataFrame,
+        parts: list[str],
+        highest: int | None = None,
+        replace: bool = False,
     ) -> None:
-        back = self.warehouse.write(table, self.load_id, frame)
+        back = self.warehouse.write(table, self.load_id, frame, parts if replace else ())
         if highest is None:
             highest = _highest(back, table.id_col, self.before.max_id(table))
         self.written[table] = (parts, highest)
@@ -181,14 +219,17 @@ class Load:
         self._log(delta.next_mark(touched, self.load_ts))
 
     def full_report(self) -> None:
-        """Compute every month anew, replacing the whole report."""
+        """Compute every month anew, replacing the whole report.
+
+        Rows keep the ids they had; one that no order supports any more goes.
+        """
         orders = self.table(ORDERS_TABLE)
         rows = customer_report(
             orders, self.table(PRODUCTS_TABLE), self.table(CUSTOMERS_TABLE), self.as_of
         )
-        months = list(self._pinned(ORDERS_TABLE))
+        months = sorted({*self._pinned(ORDERS_TABLE), *self._pinned(REPORT_TABLE)})
         if months:
-            self._merge(REPORT_TABLE, rows, months, only=months)
+            self._merge(REPORT_TABLE, rows, months, replace=True)
         stamps = [
             self.table(table).agg(F.max("load_dttm").alias("load_dttm"))
             for table in (ORDERS_TABLE, *DIMENSIONS)
@@ -257,3 +298,12 @@ def rebuild(
     load = Load(warehouse, load_ts, as_of, policy)
     load.full_report()
     load.commit()
+
+
+def read_report(warehouse: Warehouse, as_of: date | str) -> DataFrame:
+    """The report with all ages counted at ``as_of``, whenever its rows were written.
+
+    A load ages the rows it writes; counting when reading makes increments equal a rebuild of that day
+    without rewriting the rows of customers that nothing else touched.
+    """
+    return aged(warehouse.read(REPORT_TABLE, warehouse.snapshot()), as_of)

@@ -194,13 +194,22 @@ def monthly_figures(orders: DataFrame, products: DataFrame) -> DataFrame:
 
 def with_customers(figures: DataFrame, customers: DataFrame, as_of: date | str) -> DataFrame:
     """Report rows: monthly figures and the attributes of their customer, aged at ``as_of``."""
-    age = whole_years(F.col("customer_birthday"), F.lit(str(as_of)).cast("date"))
     people = customers.select(
-        CUSTOMERS_TABLE.id_col, *CUSTOMERS_TABLE.source_cols, age.alias("avg_age_customer")
+        CUSTOMERS_TABLE.id_col, *CUSTOMERS_TABLE.source_cols, _age(as_of).alias("avg_age_customer")
     )
     return conform(figures.join(people, "customer_id"), REPORT)
 
 
+def _age(as_of: date | str) -> Column:
+    return whole_years(F.col("customer_birthday"), F.lit(str(as_of)).cast("date"))
+
+
+def aged(report: DataFrame, as_of: date | str) -> DataFrame:
+    """Report rows with their customer's age at ``as_of``: a projection, as the birthday is in the row."""
+    kept = report.schema["avg_age_customer"].dataType.simpleString()
+    return report.withColumn("avg_age_customer", _age(as_of).cast(kept))
+
+
 def customer_report(
     orders: DataFrame, products: DataFrame, customers: DataFrame, as_of: date | str
 ) -> DataFrame:

@@ -21,7 +21,7 @@ def load_stream(
     orders_stream: DataFrame,
     customers_feed: Callable[[], DataFrame],
     name: str = "orders_feed",
-    policy: Policy = Policy(),
+    policy: Policy = Policy(only_if_changed=True),
     clock: Callable[[], datetime] = utc_now,
 ) -> DataStreamWriter:
     """Writer that loads every micro-batch; set its trigger and checkpoint location and start it.

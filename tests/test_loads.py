@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from checks.tables import AS_OF, feeds
 from guildmart.operators import quality
-from guildmart.operators.upsert import KEEP_FIRST
-from guildmart.plans.loads import Load, Policy, increment, rebuild, refresh_report
+from guildmart.operators.upsert import KEEP_FIRST, LATEST
+from guildmart.plans.loads import Load, Policy, increment, read_report, rebuild, refresh_report
 from guildmart.plans.report import customer_report
 from guildmart.schemas import (
     DIMENSIONS,
@@ -224,3 +224,53 @@ def test_creating_a_warehouse_twice_keeps_it(spark, tmp_path):
     assert new_warehouse(spark, tmp_path).snapshot().last_load == 1
     for table in WAREHOUSE:
         assert warehouse.read(table, warehouse.snapshot()).columns == table.schema.names
+
+
+def test_ages_are_those_of_a_rebuild_whenever_rows_were_written(spark, tmp_path):
+    warehouse = new_warehouse(spark, tmp_path)
+    people = customers_feed(spark, ANN)
+    late = order_feed_row(2, order_created_date=date(2025, 3, 1))
+    increment(warehouse, orders_feed(spark, order_feed_row(1)), people, "2024-02-01 00:00:00", "2024-02-01")
+    increment(warehouse, orders_feed(spark, late), people, "2026-02-01 00:00:00", "2026-02-01", Policy(only_if_changed=True))
+    frame = read_report(warehouse, "2026-02-01")
+    assert [int(row.avg_age_customer) for row in frame.collect()] == [46, 46]
+    assert frame.schema["avg_age_customer"].dataType.simpleString() == "decimal(3,1)"
+    before = sorted(map(tuple, frame.collect()), key=str)
+    rebuild(warehouse, "2026-02-02 00:00:00", "2026-02-01")
+    assert before == rows(warehouse, REPORT_TABLE)
+
+
+def test_a_rebuild_drops_rows_that_no_order_supports(spark, tmp_path):
+    warehouse = new_warehouse(spark, tmp_path)
+    feed = orders_feed(spark, order_feed_row(1), order_feed_row(2, order_created_date=date(2022, 3, 1)))
+    increment(warehouse, feed, customers_feed(spark, ANN), "2024-01-01 00:00:00", AS_OF)
+    ids = dict(rows(warehouse, REPORT_TABLE, "report_period", "id"))
+    load = Load(warehouse, "2024-01-02 00:00:00", AS_OF)
+    kept = warehouse.read(ORDERS_TABLE, load.before).filter("order_created_date > '2022-12-31'")
+    month = F.date_format("order_created_date", "yyyy-MM")
+    load._write(ORDERS_TABLE, kept.withColumn("order_month", month), ["2022-03", "2023-01"], replace=True)
+    load.commit()
+    rebuild(warehouse, "2024-01-03 00:00:00", AS_OF)
+    assert rows(warehouse, REPORT_TABLE, "report_period", "id") == [("2023-01", ids["2023-01"])]
+    assert report_rows(warehouse) == recomputed(warehouse)
+
+
+def test_the_latest_state_of_an_order_is_kept(spark, tmp_path):
+    warehouse = new_warehouse(spark, tmp_path)
+    done = order_feed_row(1, id=9, order_status="done", order_completion_date=date(2023, 1, 9))
+    feed = orders_feed(spark, done, order_feed_row(1))
+    policy = Policy(on_conflict=LATEST)
+    increment(warehouse, feed, customers_feed(spark, ANN), "2024-01-01 00:00:00", AS_OF, policy)
+    assert rows(warehouse, ORDERS_TABLE, "order_status") == [("done",)]
+
+
+def test_a_number_that_does_not_fit_is_left_out_or_fails(spark, tmp_path):
+    warehouse = new_warehouse(spark, tmp_path)
+    feed = orders_feed(spark, order_feed_row(1), order_feed_row(2, craftsman_address="12345678901 Lane"))
+    people = customers_feed(spark, ANN)
+    with pytest.raises(PySparkException):
+        increment(warehouse, feed, people, "2024-01-01 00:00:00", AS_OF)
+    increment(warehouse, feed, people, "2024-01-01 00:00:00", AS_OF, Policy(strict=False))
+    assert len(rows(warehouse, ORDERS_TABLE)) == 1
+    staged = spark.read.parquet(warehouse.path("_staging", 1)).filter("reject_reason is not null")
+    assert [row.reject_reason for row in staged.collect()] == ["craftsman_address_building out of range"]

@@ -5,7 +5,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from guildmart.operators.keys import BUCKETS, assign_ids
-from guildmart.operators.upsert import KEEP_FIRST, merge_single, one_per_key, upsert
+from guildmart.operators.upsert import KEEP_FIRST, LATEST, ORDER, merge_single, one_per_key, upsert
 from guildmart.schemas import PRODUCTS, PRODUCTS_TABLE, empty
 from tests.samples import LATER, STAMP
 
@@ -133,3 +133,22 @@ def test_a_small_source_gives_the_same_without_shuffling_the_target(spark):
 def test_an_empty_source_changes_nothing(spark):
     before = first_load(spark, ("cup", "blue", 5, "mugs"))
     assert load(spark, before).collect() == before.collect()
+
+
+def test_the_latest_of_conflicting_rows_wins_whatever_the_values(spark):
+    rows = [("p", "d", 1, "created", 5), ("p", "d", 1, "done", 7), ("p", "d", 1, "a", None), ("q", "d", 1, "x", 3), ("q", "d", 1, "y", 3)]
+    source = spark.createDataFrame(rows, f"product_name string, product_description string, product_price bigint, product_type string, {ORDER} bigint")
+    kept = one_per_key(source, PRODUCTS_TABLE.keys, ["product_type"], LATEST)
+    assert {row.product_name: row.product_type for row in kept.collect()} == {"p": "done", "q": "y"}
+    with pytest.raises(ValueError, match="order"):
+        one_per_key(source.drop(ORDER), PRODUCTS_TABLE.keys, ["product_type"], LATEST)
+
+
+def test_source_rows_are_hashed_before_any_sort(spark, tmp_path):
+    rows = [("p", "d", 1, "x")] * 3
+    frame = spark.createDataFrame(rows, "product_name string, product_description string, product_price bigint, product_type string")
+    frame.write.parquet(str(tmp_path / "rows"))
+    kept = one_per_key(spark.read.parquet(str(tmp_path / "rows")), PRODUCTS_TABLE.keys, ["product_type"], KEEP_FIRST)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan.strip().splitlines()[-2] or "HashAggregate" in plan.strip().splitlines()[-3], plan
+    assert [tuple(row) for row in kept.collect()] == [("p", "d", 1, "x")]
