@@ -66,38 +66,40 @@ def touched_months(
     customers: DataFrame,
     report: DataFrame,
     mark: Column,
+    recent: DataFrame | None = None,
 ) -> DataFrame:
     """The (customer, month) pairs of all changed orders, with the newest stamps seen in each.
 
     Same pairs as in ``changed_orders``, but orders never meet customers: the months of a customer
     whose attributes changed are in the report already, or are touched by a new order.
+
+    Each reason is a branch of its own, so that newer orders are found by a filter that reaches the
+    scan, and orders meet changed products or craftsmen in inner joins, which runtime filters prune.
+    Without changed products and craftsmen the other orders are not read at all. ``recent``, if
+    given, are the orders that can be newer than ``mark``.
     """
     newer = F.col("load_dttm") > mark
-    lines = orders.select(
-        "customer_id",
-        "craftsman_id",
-        "product_id",
-        month_of(F.col("order_created_date")).alias("report_period"),
-        F.when(newer, F.col("load_dttm")).alias("orders_load_dttm"),
-    )
+    month = month_of(F.col("order_created_date")).alias("report_period")
+    stamp = F.col("load_dttm")
+    fresh = (orders if recent is None else recent).filter(newer)
+    branches = [fresh.select("customer_id", month, stamp.alias("orders_load_dttm"))]
     for name, dim, id_col in (
         ("craftsmen", craftsmen, "craftsman_id"),
         ("products", products, "product_id"),
     ):
-        news = dim.filter(newer).select(id_col, F.col("load_dttm").alias(f"{name}_load_dttm"))
-        lines = lines.join(broadcast_small(news), id_col, "left")
-    by_order = lines.filter(F.coalesce(*STAMPS[:3]).isNotNull()).select(
-        *PAIR, *STAMPS[:3], F.lit(None).cast("timestamp_ntz").alias(STAMPS[3])
-    )
-    renewed = customers.filter(newer).select(
-        "customer_id", F.col("load_dttm").alias("customers_load_dttm")
-    )
-    by_customer = report.select(*PAIR).join(broadcast_small(renewed), "customer_id")
-    return (
-        by_order.unionByName(by_customer, allowMissingColumns=True)
-        .groupBy(*PAIR)
-        .agg(*(F.max(stamp).alias(stamp) for stamp in STAMPS))
-    )
+        news = dim.filter(newer).select(id_col, stamp.alias(f"{name}_load_dttm"))
+        if not news.isEmpty():
+            lines = orders.select("customer_id", id_col, month).join(broadcast_small(news), id_col)
+            branches.append(lines.drop(id_col))
+    renewed = customers.filter(newer).select("customer_id", stamp.alias("customers_load_dttm"))
+    branches.append(report.select(*PAIR).join(broadcast_small(renewed), "customer_id"))
+    touched = branches[0]
+    for branch in branches[1:]:
+        touched = touched.unionByName(branch, allowMissingColumns=True)
+    for name in STAMPS:
+        if name not in touched.columns:
+            touched = touched.withColumn(name, F.lit(None).cast("timestamp_ntz"))
+    return touched.groupBy(*PAIR).agg(*(F.max(name).alias(name) for name in STAMPS))
 
 
 def new_customers(delta: DataFrame, report: DataFrame) -> DataFrame:

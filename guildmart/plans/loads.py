@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import UTC, date, datetime
@@ -95,6 +96,7 @@ class Load:
         self.as_of = as_of or str(self.load_ts)[:10]
         self.before: Snapshot = warehouse.snapshot()
         self.load_id = self.before.last_load + 1
+        self.attempt = uuid.uuid4().hex
         self.mark = self._last_mark()
         self.written: dict[Table, tuple[list[str], int]] = {}
         self.current: dict[str, DataFrame] = {}
@@ -114,7 +116,7 @@ class Load:
 
     def _kept(self, name: str, frame: DataFrame) -> DataFrame:
         """Write an intermediate of this load, so that its several readers compute it once."""
-        path = self.warehouse.path(name, self.load_id)
+        path = self.warehouse.path(name, self.load_id, self.attempt)
         frame.write.mode("overwrite").parquet(path)
         return self.warehouse.spark.read.schema(frame.schema).parquet(path)
 
@@ -159,14 +161,19 @@ class Load:
         highest: int | None = None,
         replace: bool = False,
     ) -> None:
-        back = self.warehouse.write(table, self.load_id, frame, parts if replace else ())
+        back = self.warehouse.write(
+            table, self.load_id, self.attempt, frame, parts if replace else ()
+        )
         if highest is None:
             highest = _highest(back, table.id_col, self.before.max_id(table))
         self.written[table] = (parts, highest)
         pinned = dict(self.before.parts.get(table.name, {}))
         pinned.update(dict.fromkeys(parts, self.load_id))
-        after = Snapshot(self.load_id, {table.name: pinned}, {})
-        self.current[table.name] = self.warehouse.read(table, after)
+        self.current[table.name] = self.warehouse.read(table, self._pins(table, pinned))
+
+    def _pins(self, table: Table, parts: dict[str, int]) -> Snapshot:
+        attempts = {**self.before.attempts, self.load_id: self.attempt}
+        return Snapshot(self.load_id, {table.name: parts}, {}, attempts)
 
     def table(self, table: Table) -> DataFrame:
         """The table as this run has left it so far."""
@@ -209,6 +216,7 @@ class Load:
             customers,
             self.table(REPORT_TABLE),
             load_stamp(self.mark),
+            self._orders_since_mark(),
         )
         touched = self._kept("_touched", touched)
         months = _months(touched, "report_period")
@@ -247,15 +255,23 @@ class Load:
         return parts
 
     def _orders_of_months(self, months: list[str]) -> DataFrame:
-        snapshot = Snapshot(self.load_id, {ORDERS_TABLE.name: self._pinned(ORDERS_TABLE)}, {})
+        snapshot = self._pins(ORDERS_TABLE, self._pinned(ORDERS_TABLE))
         return self.warehouse.read(ORDERS_TABLE, snapshot, months)
 
+    def _orders_since_mark(self) -> DataFrame:
+        """The parts written after the load that took the mark: no other can hold a newer order."""
+        reported = self.before.max_id(LOG_TABLE)
+        fresh = {part: load for part, load in self._pinned(ORDERS_TABLE).items() if load > reported}
+        return self.warehouse.read(ORDERS_TABLE, self._pins(ORDERS_TABLE, fresh))
+
     def _log(self, mark: DataFrame) -> None:
+        """Write the log anew with one row more, in one part, so that reading it opens one file."""
         row = conform(mark.withColumn("id", F.lit(self.load_id).cast("bigint")), LOG_TABLE.schema)
-        self._write(LOG_TABLE, row, [str(self.load_id)], highest=self.load_id)
+        log = self.warehouse.read(LOG_TABLE, self.before).unionByName(row).coalesce(1)
+        self._write(LOG_TABLE, log, [WHOLE], highest=self.load_id)
 
     def commit(self, marks: dict[str, int] | None = None) -> None:
-        self.warehouse.commit(self.load_id, self.written, marks)
+        self.warehouse.commit(self.load_id, self.attempt, self.written, marks)
 
 
 def increment(

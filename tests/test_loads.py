@@ -7,8 +7,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from checks.tables import AS_OF, feeds
-from guildmart.operators import quality
-from guildmart.operators.upsert import KEEP_FIRST, LATEST
+from guildmart.operators import delta, quality
+from guildmart.operators.upsert import KEEP_FIRST, LATEST, load_stamp
 from guildmart.plans.loads import Load, Policy, increment, read_report, rebuild, refresh_report
 from guildmart.plans.report import customer_report
 from guildmart.schemas import (
@@ -201,6 +201,54 @@ def test_tables_loaded_without_a_report_are_caught_up_later(spark, tmp_path):
     assert rows(warehouse, LOG_TABLE, "load_dttm") == [(datetime(2024, 1, 1),)]
 
 
+def test_the_second_of_two_loads_on_one_snapshot_is_refused(spark, tmp_path):
+    warehouse = new_warehouse(spark, tmp_path)
+    first, second = (Load(warehouse, "2024-01-01 00:00:00", AS_OF) for _ in range(2))
+    for n, load in enumerate((first, second), 1):
+        staging = load.stage(*batch(spark, order_feed_row(n)))
+        load.dimensions(staging)
+        load.orders(staging)
+    first.commit()
+    kept = rows(warehouse, ORDERS_TABLE)
+    with pytest.raises(PySparkException, match="(?i)already.exists"):
+        second.commit()
+    assert rows(warehouse, ORDERS_TABLE) == kept != []
+    increment(warehouse, *batch(spark, order_feed_row(2)), "2024-01-02 00:00:00", AS_OF)
+    assert len(rows(warehouse, ORDERS_TABLE)) == 2
+
+
+def test_the_log_keeps_to_one_part(spark, tmp_path):
+    warehouse = new_warehouse(spark, tmp_path)
+    for day in (1, 2, 3):
+        refresh_report(warehouse, f"2024-01-0{day} 00:00:00", AS_OF)
+    assert warehouse.snapshot().parts[LOG_TABLE.name] == {"all": 3}
+    assert len(rows(warehouse, LOG_TABLE)) == 3
+
+
+def test_orders_of_earlier_loads_are_not_read_without_changed_dimensions(spark, tmp_path):
+    warehouse = new_warehouse(spark, tmp_path)
+    policy = Policy(only_if_changed=True)
+    known = order_feed_row(1)
+    increment(warehouse, *batch(spark, known), "2024-01-01 00:00:00", AS_OF, policy)
+    load = Load(warehouse, "2024-01-02 00:00:00", AS_OF, policy)
+    later = order_feed_row(1, id=2, order_id=2, order_created_date=date(2024, 3, 1))
+    staging = load.stage(*batch(spark, later))
+    load.dimensions(staging)
+    load.orders(staging)
+    touched = delta.touched_months(
+        load.table(ORDERS_TABLE),
+        *(load.table(table) for table in DIMENSIONS),
+        load.table(REPORT_TABLE),
+        load_stamp(load.mark),
+        load._orders_since_mark(),
+    )
+    read = [path for path in touched.inputFiles() if "/orders/" in path]
+    assert read and all("/load=2-" in path for path in read)
+    plan = touched._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(load_dttm" in plan
+    assert [row.report_period for row in touched.collect()] == ["2024-03"]
+
+
 def test_a_stamp_must_be_later_than_the_last_load(spark, tmp_path):
     warehouse = new_warehouse(spark, tmp_path)
     increment(warehouse, *batch(spark, order_feed_row(1)), "2024-01-02 00:00:00", AS_OF)
