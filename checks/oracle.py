@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from guildmart.schemas import CRAFTSMEN, CUSTOMERS, ORDERS, PRODUCTS, REPORT
-
 FIRST, SECOND = "timestamp '2024-01-01 00:00:00'", "timestamp '2024-01-02 00:00:00'"
 AS_OF, SPLIT = "date '2024-01-01'", "date '2001-01-01'"
 
@@ -235,23 +233,101 @@ def _with(sql: str, **extra: str) -> str:
     return "with " + ",\n".join(f"{n} as ({views[n]})" for n in names) + f"\nselect * from ({sql})"
 
 
-def _contract(name: str, relation: str, schema) -> str:
-    return " union all ".join(
-        f"""select '{name}' as table_name, '{f.name}' as column_name,
-            '{f.dataType.simpleString()}' as data_type, {str(f.nullable).lower()} as nullable,
+def _contract(name: str, relation: str, columns: str) -> str:
+    """``columns``: name and type of each, with a question mark where NULL is allowed."""
+    selects = []
+    for column in columns.split("; "):
+        column_name, data_type = column.split()
+        nullable = str(data_type.endswith("?")).lower()
+        selects.append(
+            f"""select '{name}' as table_name, '{column_name}' as column_name,
+            '{data_type.rstrip("?")}' as data_type, {nullable} as nullable,
             cast(count(*) as bigint) as row_count,
-            cast(count(*) - count({f.name}) as bigint) as null_count from {relation}"""
-        for f in schema.fields
+            cast(count(*) - count({column_name}) as bigint) as null_count from {relation}"""
+        )
+    return " union all ".join(selects)
+
+
+def _person_columns(kind: str) -> str:
+    return (
+        f"{kind}_name string; {kind}_surname string; {kind}_address_building int; "
+        f"{kind}_address_street string; {kind}_birthday date; {kind}_email string"
     )
 
 
 CONTRACTS = " union all ".join(
     [
-        _contract("products", "s_products", PRODUCTS),
-        _contract("craftsmen", "s_craftsmen", CRAFTSMEN),
-        _contract("customers", "s_customers", CUSTOMERS),
-        _contract("orders", "s_orders", ORDERS),
-        _contract("report", "report_after", REPORT),
+        _contract(
+            "products",
+            "s_products",
+            "product_id bigint; product_name string; product_description string; "
+            "product_type string; product_price bigint; load_dttm timestamp_ntz",
+        ),
+        _contract(
+            "craftsmen",
+            "s_craftsmen",
+            f"craftsman_id bigint; {_person_columns('craftsman')}; load_dttm timestamp_ntz",
+        ),
+        _contract(
+            "customers",
+            "s_customers",
+            f"customer_id bigint; {_person_columns('customer')}; load_dttm timestamp_ntz",
+        ),
+        _contract(
+            "orders",
+            "s_orders",
+            "order_id bigint; product_id bigint; craftsman_id bigint; customer_id bigint; "
+            "order_created_date date; order_completion_date date?; order_status string; "
+            "load_dttm timestamp_ntz",
+        ),
+        _contract(
+            "report",
+            "report_after",
+            f"customer_id bigint; {_person_columns('customer')}; customer_money decimal(15,2); "
+            "platform_money bigint; count_order bigint; avg_price_order decimal(10,2); "
+            "avg_age_customer decimal(3,1); median_time_order_completed decimal(10,1)?; "
+            "top_product_category string; top_craftsman bigint; count_order_created bigint; "
+            "count_order_in_progress bigint; count_order_delivery bigint; "
+            "count_order_done bigint; count_order_not_done bigint; report_period string",
+        ),
+    ]
+)
+
+
+def _repeated(name: str, relation: str, key: str) -> str:
+    return f"""select '{name}' as table_name, '{key}' as key,
+        cast(count(*) as bigint) as repeated_keys,
+        cast(coalesce(sum(n), 0) as bigint) as repeated_rows
+        from (select count(*) as n from {relation} group by {key} having count(*) > 1)"""
+
+
+PERSON_KEYS = {k: f"{k}_name, {k}_surname, {k}_email" for k in ("craftsman", "customer")}
+REPEATED = " union all ".join(
+    [
+        _repeated("products", "s_products", "product_id"),
+        _repeated("products", "s_products", "product_name, product_description, product_price"),
+        _repeated("craftsmen", "s_craftsmen", "craftsman_id"),
+        _repeated("craftsmen", "s_craftsmen", PERSON_KEYS["craftsman"]),
+        _repeated("customers", "s_customers", "customer_id"),
+        _repeated("customers", "s_customers", PERSON_KEYS["customer"]),
+        _repeated("orders", "s_orders", "order_id"),
+        _repeated("orders", "s_orders", "product_id, craftsman_id, customer_id, order_created_date"),
+        _repeated("customer_report", "report_after", "customer_id, report_period"),
+    ]
+)
+
+
+def _without_parent(name: str, key: str) -> str:
+    return f"""select '{name}' as parent, {key} as key, cast(count(*) as bigint) as row_count
+        from s_orders where {key} not in (select {key} from s_{name} where load_dttm <= {FIRST})
+        group by {key}"""
+
+
+PARENTLESS = " union all ".join(
+    [
+        _without_parent("products", "product_id"),
+        _without_parent("craftsmen", "craftsman_id"),
+        _without_parent("customers", "customer_id"),
     ]
 )
 
@@ -502,6 +578,8 @@ ORACLE: dict[str, str] = {
             where product_id not in (select product_id from s_products where load_dttm <= {FIRST})
             group by product_id"""
     ),
+    "check_keys": _with(REPEATED),
+    "check_parents": _with(PARENTLESS),
     "read_watermark": _with(
         "select coalesce(max(load_dttm), timestamp '1900-01-01') as load_dttm from s_orders"
     ),

@@ -100,7 +100,7 @@ def staging_overflow(spark, sf_dir):
 
 
 def staging_fact(spark, sf_dir):
-    staging = _staging(spark, sf_dir)
+    staging = written(_staging(spark, sf_dir))
     return rekey(staging, *_loaded_dims(spark, staging))
 
 
@@ -153,7 +153,7 @@ def surrogate_keys(spark, sf_dir):
 
 def _merge(spark, sf_dir, table: Table, renewed: dict[str, F.Column], policy: str) -> DataFrame:
     """The first batch's rows, then the second batch's with changed attributes merged into them."""
-    staging = _staging(spark, sf_dir)
+    staging = written(_staging(spark, sf_dir))
     before = upsert(
         empty(spark, table.schema),
         distinct_source(staging.filter(first_batch()), table),
@@ -162,7 +162,7 @@ def _merge(spark, sf_dir, table: Table, renewed: dict[str, F.Column], policy: st
         policy,
     )
     news = distinct_source(staging.filter(~first_batch()), table).withColumns(renewed)
-    return upsert(before, news, table, SECOND_LOAD, policy)
+    return upsert(written(before), written(news), table, SECOND_LOAD, policy)
 
 
 def merge_products(spark, sf_dir):
@@ -182,21 +182,21 @@ def merge_customers(spark, sf_dir):
 
 def merge_orders(spark, sf_dir):
     """All lines merged into those of the first batch, finished orders now under another status."""
-    tables = star(spark, sf_dir)
-    first = tables.orders.filter(first_batch())
+    orders = written(star(spark, sf_dir).orders)
+    first = orders.filter(first_batch())
     before = upsert(empty(spark, ORDERS), first, ORDERS_TABLE, FIRST_LOAD, KEEP_FIRST)
     status = F.regexp_replace("order_status", "^delivery$", "done")
-    news = tables.orders.withColumn("order_status", status)
-    return upsert(before, news, ORDERS_TABLE, SECOND_LOAD, KEEP_FIRST)
+    news = orders.withColumn("order_status", status)
+    return upsert(written(before), news, ORDERS_TABLE, SECOND_LOAD, KEEP_FIRST)
 
 
 def merge_orders_latest(spark, sf_dir):
     """All lines, the open ones in two states of which the later is done, merged into the first batch."""
-    tables = star(spark, sf_dir)
-    first = tables.orders.filter(first_batch())
+    orders = written(star(spark, sf_dir).orders)
+    first = orders.filter(first_batch())
     before = upsert(empty(spark, ORDERS), first, ORDERS_TABLE, FIRST_LOAD, KEEP_FIRST)
-    earlier = tables.orders.withColumn(ORDER, F.col("order_id") * 2)
-    later = tables.orders.filter("order_status <> 'done'").withColumns(
+    earlier = orders.withColumn(ORDER, F.col("order_id") * 2)
+    later = orders.filter("order_status <> 'done'").withColumns(
         {"order_status": F.lit("done"), ORDER: F.col("order_id") * 2 + 1}
     )
     return upsert(written(before), earlier.unionByName(later), ORDERS_TABLE, SECOND_LOAD, LATEST)
@@ -204,7 +204,7 @@ def merge_orders_latest(spark, sf_dir):
 
 def merge_null_keys(spark, sf_dir):
     """A person without a name matches nobody: kept in the target and inserted from the source."""
-    staging = _staging(spark, sf_dir)
+    staging = written(_staging(spark, sf_dir))
     nameless = {"customer_name": F.nullif(F.col("customer_name"), F.lit("BUILDING"))}
     before = upsert(
         empty(spark, CUSTOMERS),
@@ -213,7 +213,7 @@ def merge_null_keys(spark, sf_dir):
         FIRST_LOAD,
     )
     news = distinct_source(staging.filter(~first_batch()), CUSTOMERS_TABLE).withColumns(nameless)
-    return upsert(before, news, CUSTOMERS_TABLE, SECOND_LOAD).drop("customer_id")
+    return upsert(written(before), written(news), CUSTOMERS_TABLE, SECOND_LOAD).drop("customer_id")
 
 
 # Integrity -------------------------------------------------------------------------------------
@@ -257,6 +257,43 @@ def check_orphans(spark, sf_dir):
     return quality.orphans(tables.orders, known, "product_id")
 
 
+def check_keys(spark, sf_dir):
+    """Primary and natural keys of every table after a load: rows, and key values on several rows.
+
+    Natural keys of the derived tables do repeat, so that the second count is not always zero.
+    """
+    tables = star(spark, sf_dir)
+    report = written(_report(tables, tables.orders))
+    counted = []
+    for table, frame in (
+        *zip(DIMENSIONS, tables.dims(), strict=True),
+        (ORDERS_TABLE, tables.orders),
+        (REPORT_TABLE, report),
+    ):
+        for keys in {(table.id_col,), table.keys} if table.id_col in frame.columns else {table.keys}:
+            repeated = quality.duplicate_keys(frame, keys).agg(
+                F.count(F.lit(1)).alias("repeated_keys"),
+                F.coalesce(F.sum("row_count"), F.lit(0)).alias("repeated_rows"),
+            )
+            name, key = F.lit(table.name).alias("table_name"), F.lit(", ".join(keys)).alias("key")
+            counted.append(repeated.select(name, key, "repeated_keys", "repeated_rows"))
+    return _union(counted)
+
+
+def check_parents(spark, sf_dir):
+    """Order lines whose product, craftsman or customer came with the second load only."""
+    tables = star(spark, sf_dir)
+    parents = dict(zip((table.name for table in DIMENSIONS), tables.dims(), strict=True))
+    missing = []
+    for name, key in ORDERS_TABLE.parents:
+        known = parents[name].filter(F.col("load_dttm") <= _mark())
+        found = quality.orphans(tables.orders, known, key)
+        missing.append(
+            found.select(F.lit(name).alias("parent"), F.col(key).alias("key"), "row_count")
+        )
+    return _union(missing)
+
+
 # Deltas ----------------------------------------------------------------------------------------
 
 
@@ -418,6 +455,8 @@ QUERIES: dict[str, Query] = {
     "check_nulls": check_nulls,
     "check_unique": check_unique,
     "check_orphans": check_orphans,
+    "check_keys": check_keys,
+    "check_parents": check_parents,
     "read_watermark": read_watermark,
     "advance_watermark": advance_watermark,
     "delta_changed_orders": delta_changed_orders,

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from guildmart.operators.staging import split_person
 from guildmart.operators.upsert import load_stamp
 from guildmart.schemas import CRAFTSMEN, CUSTOMERS, ORDERS, PRODUCTS, conform
-from guildmart.sources.feeds import derived_customers_feed, derived_orders_feed
+from guildmart.sources.feeds import derived_craftsmen, derived_customers_feed, derived_orders_feed
 
 FIRST_LOAD = "2024-01-01 00:00:00"
 SECOND_LOAD = "2024-01-02 00:00:00"
@@ -58,14 +58,7 @@ def star(spark: SparkSession, sf_dir: str) -> Star:
         F.round(F.col("p_retailprice") * 10).cast("bigint").alias("product_price"),
         _stamped(F.col("p_size") > 48).alias("load_dttm"),
     )
-    craftsmen_feed = orders_feed.select(
-        "craftsman_id",
-        "craftsman_name",
-        "craftsman_address",
-        "craftsman_birthday",
-        "craftsman_email",
-    ).distinct()
-    craftsmen = split_person(craftsmen_feed, "craftsman").withColumn(
+    craftsmen = split_person(derived_craftsmen(spark, sf_dir), "craftsman").withColumn(
         "load_dttm", _stamped(F.col("craftsman_address_building") == 7)
     )
     customers = split_person(customers_feed, "customer").withColumn(

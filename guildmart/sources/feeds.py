@@ -49,9 +49,28 @@ def derived_customers_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(feed, CUSTOMERS_FEED)
 
 
+def _craftsman() -> list[F.Column]:
+    key = F.col("s_suppkey")
+    building = (key % 89 + 1).cast("string")
+    return [
+        key.alias("craftsman_id"),
+        F.concat(F.lit("Master "), "s_name").alias("craftsman_name"),
+        F.concat(building, F.lit(" "), "r_name", F.lit(" Lane")).alias("craftsman_address"),
+        F.date_add(F.lit("1950-01-01").cast("date"), (key * 41 % 15000).cast("int"))
+        .alias("craftsman_birthday"),
+        F.concat(F.lower("s_name"), F.lit("@example.com")).alias("craftsman_email"),
+    ]
+
+
+def derived_craftsmen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The craftsmen of the orders feed made from supplier, nation and region, each once."""
+    suppliers = _placed(spark, sf_dir, _table(spark, sf_dir, "supplier"), "s_nationkey")
+    return suppliers.select(*_craftsman())
+
+
 def derived_orders_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders feed made from lineitem, orders, part, supplier, nation and region."""
-    supplier_key, ordered = F.col("s_suppkey"), F.col("o_orderdate").cast("date")
+    ordered = F.col("o_orderdate").cast("date")
     finished = F.date_add(ordered, (F.col("l_orderkey") % 11 + F.col("l_linenumber")).cast("int"))
     status = (
         F.when(F.col("o_orderstatus") == "F", "done")
@@ -63,19 +82,13 @@ def derived_orders_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         _table(spark, sf_dir, "lineitem")
         .join(_table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(_table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(_table(spark, sf_dir, "supplier"), F.col("l_suppkey") == supplier_key)
+        .join(_table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
     )
     feed = (
         _placed(spark, sf_dir, lines, "s_nationkey")
         .select(
             (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
-            supplier_key.alias("craftsman_id"),
-            F.concat(F.lit("Master "), "s_name").alias("craftsman_name"),
-            F.concat((supplier_key % 89 + 1).cast("string"), F.lit(" "), "r_name", F.lit(" Lane"))
-            .alias("craftsman_address"),
-            F.date_add(F.lit("1950-01-01").cast("date"), (supplier_key * 41 % 15000).cast("int"))
-            .alias("craftsman_birthday"),
-            F.concat(F.lower("s_name"), F.lit("@example.com")).alias("craftsman_email"),
+            *_craftsman(),
             F.col("p_partkey").alias("product_id"),
             F.col("p_name").alias("product_name"),
             F.col("p_brand").alias("product_description"),
