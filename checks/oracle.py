@@ -355,9 +355,11 @@ MASTERS = f"""
 
 # The literal SQL joins every month of a customer with each tied category and each craftsman.
 AS_WRITTEN = f"""
-    select m.*, tied_categories, first_category, craftsmen, first_craftsman, written_rows
-    from (select customer_id, report_period, {MEASURES} from lines
+    select m.*, {PERSON}, cast(date_part('year', age({AS_OF}, customer_birthday))
+        as decimal(3,1)) as avg_age_customer, tied_categories, first_category, craftsmen, first_craftsman, written_rows
+    from (select customer_id, report_period, {MEASURES}, {MEDIAN} from lines
           group by customer_id, report_period) m
+      join s_customers using (customer_id)
       join (select customer_id, cast(count(distinct product_type) as bigint) as tied_categories,
               min(product_type) as first_category,
               cast(count(distinct craftsman_id) as bigint) as craftsmen,
@@ -641,6 +643,11 @@ ORACLE: dict[str, str] = {
            union all
            select b.* from report_before b anti join touched using (customer_id, report_period)"""
     ),
+    "load_log": f"""
+        select 'empty' as entry, cast(null as bigint) as id, timestamp '1900-01-01' as load_dttm
+        union all select 'load', 1, {FIRST} union all select 'load', 2, {SECOND}
+        union all select 'load', 3, timestamp '2024-01-03 00:00:00'
+        union all select 'mark', cast(null as bigint), timestamp '2024-01-03 00:00:00'""",
     "increment_two_batches": _with(report("w_lines", "w_customers"), **BATCH_VIEWS),
     "increment_overlapping_batches": _with(report("x_lines", "x_customers"), **OVERLAP_VIEWS),
 }

@@ -12,6 +12,7 @@ from checks.tables import (
     AS_OF,
     FIRST_LOAD,
     SECOND_LOAD,
+    THIRD_LOAD,
     Star,
     feeds,
     first_batch,
@@ -24,13 +25,14 @@ from guildmart.operators.rekey import rekey, star_join
 from guildmart.operators.staging import REASON, build_staging, rejected
 from guildmart.operators.upsert import KEEP_FIRST, LATEST, ORDER, inserted, load_stamp, updated, upsert
 from guildmart.plans import report as R
-from guildmart.plans.loads import Policy, distinct_source, increment, read_report
+from guildmart.plans.loads import Policy, distinct_source, increment, read_report, refresh_report
 from guildmart.schemas import (
     CRAFTSMEN,
     CRAFTSMEN_TABLE,
     CUSTOMERS,
     CUSTOMERS_TABLE,
     DIMENSIONS,
+    LOG_TABLE,
     ORDERS,
     ORDERS_TABLE,
     PRODUCTS,
@@ -376,6 +378,12 @@ def _recomputed(tables: Star, before: DataFrame) -> DataFrame:
     )
 
 
+def report_as_written(spark, sf_dir):
+    tables = star(spark, sf_dir)
+    lines = R.order_lines(tables.orders, tables.products)
+    return R.report_as_written(lines, tables.customers, AS_OF)
+
+
 def report_incremental(spark, sf_dir):
     tables = star(spark, sf_dir)
     return _recomputed(tables, _report_before(tables))
@@ -410,6 +418,28 @@ def increment_two_batches(spark, sf_dir):
     return warehouse.read(REPORT_TABLE, warehouse.snapshot()).drop("id")
 
 
+def load_log(spark, sf_dir):
+    """The stored log after both batches and a refresh that finds nothing changed, and the marks read
+    from it and from an empty log."""
+    orders, customers = feeds(spark, sf_dir)
+    root = f"{shared_folder(spark)}/warehouse-{uuid.uuid4().hex}"
+    warehouse = Warehouse(spark, root).create()
+    policy = Policy(on_conflict=KEEP_FIRST)
+    empty_log = warehouse.read(LOG_TABLE, warehouse.snapshot())
+    for batch, load_ts in ((first_batch(), FIRST_LOAD), (~first_batch(), SECOND_LOAD)):
+        increment(warehouse, orders.filter(batch), customers, load_ts, AS_OF, policy)
+    refresh_report(warehouse, THIRD_LOAD, AS_OF, policy)
+    log = warehouse.read(LOG_TABLE, warehouse.snapshot())
+    no_id = F.lit(None).cast("bigint").alias("id")
+    return _union(
+        [
+            log.select(F.lit("load").alias("entry"), "id", "load_dttm"),
+            delta.read_mark(log).select(F.lit("mark").alias("entry"), no_id, "load_dttm"),
+            delta.read_mark(empty_log).select(F.lit("empty").alias("entry"), no_id, "load_dttm"),
+        ]
+    )
+
+
 def increment_overlapping_batches(spark, sf_dir):
     """Two batches that share months, customers and orders, which are open in the first; ages as of
     the second. Only changed rows are stamped."""
@@ -474,11 +504,12 @@ QUERIES: dict[str, Query] = {
     "top_craftsman": over_lines(R.top_craftsman),
     "top_category_as_written": over_lines(R.top_categories_as_written),
     "top_craftsman_as_written": over_lines(R.top_craftsmen_as_written),
-    "report_as_written": over_lines(R.report_as_written),
+    "report_as_written": report_as_written,
     "report_full": report_full,
     "report_incremental": report_incremental,
     "datamart_insert_new": datamart_insert_new,
     "datamart_update_existing": datamart_update_existing,
     "increment_two_batches": increment_two_batches,
+    "load_log": load_log,
     "increment_overlapping_batches": increment_overlapping_batches,
 }

@@ -18,6 +18,7 @@ from guildmart.sources.feeds import derived_craftsmen, derived_customers_feed, d
 
 FIRST_LOAD = "2024-01-01 00:00:00"
 SECOND_LOAD = "2024-01-02 00:00:00"
+THIRD_LOAD = "2024-01-03 00:00:00"
 AS_OF = "2024-01-01"
 SPLIT_DAY = "2001-01-01"
 

@@ -149,8 +149,8 @@ def top_craftsmen_as_written(lines: DataFrame) -> DataFrame:
     return craftsman_counts(lines)
 
 
-def report_as_written(lines: DataFrame) -> DataFrame:
-    """Measures per customer and month next to the number of rows the literal SQL would repeat them in.
+def report_as_written(lines: DataFrame, customers: DataFrame, as_of: date | str) -> DataFrame:
+    """Report rows, without top entries, next to the number of rows the literal SQL repeats them in.
 
     Read literally, each row repeats once per tied category and craftsman of the customer. That
     product is counted here and not spelled out; its two factors are the frames above.
@@ -162,8 +162,11 @@ def report_as_written(lines: DataFrame) -> DataFrame:
     masters = top_craftsmen_as_written(lines).groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("craftsmen"), F.min("craftsman_id").alias("first_craftsman")
     )
+    median = median_completion(lines.filter(F.col("days").isNotNull()))
     return (
         report_measures(lines)
+        .join(median, list(GROUP), "left")
+        .join(_people(customers, as_of), "customer_id")
         .join(ties, "customer_id")
         .join(masters, "customer_id")
         .withColumn("written_rows", F.col("tied_categories") * F.col("craftsmen"))
@@ -194,10 +197,14 @@ def monthly_figures(orders: DataFrame, products: DataFrame) -> DataFrame:
 
 def with_customers(figures: DataFrame, customers: DataFrame, as_of: date | str) -> DataFrame:
     """Report rows: monthly figures and the attributes of their customer, aged at ``as_of``."""
-    people = customers.select(
-        CUSTOMERS_TABLE.id_col, *CUSTOMERS_TABLE.source_cols, _age(as_of).alias("avg_age_customer")
+    return conform(figures.join(_people(customers, as_of), "customer_id"), REPORT)
+
+
+def _people(customers: DataFrame, as_of: date | str) -> DataFrame:
+    age = _age(as_of).cast(REPORT["avg_age_customer"].dataType.simpleString())
+    return customers.select(
+        CUSTOMERS_TABLE.id_col, *CUSTOMERS_TABLE.source_cols, age.alias("avg_age_customer")
     )
-    return conform(figures.join(people, "customer_id"), REPORT)
 
 
 def _age(as_of: date | str) -> Column:

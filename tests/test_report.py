@@ -179,7 +179,7 @@ def test_as_written_rows_repeat_per_tie_and_craftsman(spark):
     lines = R.order_lines(orders(spark, *rows), products(spark, {1: ("toys", 5), 2: ("cups", 7)}))
     counted = {
         (r.customer_id, r.report_period): (r.tied_categories, r.craftsmen, r.written_rows)
-        for r in R.report_as_written(lines).collect()
+        for r in R.report_as_written(lines, customers(spark, 1, 2), AS_OF).collect()
     }
     # customer 1 has two toys and two cups from three craftsmen over both months
     assert counted == {(1, "2023-01"): (2, 3, 6), (1, "2023-02"): (2, 3, 6), (2, "2023-01"): (1, 1, 1)}
