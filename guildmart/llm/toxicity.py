@@ -1,6 +1,6 @@
 """Toxicity by class-conditional Kneser-Ney models of the characters in words.
 
-Each class, toxic and ordinary, has an interpolated model of a character given the four before it in
+Each class, toxic and ordinary, has an interpolated model of a character given the five before it in
 its word. Both back off to the same Kneser-Ney counts, pooled over the classes, so a rare expression
 that neither class has seen says nothing, and a new word with a known beginning says as much as its
 beginning. A word's evidence is the difference of its two log-likelihoods. Where both classes back
@@ -13,7 +13,7 @@ on these normalised differences, fitted on labelled documents that the models in
 fitted on (two folds), gives the score.
 
 The models are fitted on about ``MAX_LABELLED`` documents per class, so they are bounded, whatever
-the size of the data, and are broadcast. Defined results: missing and empty texts are scored like
+the size of the data, and are broadcast as sorted arrays, which Python workers hold in a few MB. Defined results: missing and empty texts are scored like
 texts without a toxic word. Without labelled documents of both classes all scores are 0. Repeated
 rows are scored each. Labels, lang and source are never read when scoring.
 """
@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -32,10 +32,10 @@ from pyspark.sql import functions as F
 from guildmart.llm.common import Frames, alnum_words
 from guildmart.llm.labelled import remainder, sample
 
-ORDER = 5
+ORDER = 6  # at most 8: an n-gram is kept as an integer of 64 bits
 DISCOUNT = 0.75
 TELLING = 3
-MAX_LABELLED = 3000
+MAX_LABELLED = 6000
 MAX_TEXT_BYTES = 100_000
 THRESHOLD = 0.7
 FOLDS, HELD_OUT = 3, 1
@@ -53,6 +53,23 @@ def grams(word: bytes, order: int = ORDER) -> list[bytes]:
     return [padded[i : i + order] for i in range(len(word) + 1)]
 
 
+class Table:
+    """Values by byte strings of up to eight bytes and one length, in two sorted arrays."""
+
+    def __init__(self, values: dict[bytes, float]) -> None:
+        keys = np.array([int.from_bytes(k) for k in values], dtype=np.uint64)
+        order = np.argsort(keys)
+        self.keys, self.values = keys[order], np.array(list(values.values()), dtype=np.float64)[order]
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(values, whether the table has them)."""
+        if not len(self.keys):
+            return np.zeros(len(keys)), np.zeros(len(keys), dtype=bool)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        known = self.keys[at] == keys
+        return np.where(known, self.values[at], 0.0), known
+
+
 class Shared:
     """Interpolated Kneser-Ney over the pooled counts; below the top order, of distinct left neighbours."""
 
@@ -84,9 +101,10 @@ class Shared:
 
 @dataclass(frozen=True)
 class Model:
-    ratio: dict[bytes, float]  # of a seen n-gram
-    backoff: dict[bytes, float]  # of an unseen one after a seen context
+    ratio: Table  # of a seen n-gram
+    backoff: Table  # of an unseen one after a seen context
     weights: np.ndarray  # of the logistic regression, intercept last
+    order: int = ORDER
 
     @classmethod
     def fit(cls, counts: tuple[Counter, Counter], order: int = ORDER) -> Model:
@@ -108,15 +126,23 @@ class Model:
                 logs.append(math.log(own + mass.get(context, 1.0) * lower))
             ratio[gram] = logs[1] - logs[0]
         backoff = {c: math.log(left[1].get(c, 1.0) / left[0].get(c, 1.0)) for c in totals[0] | totals[1]}
-        return cls(ratio, backoff, np.zeros(4))
+        return cls(Table(ratio), Table(backoff), np.zeros(4), order)
+
+    def evidences(self, found: list[bytes]) -> np.ndarray:
+        """log P(word | toxic) - log P(word | ordinary) of each word."""
+        padding = START * (self.order - 1)
+        text = np.frombuffer(b"".join([padding + w + END for w in found]), dtype=np.uint8).astype(np.uint64)
+        sizes = np.array([len(w) + 1 for w in found])
+        first = np.cumsum(sizes) - sizes
+        starts = np.arange(sizes.sum()) + np.repeat(np.arange(len(found)), sizes) * (self.order - 1)
+        contexts = np.zeros(len(starts), dtype=np.uint64)
+        for i in range(self.order - 1):
+            contexts = contexts << np.uint64(8) | text[starts + i]
+        ratio, known = self.ratio.find(contexts << np.uint64(8) | text[starts + self.order - 1])
+        return np.add.reduceat(np.where(known, ratio, self.backoff.find(contexts)[0]), first)
 
     def evidence(self, word: bytes) -> float:
-        """log P(word | toxic) - log P(word | ordinary)."""
-        total = 0.0
-        for gram in grams(word):
-            known = self.ratio.get(gram)
-            total += self.backoff.get(gram[:-1], 0.0) if known is None else known
-        return total
+        return float(self.evidences([word])[0])
 
 
 class Scorer:
@@ -127,17 +153,14 @@ class Scorer:
 
     def features(self, text: str | None) -> np.ndarray:
         """Differences of the length-normalised log-likelihoods: all words, telling ones, the most telling."""
-        known, found = self.known, []
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        for word in words(text):
-            value = known.get(word)
-            if value is None:
-                value = known[word] = self.model.evidence(word)
-            found.append(value)
+        known, found = self.known, words(text)
         if not found:
             return np.array([0.0, 0.0, 0.0, 1.0])
-        values = np.array(found)
+        if len(known) > CACHE_WORDS:
+            known.clear()
+        if new := [w for w in dict.fromkeys(found) if w not in known]:
+            known.update(zip(new, self.model.evidences(new).tolist()))
+        values = np.array([known[w] for w in found])
         telling = np.partition(values, -TELLING)[-TELLING:] if len(values) > TELLING else values
         return np.array([values.mean(), telling.sum() / TELLING, values.max(), 1.0])
 
@@ -188,10 +211,11 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
     if not both[0] or not both[1]:
         return None
     model = Model.fit(both)
+    del both
     if len(counts) < 4:
-        return Model(model.ratio, model.backoff, np.array([0.0, 1.0, 0.0, -5.0]))
+        return replace(model, weights=np.array([0.0, 1.0, 0.0, -5.0]))
     # The model of one fold is applied to the other one.
-    crossed = spark.sparkContext.broadcast([Model.fit((counts[1 - f, 0], counts[1 - f, 1])) for f in (0, 1)])
+    crossed = spark.sparkContext.broadcast([Model.fit((counts.pop((1 - f, 0)), counts.pop((1 - f, 1)))) for f in (0, 1)])
 
     def features(frames: Frames) -> Frames:
         scorers = [Scorer(m) for m in crossed.value]
@@ -202,7 +226,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
     x = rows.mapInPandas(features, "a double, b double, c double, d double, y double").toPandas()
     crossed.destroy()
     x = x.sort_values(list("abcdy")).to_numpy()
-    return Model(model.ratio, model.backoff, logistic(x[:, :4], x[:, 4]))
+    return replace(model, weights=logistic(x[:, :4], x[:, 4]))
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:

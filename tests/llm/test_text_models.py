@@ -185,6 +185,21 @@ def test_evidence_is_the_difference_of_log_likelihoods():
         assert model.evidence(word) == pytest.approx(likelihood(word, counts[1]) - likelihood(word, counts[0]))
 
 
+def test_five_characters_of_context_and_whole_sample():
+    # Only the character five before the last tells these words' classes apart.
+    words = ([b"vabcdy", b"wabcdx"], [b"vabcdx", b"wabcdy"])
+    model = toxicity.Model.fit(tuple(Counter(g for w in own for g in toxicity.grams(w)) for own in words))
+    assert model.evidence(b"vabcdx") > 0.1 and model.evidence(b"vabcdy") < -0.1
+    assert toxicity.MAX_LABELLED >= 6000
+
+
+def test_evidence_of_many_words_is_that_of_each():
+    counts = tuple(Counter(g for w in words for g in toxicity.grams(w)) for words in ([b"abc", b"abd", b"bb"], [b"abx", b"xx"]))
+    model = toxicity.Model.fit(counts)
+    words = [b"abc", b"q", "abx\u00e4\u4f60".encode(), b"a" * 40, b"xx"]
+    assert model.evidences(words).tolist() == [model.evidence(w) for w in words]
+
+
 # Language --------------------------------------------------------------------------------------
 
 
