@@ -9,9 +9,11 @@ Counting and scoring are two rounds of packed messages, so that no row is made p
 1. Documents are cut into chunks of at most ``CHUNK_WORDS`` words; a chunk keeps a dictionary of its
    distinct words (64-bit hashes) and its text as numbers in it. Dictionaries go, by hash, to word
    shards, which sum the counts, number the words by frequency, and answer with numbers and counts.
-2. Pairs of word numbers go to pair shards by their context; a context with more than a quarter of a
-   shard is spread over several shards by the second word. A shard counts the training pairs of all
-   chunks, builds its trie, looks all pairs up, and answers with one sum per document.
+2. A chunk's distinct pairs of word numbers, with their training counts, go to pair shards by their
+   context; a context with more than a quarter of a shard is spread over several shards by the second
+   word. A shard sums the counts of all chunks, builds its trie, looks the pairs up, and answers with
+   one code per pair. Chunks sum their documents themselves, so even a pair that is a third of all
+   words is one entry per chunk.
 
 The number of shards grows with the words, so a shard's memory doesn't, and all tables cover the whole
 corpus. Written chunks and answers make a lost executor cost its tasks only. The order is two: the
@@ -34,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from guildmart.llm.common import Frames, utf8
-from guildmart.llm.elias_fano import PairTrie
+from guildmart.llm.elias_fano import PairTrie, quantise, restore
 from guildmart.sources.warehouse import written
 
 MU = 50.0
@@ -164,52 +166,58 @@ def pair_shards(contexts: np.ndarray, counts: np.ndarray, words: np.ndarray, sha
     return ((_mixed(contexts) + _mixed(words) % spread) % np.uint64(shards)).astype(np.int64)
 
 
-def _send_pairs(numbered: DataFrame, shards: int, total: int, kinds: int, starts: int) -> DataFrame:
-    """Messages to the pair shards, and each chunk's base figures in one of them."""
-    unit = total + kinds + 1
+class _Chunk:
+    """A chunk's texts as numbers in its dictionary, which is in order of the word numbers, and its distinct pairs."""
+
+    def __init__(self, row, shards: int, total: int, starts: int) -> None:
+        hashes, numbers = _unpack(row.words, "<u8"), _unpack(row.numbers, "<u4")
+        ids, counts = np.empty(len(hashes), np.int64), np.empty(len(hashes), np.int64)
+        to = (hashes % np.uint64(shards)).astype(np.int64)
+        for part in row.answers:
+            at = to == part["shard"]
+            ids[at], counts[at] = _unpack(part["ids"], "<u8"), _unpack(part["counts"], "<u8")
+        order = np.argsort(ids, kind="stable")
+        rank = np.empty(len(ids), np.int64)
+        rank[order] = np.arange(len(ids))
+        # The start comes last.
+        self.ids, self.counts = np.append(ids[order], START), np.append(counts[order], starts)
+        self.words = rank[numbers]
+        self.lengths, self.held = _unpack(row.lengths, "<u4").astype(np.int64), _unpack(row.held, "u1")
+        context = np.roll(self.words, 1)
+        context[np.cumsum(self.lengths) - self.lengths] = len(ids)
+        pairs, self.pair = np.unique(context * (len(ids) + 1) + self.words, return_inverse=True)
+        self.heads, self.tails = np.divmod(pairs, len(ids) + 1)
+        shard = pair_shards(self.ids[self.heads], self.counts[self.heads], self.ids[self.tails], shards, total)
+        by_shard = np.argsort(shard, kind="stable")
+        ends = np.searchsorted(shard[by_shard], np.arange(shards + 1))
+        # (shard, its pairs), the same whenever the chunk is read.
+        self.parts = {k: by_shard[ends[k] : ends[k + 1]] for k in np.flatnonzero(np.diff(ends)).tolist()}
+
+    def messages(self):
+        learnt = np.bincount(self.pair, weights=np.repeat(self.held == 0, self.lengths), minlength=len(self.heads))
+        for shard, own in self.parts.items():
+            heads, at = np.unique(self.heads[own], return_index=True)
+            tails, number = np.unique(self.tails[own], return_inverse=True)
+            yield {
+                "shard": shard,
+                "heads": _pack(self.ids[heads], "<u8"),
+                "head_counts": _pack(self.counts[heads], "<u8"),
+                "runs": _pack(np.diff(np.append(at, len(own))), "<u4"),
+                "tails": _pack(self.ids[tails], "<u8"),
+                "tail_counts": _pack(self.counts[tails], "<u8"),
+                "numbers": _pack(number, "<u4"),
+                "learnt": _pack(learnt[own], "<u4"),
+            }
+
+
+def _send_pairs(numbered: DataFrame, shards: int, total: int, starts: int) -> DataFrame:
+    """Messages to the pair shards: each chunk's distinct pairs with their training counts."""
 
     def send(frames: Frames) -> Frames:
         for frame in frames:
             for row in frame.itertuples():
-                hashes, numbers = _unpack(row.words, "<u8"), _unpack(row.numbers, "<u4")
-                ids, counts = np.empty(len(hashes), np.int64), np.empty(len(hashes), np.int64)
-                to = (hashes % np.uint64(shards)).astype(np.int64)
-                for part in row.answers:
-                    at = to == part["shard"]
-                    ids[at], counts[at] = _unpack(part["ids"], "<u8"), _unpack(part["counts"], "<u8")
-                lengths = _unpack(row.lengths, "<u4").astype(np.int64)
-                first = np.cumsum(lengths) - lengths
-                doc = np.repeat(np.arange(len(lengths)), lengths)
-                word, count = ids[numbers], counts[numbers]
-                context, context_count = np.roll(word, 1), np.roll(count, 1)
-                context[first], context_count[first] = START, starts
-                base = np.bincount(doc, weights=np.log10((count + 1) / unit), minlength=len(lengths))
-                known = np.bincount(doc, weights=count > 0, minlength=len(lengths)).astype(np.int64)
-                shard = pair_shards(context, context_count, word, shards, total)
-                order = np.lexsort((word, context, shard))
-                del numbers, ids, counts, hashes
-                ends = np.searchsorted(shard[order], np.arange(shards + 1))
-                for k in np.flatnonzero(np.diff(ends)).tolist():
-                    own = order[ends[k] : ends[k + 1]]
-                    heads, at = np.unique(context[own], return_index=True)
-                    tails, number, tail_at = _distinct(word[own])
-                    yield pd.DataFrame(
-                        {
-                            "shard": [k],
-                            "chunk": [row.chunk],
-                            "held": [row.held],
-                            "docs": [_pack(doc[own], "<u4")],
-                            "heads": [_pack(heads, "<u8")],
-                            "head_counts": [_pack(context_count[own][at], "<u8")],
-                            "runs": [_pack(np.diff(np.append(at, len(own))), "<u4")],
-                            "tails": [_pack(tails, "<u8")],
-                            "tail_counts": [_pack(count[own][tail_at], "<u8")],
-                            "numbers": [_pack(number, "<u4")],
-                        }
-                    )
-                yield pd.DataFrame(
-                    {"shard": [-1 - int(shard[0])], "chunk": [row.chunk], "docs": [_pack(base, "<f8")], "numbers": [_pack(known, "<u4")], "heads": [row.ids], "head_counts": [row.missing], "tails": [_pack(lengths, "<u4")], "held": [row.held]}
-                ).reindex(columns=[c.split()[0] for c in _MESSAGE])
+                for message in _Chunk(row, shards, total, starts).messages():
+                    yield pd.DataFrame([{"chunk": row.chunk, **message}]).reindex(columns=[c.split()[0] for c in _MESSAGE])
 
     return numbered.mapInPandas(send, ", ".join(_MESSAGE))
 
@@ -217,75 +225,83 @@ def _send_pairs(numbered: DataFrame, shards: int, total: int, kinds: int, starts
 _MESSAGE = [
     "shard int",
     "chunk bigint",
-    "held binary",
-    "docs binary",
     "heads binary",
     "head_counts binary",
     "runs binary",
     "tails binary",
     "tail_counts binary",
     "numbers binary",
+    "learnt binary",
 ]
 
 
-def _distinct(values: np.ndarray):
-    """(distinct values, number of each value in them, a place of each distinct value)."""
-    tails, at, number = np.unique(values, return_index=True, return_inverse=True)
-    return tails, number, at
-
-
 def smoothed(pair: np.ndarray, context: np.ndarray, word: np.ndarray, unit: int) -> np.ndarray:
     """log10 P(w | h) from c(h w), c(h) and c(w)."""
     return np.log10((pair + MU * (word + 1) / unit) / (context + MU))
 
 
-def _score_pairs(unit: int):
-    def score(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        if key[0] < 0:  # the chunks' own figures pass
-            return pd.DataFrame({"chunk": frame.chunk, "sums": None, "base": frame.docs, "known": frame.numbers, "ids": frame.heads, "missing": frame.head_counts, "lengths": frame.tails, "held": frame.held})
+def _look_up(unit: int):
+    def pairs(m) -> list[np.ndarray]:
+        """Contexts and words of a message, and the places of both in it."""
+        head, tail = np.repeat(np.arange(len(runs := _unpack(m.runs, "<u4"))), runs), _unpack(m.numbers, "<u4")
+        return [_unpack(m.heads, "<u8").astype(np.int64)[head], _unpack(m.tails, "<u8").astype(np.int64)[tail], head, tail]
+
+    def look_up(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         parts = []
         for m in frame.itertuples():
-            runs, number = _unpack(m.runs, "<u4"), _unpack(m.numbers, "<u4")
-            doc = _unpack(m.docs, "<u4").astype(np.int64)
-            held = _unpack(m.held, "u1")
-            context = np.repeat(_unpack(m.heads, "<u8").astype(np.int64), runs)
-            context_count = np.repeat(_unpack(m.head_counts, "<u8").astype(np.int64), runs)
-            word = _unpack(m.tails, "<u8").astype(np.int64)[number]
-            word_count = _unpack(m.tail_counts, "<u8").astype(np.int64)[number]
-            parts.append((doc, held, context, context_count, word, word_count))
-        learnt = [held[doc] == 0 for doc, held, *_ in parts]
-        columns = [np.concatenate([p[i][at] for p, at in zip(parts, learnt)]) for i in (2, 4, 3, 5)]
+            at = np.flatnonzero(counts := _unpack(m.learnt, "<u4"))
+            context, word, head, tail = (x[at] for x in pairs(m))
+            head_counts, tail_counts = (_unpack(b, "<u8").astype(np.int64) for b in (m.head_counts, m.tail_counts))
+            parts.append((context, word, counts[at].astype(np.int64), head_counts[head], tail_counts[tail]))
+        columns = [np.concatenate(c) for c in zip(*parts)]
+        del parts
         order = np.lexsort((columns[1], columns[0]))
-        context, word, context_count, word_count = (c[order] for c in columns)
+        context, word, count, context_count, word_count = (c[order] for c in columns)
         new = np.ones(len(order), dtype=bool)
         new[1:] = (context[1:] != context[:-1]) | (word[1:] != word[:-1])
         at = np.flatnonzero(new)
-        pair_count = np.diff(np.append(at, len(order)))
-        trie = PairTrie(context[at], word[at], smoothed(pair_count, context_count[at], word_count[at], unit))
-        sums = []
-        for doc, held, context, context_count, word, word_count in parts:
-            found = trie.find(context, word)
-            backoff = smoothed(np.zeros(len(doc)), context_count, word_count, unit)
-            logs = np.where(np.isnan(found), backoff, found)
-            sums.append(_pack(np.bincount(doc, weights=logs, minlength=len(held)), "<f8"))
-        return pd.DataFrame({"chunk": frame.chunk, "sums": sums, "base": None, "known": None, "ids": None, "missing": None, "lengths": None, "held": None})
-
-    return score
-
-
-def _gather(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-    own = frame[frame.base.notna()].iloc[0]
-    score = sum(_unpack(b, "<f8") for b in frame.sums.dropna())
-    return pd.DataFrame(
-        {
-            "doc_id": pd.Series(_unpack(own.ids, "<i8"), dtype="Int64").mask(_unpack(own.missing, "u1") > 0),
-            "held_out": _unpack(own.held, "u1") > 0,
-            "n_tokens": _unpack(own.lengths, "<u4").astype(np.int64),
-            "n_known": _unpack(own.known, "<u4").astype(np.int64),
-            "base_score": _unpack(own.base, "<f8"),
-            "score": score,
-        }
-    )
+        count = np.bincount(np.cumsum(new) - 1, weights=count, minlength=len(at))
+        trie = PairTrie(context[at], word[at], smoothed(count, context_count[at], word_count[at], unit))
+        del columns, order, context, word, context_count, word_count
+        codes = []
+        for m in frame.itertuples():
+            found = trie.find(*pairs(m)[:2])
+            there = ~np.isnan(found)
+            own = np.zeros(len(found), dtype="<u2")
+            own[there] = quantise(found[there])
+            codes.append(_pack(own, "<u2"))
+        return pd.DataFrame({"chunk": frame.chunk, "shard": int(key[0]), "codes": codes})
+
+    return look_up
+
+
+def _sum_documents(found: DataFrame, shards: int, total: int, kinds: int, starts: int) -> DataFrame:
+    """Scores of each chunk's documents from the codes of its pairs."""
+    unit = total + kinds + 1
+
+    def sums(frames: Frames) -> Frames:
+        for frame in frames:
+            for row in frame.itertuples():
+                one = _Chunk(row, shards, total, starts)
+                codes = np.zeros(len(one.heads), dtype="<u2")
+                for part in row.codes:
+                    codes[one.parts[part["shard"]]] = _unpack(part["codes"], "<u2")
+                backoff = smoothed(np.zeros(len(codes)), one.counts[one.heads], one.counts[one.tails], unit)
+                logs = np.where(codes > 0, restore(codes), backoff)
+                doc, count = np.repeat(np.arange(len(one.lengths)), one.lengths), one.counts[one.words]
+                add = lambda values: np.bincount(doc, weights=values, minlength=len(one.lengths))
+                yield pd.DataFrame(
+                    {
+                        "doc_id": pd.Series(_unpack(row.ids, "<i8"), dtype="Int64").mask(_unpack(row.missing, "u1") > 0),
+                        "held_out": one.held > 0,
+                        "n_tokens": one.lengths,
+                        "n_known": add(count > 0).astype(np.int64),
+                        "base_score": add(np.log10((count + 1) / unit)),
+                        "score": add(logs[one.pair]),
+                    }
+                )
+
+    return found.mapInPandas(sums, _SCORED)
 
 
 _SCORED = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
@@ -313,11 +329,8 @@ def score(docs: DataFrame, held_out) -> DataFrame:
     kinds, total = int(figures.kinds or 0), int(figures.total or 0)
     by_chunk = answers.groupBy("chunk").agg(F.collect_list(F.struct("shard", "ids", "counts")).alias("answers"))
     numbered = chunks.join(by_chunk.hint("merge"), "chunk")
-    messages = _send_pairs(numbered, shards, total, kinds, starts)
-    summed = messages.groupBy("shard").applyInPandas(
-        _score_pairs(total + kinds + 1),
-        "chunk bigint, sums binary, base binary, known binary, ids binary, missing binary, lengths binary, held binary",
-    )
-    return summed.groupBy("chunk").applyInPandas(_gather, _SCORED).withColumn(
-        "train_tokens", F.lit(total).cast("bigint")
-    )
+    messages = _send_pairs(numbered, shards, total, starts)
+    looked_up = messages.groupBy("shard").applyInPandas(_look_up(total + kinds + 1), "chunk bigint, shard int, codes binary")
+    codes = written(looked_up).groupBy("chunk").agg(F.collect_list(F.struct("shard", "codes")).alias("codes"))
+    found = numbered.join(codes.hint("merge"), "chunk")
+    return _sum_documents(found, shards, total, kinds, starts).withColumn("train_tokens", F.lit(total).cast("bigint"))

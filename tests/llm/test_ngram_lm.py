@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -81,6 +82,32 @@ def test_a_hot_context_is_spread():
     assert len(set(hot)) >= 24 and len(set(rare)) == 1
 
 
+def test_a_hot_pair_is_one_entry_per_chunk():
+    hashes, texts, shards = np.array([4, 7], np.uint64), [0] * 100_000 + [1] + [0, 0, 1], 2
+    row = SimpleNamespace(
+        words=N._pack(hashes, "<u8"),
+        numbers=N._pack(np.array(texts), "<u4"),
+        lengths=N._pack(np.array([100_001, 3]), "<u4"),
+        held=N._pack(np.array([0, 1]), "u1"),
+        answers=[
+            {"shard": k, "ids": N._pack(np.array([k + N.FIRST_WORD]), "<u8"), "counts": N._pack(np.array([n]), "<u8")}
+            for k, n in ((0, 100_000), (1, 1))
+        ],
+    )
+    sent = list(N._Chunk(row, shards, 100_001, 1).messages())
+    # After the start, after the hot word and the end: three pairs.
+    assert sum(len(N._unpack(m["numbers"], "<u4")) for m in sent) == 3
+    assert sorted(n for m in sent for n in N._unpack(m["learnt"], "<u4").tolist()) == [1, 1, 99_999]
+
+
+def test_a_hot_pair_over_many_chunks_equals_plain_model(spark, monkeypatch):
+    monkeypatch.setattr(N, "CHUNK_WORDS", 300)
+    monkeypatch.setattr(N, "SHARD_BYTES", 100)
+    rows = [(i, "all rights reserved " * 20 + f"w{i % 7} w{i % 3}") for i in range(60)] + [(99, "a " * 2000)]
+    held = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 2
+    same(N.score(spark.createDataFrame(rows, "doc_id bigint, text string"), held).collect(), plain(rows))
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.integers(0, 10**12), max_size=200), st.lists(st.integers(0, 10**12), max_size=50))
 def test_elias_fano(values, asked):
