@@ -148,7 +148,9 @@ class Mix:
             "source_no int, source string, source_size bigint, target double",
         )
         self.blocks = [-(-s // block_words) for s in self.sizes]
-        self.slots = [min(round(t / block_words), MAX_REPEAT * b) for t, b in zip(self.targets, self.blocks)]
+        # By the mean size of a source's blocks, as the last one is not full: a capped source gets whole passes.
+        sized = zip(self.targets, self.blocks, self.sizes)
+        self.slots = [min(round(t * b / s), MAX_REPEAT * b) if s else 0 for t, b, s in sized]
         self.sized = self._packed(rows)
 
     def _packed(self, rows: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -99,3 +100,12 @@ def test_texts_are_cut_at_words():
     assert M.cuts(text, 5, [piece(0, 3, 2), piece(3, 2, 1)]) == [text, "a b\tc"]
     assert M.cuts(text, 5, [piece(0, 1, 1), piece(3, 2, 1)]) == ["a\nd e"]
     assert re.sub(r"\s", "", text) == "abcde"
+
+
+def test_capped_small_sources_get_three_whole_passes(spark):
+    sizes = {"a": 100_000, "b": 130, "c": 20, "d": 1, "e": 500}
+    docs = spark.createDataFrame([(i, s, "w " * n) for i, (s, n) in enumerate(sizes.items())], "doc_id bigint, source string, text string")
+    # The first source has next to no weight, so that all others are capped.
+    mix = M.Mix(docs, weights=(0.001, 1, 1, 1, 1))
+    words = {r.source_no: r.n for r in mix.segments().join(mix.slot_blocks(), ["source_no", "block"]).groupBy("source_no").agg(F.sum("n_words").alias("n")).collect()}
+    assert [words[k] for k in range(1, 5)] == [3 * 130, 3 * 20, 3 * 1, 3 * 500]
