@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
+from checks.queries import QUERIES
 from checks.tables import AS_OF, star
 from guildmart.operators.upsert import load_stamp, merge_single
 from guildmart.plans import report as R
@@ -31,9 +31,9 @@ def no_broadcast(spark):
     spark.conf.set(name, before)
 
 
-@pytest.mark.parametrize("name", [n for n in queries() if n != "increment_two_batches"])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n != "increment_two_batches"])
 def test_no_pairs_no_python_and_no_single_partition_window(spark, sf_dir, no_broadcast, name):
-    text = plan(queries()[name](spark, sf_dir))
+    text = plan(QUERIES[name](spark, sf_dir))
     assert "CartesianProduct" not in text
     assert "BroadcastNestedLoopJoin" not in text
     assert "Python" not in text and "Pandas" not in text
@@ -44,13 +44,13 @@ def test_no_pairs_no_python_and_no_single_partition_window(spark, sf_dir, no_bro
 
 
 def test_tops_are_limited_before_the_shuffle(spark, sf_dir):
-    text = plan(queries()["top_craftsman"](spark, sf_dir))
+    text = plan(QUERIES["top_craftsman"](spark, sf_dir))
     assert len(re.findall(r"WindowGroupLimit .*Partial", text)) == 1
     assert len(re.findall(r"WindowGroupLimit .*Final", text)) == 1
 
 
 def test_report_combines_before_every_shuffle_on_its_group(spark, sf_dir, no_broadcast):
-    text = plan(queries()["report_full"](spark, sf_dir))
+    text = plan(QUERIES["report_full"](spark, sf_dir))
     lines = text.splitlines()
     grouped = [
         n for n, line in enumerate(lines) if re.search(r"Exchange hashpartitioning\(customer_id#\d+L, report_period", line)
@@ -83,9 +83,9 @@ def test_few_touched_months_need_no_shuffle_of_orders(spark, sf_dir, no_broadcas
 
 
 def test_scans_read_needed_columns_only(spark, sf_dir):
-    text = plan(queries()["craftsman_counts"](spark, sf_dir))
+    text = plan(QUERIES["craftsman_counts"](spark, sf_dir))
     assert "o_totalprice" not in text and "l_extendedprice" not in text
-    text = plan(queries()["report_full"](spark, sf_dir))
+    text = plan(QUERIES["report_full"](spark, sf_dir))
     assert "p_size" not in text and "s_name" not in text
 
 
