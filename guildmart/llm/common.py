@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +42,19 @@ def alnum_words(text: bytes) -> list[bytes]:
     return text.translate(_WORD_TABLE).split()
 
 
+def pack(values: np.ndarray, dtype: str) -> bytes:
+    """Compressed; the bytes of equal weight stand together, which makes small numbers small."""
+    raw = np.ascontiguousarray(values, dtype=dtype)
+    planes = raw.view(np.uint8).reshape(-1, raw.dtype.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+
+
+def unpack(blob: bytes, dtype: str) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), dtype=np.uint8)
+    size = np.dtype(dtype).itemsize
+    return np.ascontiguousarray(raw.reshape(size, -1).T).view(dtype).ravel()
+
+
 def hot_keys(counts: DataFrame, rows: int, count: str = "n") -> DataFrame:
     """The rows of ``counts`` (one per key) whose key has over 1/HOT_SHARE of ``rows`` rows."""
     return counts.where(F.col(count) * HOT_SHARE > rows)

@@ -31,11 +31,10 @@ import math
 import numpy as np
 import pandas as pd
 import xxhash
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from guildmart.llm.common import Frames, utf8
+from guildmart.llm.common import Frames, pack, unpack, utf8
 from guildmart.llm.elias_fano import PairTrie, quantise, restore
 from guildmart.sources.warehouse import written
 
@@ -49,19 +48,6 @@ START, UNKNOWN, FIRST_WORD = 0, 1, 2
 _END = b"\n"  # no word has white space
 
 
-def _pack(values: np.ndarray, dtype: str) -> bytes:
-    """Compressed; the bytes of equal weight stand together, which makes small numbers small."""
-    raw = np.ascontiguousarray(values, dtype=dtype)
-    planes = raw.view(np.uint8).reshape(-1, raw.dtype.itemsize).T
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
-
-
-def _unpack(blob: bytes, dtype: str) -> np.ndarray:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), dtype=np.uint8)
-    size = np.dtype(dtype).itemsize
-    return np.ascontiguousarray(raw.reshape(size, -1).T).view(dtype).ravel()
-
-
 def tokens(text: bytes) -> list[bytes]:
     return [*text.lower().split(), _END]
 
@@ -81,12 +67,12 @@ def _chunks(docs: DataFrame) -> DataFrame:
         hashes.clear()
         return {
             "chunk": rows[0][0],
-            "ids": _pack(np.array([i for _, i, *_ in rows]), "<i8"),
-            "missing": _pack(np.array([m for _, _, m, *_ in rows]), "u1"),
-            "held": _pack(np.array([h for *_, h, _ in rows]), "u1"),
-            "lengths": _pack(np.array([len(h) for *_, h in rows]), "<u4"),
-            "words": _pack(words, "<u8"),
-            "numbers": _pack(numbers, "<u4"),
+            "ids": pack(np.array([i for _, i, *_ in rows]), "<i8"),
+            "missing": pack(np.array([m for _, _, m, *_ in rows]), "u1"),
+            "held": pack(np.array([h for *_, h, _ in rows]), "u1"),
+            "lengths": pack(np.array([len(h) for *_, h in rows]), "<u4"),
+            "words": pack(words, "<u8"),
+            "numbers": pack(numbers, "<u4"),
         }
 
     def cut(frames: Frames) -> Frames:
@@ -114,19 +100,19 @@ def _number_words(chunks: DataFrame, shards: int) -> DataFrame:
     def send(frames: Frames) -> Frames:
         for frame in frames:
             for row in frame.itertuples():
-                words, numbers = _unpack(row.words, "<u8"), _unpack(row.numbers, "<u4")
-                learnt = np.repeat(_unpack(row.held, "u1") == 0, _unpack(row.lengths, "<u4"))
+                words, numbers = unpack(row.words, "<u8"), unpack(row.numbers, "<u4")
+                learnt = np.repeat(unpack(row.held, "u1") == 0, unpack(row.lengths, "<u4"))
                 counts = np.bincount(numbers[learnt], minlength=len(words))
                 to = (words % np.uint64(shards)).astype(np.int64)
                 for shard in np.unique(to).tolist():
                     at = to == shard
                     yield pd.DataFrame(
-                        {"shard": [shard], "chunk": [row.chunk], "words": [_pack(words[at], "<u8")], "counts": [_pack(counts[at], "<u4")]}
+                        {"shard": [shard], "chunk": [row.chunk], "words": [pack(words[at], "<u8")], "counts": [pack(counts[at], "<u4")]}
                     )
 
     def answer(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        words = [_unpack(b, "<u8") for b in frame.words]
-        counts = [_unpack(b, "<u4") for b in frame.counts]
+        words = [unpack(b, "<u8") for b in frame.words]
+        counts = [unpack(b, "<u4") for b in frame.counts]
         known, at = np.unique(np.concatenate(words), return_inverse=True)
         total = np.bincount(at, weights=np.concatenate(counts), minlength=len(known)).astype(np.int64)
         order = np.argsort(-total, kind="stable")
@@ -139,8 +125,8 @@ def _number_words(chunks: DataFrame, shards: int) -> DataFrame:
             {
                 "chunk": frame.chunk,
                 "shard": int(key[0]),
-                "ids": [_pack(x, "<u8") for x in np.split(ids[at], ends)],
-                "counts": [_pack(x, "<u8") for x in np.split(total[at], ends)],
+                "ids": [pack(x, "<u8") for x in np.split(ids[at], ends)],
+                "counts": [pack(x, "<u8") for x in np.split(total[at], ends)],
                 "kinds": int((total > 0).sum()),
                 "total": int(total.sum()),
             }
@@ -170,19 +156,19 @@ class _Chunk:
     """A chunk's texts as numbers in its dictionary, which is in order of the word numbers, and its distinct pairs."""
 
     def __init__(self, row, shards: int, total: int, starts: int) -> None:
-        hashes, numbers = _unpack(row.words, "<u8"), _unpack(row.numbers, "<u4")
+        hashes, numbers = unpack(row.words, "<u8"), unpack(row.numbers, "<u4")
         ids, counts = np.empty(len(hashes), np.int64), np.empty(len(hashes), np.int64)
         to = (hashes % np.uint64(shards)).astype(np.int64)
         for part in row.answers:
             at = to == part["shard"]
-            ids[at], counts[at] = _unpack(part["ids"], "<u8"), _unpack(part["counts"], "<u8")
+            ids[at], counts[at] = unpack(part["ids"], "<u8"), unpack(part["counts"], "<u8")
         order = np.argsort(ids, kind="stable")
         rank = np.empty(len(ids), np.int64)
         rank[order] = np.arange(len(ids))
         # The start comes last.
         self.ids, self.counts = np.append(ids[order], START), np.append(counts[order], starts)
         self.words = rank[numbers]
-        self.lengths, self.held = _unpack(row.lengths, "<u4").astype(np.int64), _unpack(row.held, "u1")
+        self.lengths, self.held = unpack(row.lengths, "<u4").astype(np.int64), unpack(row.held, "u1")
         context = np.roll(self.words, 1)
         context[np.cumsum(self.lengths) - self.lengths] = len(ids)
         pairs, self.pair = np.unique(context * (len(ids) + 1) + self.words, return_inverse=True)
@@ -200,13 +186,13 @@ class _Chunk:
             tails, number = np.unique(self.tails[own], return_inverse=True)
             yield {
                 "shard": shard,
-                "heads": _pack(self.ids[heads], "<u8"),
-                "head_counts": _pack(self.counts[heads], "<u8"),
-                "runs": _pack(np.diff(np.append(at, len(own))), "<u4"),
-                "tails": _pack(self.ids[tails], "<u8"),
-                "tail_counts": _pack(self.counts[tails], "<u8"),
-                "numbers": _pack(number, "<u4"),
-                "learnt": _pack(learnt[own], "<u4"),
+                "heads": pack(self.ids[heads], "<u8"),
+                "head_counts": pack(self.counts[heads], "<u8"),
+                "runs": pack(np.diff(np.append(at, len(own))), "<u4"),
+                "tails": pack(self.ids[tails], "<u8"),
+                "tail_counts": pack(self.counts[tails], "<u8"),
+                "numbers": pack(number, "<u4"),
+                "learnt": pack(learnt[own], "<u4"),
             }
 
 
@@ -243,15 +229,15 @@ def smoothed(pair: np.ndarray, context: np.ndarray, word: np.ndarray, unit: int)
 def _look_up(unit: int):
     def pairs(m) -> list[np.ndarray]:
         """Contexts and words of a message, and the places of both in it."""
-        head, tail = np.repeat(np.arange(len(runs := _unpack(m.runs, "<u4"))), runs), _unpack(m.numbers, "<u4")
-        return [_unpack(m.heads, "<u8").astype(np.int64)[head], _unpack(m.tails, "<u8").astype(np.int64)[tail], head, tail]
+        head, tail = np.repeat(np.arange(len(runs := unpack(m.runs, "<u4"))), runs), unpack(m.numbers, "<u4")
+        return [unpack(m.heads, "<u8").astype(np.int64)[head], unpack(m.tails, "<u8").astype(np.int64)[tail], head, tail]
 
     def look_up(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         parts = []
         for m in frame.itertuples():
-            at = np.flatnonzero(counts := _unpack(m.learnt, "<u4"))
+            at = np.flatnonzero(counts := unpack(m.learnt, "<u4"))
             context, word, head, tail = (x[at] for x in pairs(m))
-            head_counts, tail_counts = (_unpack(b, "<u8").astype(np.int64) for b in (m.head_counts, m.tail_counts))
+            head_counts, tail_counts = (unpack(b, "<u8").astype(np.int64) for b in (m.head_counts, m.tail_counts))
             parts.append((context, word, counts[at].astype(np.int64), head_counts[head], tail_counts[tail]))
         columns = [np.concatenate(c) for c in zip(*parts)]
         del parts
@@ -269,7 +255,7 @@ def _look_up(unit: int):
             there = ~np.isnan(found)
             own = np.zeros(len(found), dtype="<u2")
             own[there] = quantise(found[there])
-            codes.append(_pack(own, "<u2"))
+            codes.append(pack(own, "<u2"))
         return pd.DataFrame({"chunk": frame.chunk, "shard": int(key[0]), "codes": codes})
 
     return look_up
@@ -285,14 +271,14 @@ def _sum_documents(found: DataFrame, shards: int, total: int, kinds: int, starts
                 one = _Chunk(row, shards, total, starts)
                 codes = np.zeros(len(one.heads), dtype="<u2")
                 for part in row.codes:
-                    codes[one.parts[part["shard"]]] = _unpack(part["codes"], "<u2")
+                    codes[one.parts[part["shard"]]] = unpack(part["codes"], "<u2")
                 backoff = smoothed(np.zeros(len(codes)), one.counts[one.heads], one.counts[one.tails], unit)
                 logs = np.where(codes > 0, restore(codes), backoff)
                 doc, count = np.repeat(np.arange(len(one.lengths)), one.lengths), one.counts[one.words]
                 add = lambda values: np.bincount(doc, weights=values, minlength=len(one.lengths))
                 yield pd.DataFrame(
                     {
-                        "doc_id": pd.Series(_unpack(row.ids, "<i8"), dtype="Int64").mask(_unpack(row.missing, "u1") > 0),
+                        "doc_id": pd.Series(unpack(row.ids, "<i8"), dtype="Int64").mask(unpack(row.missing, "u1") > 0),
                         "held_out": one.held > 0,
                         "n_tokens": one.lengths,
                         "n_known": add(count > 0).astype(np.int64),

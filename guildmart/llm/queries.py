@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from guildmart.llm import decontamination, language, licenses, line_dedup, merkle, mixing, ngram_lm, quality, sharding, simhash, toxicity
+from guildmart.llm import alignment, decontamination, language, licenses, line_dedup, merkle, mixing, ngram_lm, quality, sharding, simhash, toxicity
 from guildmart.llm.common import documents
 from guildmart.llm.labelled import remainder
 
@@ -90,6 +90,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.Alignment(documents(spark, sf_dir)).documents()
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.tampered(documents(spark, sf_dir)).versions().drop("copied")
 
@@ -105,5 +109,6 @@ QUERIES: dict[str, Query] = {
     "op8_quality": op8_quality,
     "op9_decontamination": op9_decontamination,
     "op10_simhash": op10_simhash,
+    "op11_alignment": op11_alignment,
     "op13_merkle": op13_merkle,
 }
