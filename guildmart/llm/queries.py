@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from guildmart.llm import alignment, decontamination, language, licenses, line_dedup, merkle, mixing, ngram_lm, quality, sharding, simhash, toxicity
+from guildmart.llm import alignment, decontamination, language, licenses, line_dedup, merkle, mixing, ngram_lm, quality, ranking, sharding, simhash, toxicity
 from guildmart.llm.common import documents
 from guildmart.llm.labelled import remainder
+from guildmart.sources.warehouse import written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -94,6 +95,14 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.Alignment(documents(spark, sf_dir)).documents()
 
 
+def op12_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    rows = written(ranking.with_features(docs).drop("text"))
+    ranker = ranking.fit(rows, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    held_out = remainder("doc_id", ranking.FOLDS) == ranking.HELD_OUT
+    return ranking.score(rows, ranker).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.tampered(documents(spark, sf_dir)).versions().drop("copied")
 
@@ -110,5 +119,6 @@ QUERIES: dict[str, Query] = {
     "op9_decontamination": op9_decontamination,
     "op10_simhash": op10_simhash,
     "op11_alignment": op11_alignment,
+    "op12_ranking": op12_ranking,
     "op13_merkle": op13_merkle,
 }
