@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,12 +17,16 @@ def measured_bytes(df: DataFrame) -> int:
     One pass that aggregates on the executors. Meant for filtered scans and written frames; the
     rest of a costly plan would be computed for this alone.
     """
+    return df.agg(total_bytes(df).alias("bytes")).first().bytes
+
+
+def total_bytes(df: DataFrame) -> Column:
+    """The aggregate that measures a frame, or groups of its rows."""
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    lengths = [F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c in text]
     total = F.count(F.lit(1)) * (VALUE_BYTES * len(df.columns))
-    for length in lengths:
-        total = total + length
-    return df.agg(total.alias("bytes")).first().bytes
+    for name in text:
+        total = total + F.coalesce(F.sum(F.octet_length(name)), F.lit(0))
+    return total
 
 
 def is_small(df: DataFrame, limit: int | None = None) -> bool:

@@ -116,6 +116,17 @@ def inserted(
     return conform(assign_ids(fresh, table.keys, table.id_col, first_free), table.schema)
 
 
+def changed(target: DataFrame, rows: DataFrame, table: Table) -> DataFrame:
+    """The rows that the target lacks or has with other values; a NULL in a key matches nothing.
+
+    ``rows`` hold at most one row per key.
+    """
+    known = target.select(*(F.col(k).alias(f"_{k}") for k in table.keys), F.struct(*table.update_cols).alias("_old"))
+    joined = rows.join(known, [F.col(k) == F.col(f"_{k}") for k in table.keys], "left")
+    differs = F.col("_old").isNull() | ~F.col("_old").eqNullSafe(F.struct(*table.update_cols))
+    return joined.filter(differs).select(*rows.columns)
+
+
 def merge_single(
     target: DataFrame,
     rows: DataFrame,

@@ -13,30 +13,36 @@ from pyspark.sql import functions as F
 from guildmart.functions import month_of
 from guildmart.operators import delta
 from guildmart.operators.rekey import rekey
-from guildmart.operators.sizing import is_small
+from guildmart.operators.sizing import BROADCAST_BYTES, broadcast_small, total_bytes
 from guildmart.operators.staging import REASON, build_staging, reject_reason, require_complete
 from guildmart.operators.upsert import (
     ERROR,
     LATEST,
     ORDER,
+    changed,
     load_stamp,
     merge_single,
     one_per_key,
     order_column,
 )
-from guildmart.plans.report import aged, customer_report, customer_report_for
+from guildmart.plans import sums
+from guildmart.plans.report import GROUP, aged, with_customers
 from guildmart.schemas import (
     CRAFTSMEN_TABLE,
     CUSTOMERS_TABLE,
     DIMENSIONS,
+    KEY_PART,
     LOG_TABLE,
     ORDERS_TABLE,
+    PRODUCT_MONTHS,
+    PRODUCT_MONTHS_TABLE,
     PRODUCTS_TABLE,
     REPORT_TABLE,
+    SUMS_TABLE,
     Table,
     conform,
 )
-from guildmart.sources.warehouse import WHOLE, Snapshot, Warehouse
+from guildmart.sources.warehouse import WHOLE, Part, Snapshot, Warehouse, digest_part, key_part, month_and_bits, month_column, placed
 
 
 @dataclass(frozen=True)
@@ -67,15 +73,6 @@ def distinct_source(staging: DataFrame, table: Table) -> DataFrame:
     return staging.select(*table.source_cols).distinct()
 
 
-def _months(rows: DataFrame, column: str) -> list[str]:
-    """The months present, which the calendar bounds."""
-    return [row[0] for row in rows.select(column).distinct().collect()]
-
-
-def _highest(rows: DataFrame, id_col: str, before: int) -> int:
-    return max(before, rows.agg(F.max(id_col)).first()[0] or 0)
-
-
 class Load:
     """One run: everything it reads is pinned at its start, and one commit at its end shows it.
 
@@ -95,15 +92,12 @@ class Load:
         self.load_ts = load_ts or datetime.now(UTC).replace(tzinfo=None)
         self.as_of = as_of or str(self.load_ts)[:10]
         self.before: Snapshot = warehouse.snapshot()
-        self.load_id = self.before.last_load + 1
+        self.load_id = warehouse.free_number(self.before.last_load)
         self.attempt = uuid.uuid4().hex
-        self.mark = self._last_mark()
-        self.written: dict[Table, tuple[list[str], int]] = {}
+        self.mark = self.before.newest([LOG_TABLE]) or datetime.fromisoformat(delta.NEVER)
+        self.written: dict[Table, tuple[dict[str, Part], int]] = {}
         self.current: dict[str, DataFrame] = {}
 
-    def _last_mark(self) -> datetime:
-        return delta.read_mark(self.warehouse.read(LOG_TABLE, self.before)).first().load_dttm
-
     def stage(self, orders_feed: DataFrame, customers_feed: DataFrame) -> DataFrame:
         """Write the flat table once, so that the feeds are joined once and cannot move under us."""
         if datetime.fromisoformat(str(self.load_ts)) <= self.mark:
@@ -120,22 +114,63 @@ class Load:
         frame.write.mode("overwrite").parquet(path)
         return self.warehouse.spark.read.schema(frame.schema).parquet(path)
 
-    def _merge(
-        self,
-        table: Table,
-        rows: DataFrame,
-        parts: list[str],
-        only: list[str] | None = None,
-        replace: bool = False,
-    ) -> None:
-        """Merge rows, at most one per key, into the table or into some of its months.
+    def _deal(self, table: Table, rows: DataFrame, anew: bool = False) -> tuple[set[str], dict[str, int], int]:
+        """Where written rows go: the parts they fall into, the digest bits of each month, and their bytes.
 
-        With ``replace`` the table's rows that none of them matches go.
+        A month that would hold more rows than its parts should is dealt out anew, into all of its parts.
+        With ``anew`` the table's own rows do not count, and all of its parts are named.
+        """
+        bits = self.before.bits(table)
+        month = month_column(rows, table)
+        part = key_part(table, month, bits)
+        # One row per month and part, as many as the table has.
+        found = rows.groupBy(month.alias("_month"), part.alias(KEY_PART)).agg(
+            F.count(F.lit(1)).alias("rows"), total_bytes(rows).alias("bytes")
+        )
+        parts: dict[str, set[str]] = {}
+        news: dict[str, int] = {}
+        size = 0
+        for row in found.collect():
+            parts.setdefault(row._month, set()).add(row[KEY_PART])
+            news[row._month] = news.get(row._month, 0) + row.rows
+            size += row.bytes
+        have = {} if anew else self.before.rows(table)
+        for name, n in news.items():
+            depth = bits.get(name, 0)
+            while have.get(name, 0) + n > self.warehouse.part_rows << depth:
+                depth += 1
+            if depth > bits.get(name, 0) or anew:
+                parts[name] = {f"{depth}-{place}" for place in range(1 << depth)}
+            bits[name] = depth
+        named = {f"{m}/{p}" if m else p for m, own in parts.items() for p in own}
+        gone = {p for p in self.before.of(table) if anew and month_and_bits(p)[0] not in parts}
+        return named | gone, bits, size
+
+    def _older(self, table: Table, parts: set[str]) -> set[str]:
+        """The parts, as they were, whose rows the given ones take the place of."""
+        dealt = {month_and_bits(p)[0] for p in parts if p not in self.before.of(table)}
+        return {p for p in self.before.of(table) if p in parts or month_and_bits(p)[0] in dealt}
+
+    def _merge(self, table: Table, rows: DataFrame, replace: bool = False, kept: bool = False) -> None:
+        """Merge rows, at most one per key, into the parts of the table that they fall into.
+
+        ``kept`` rows are written already. With ``replace`` the table's rows that none of them matches go. Rows that the table has already
+        are left out if they would not be stamped, and parts without any other are not written.
         """
-        rows = self._kept(f"_{table.name}_news", rows)
-        target = self.warehouse.read(table, self.before, only)
+        rows = rows if kept else self._kept(f"_{table.name}_news", rows)
+        parts, bits, size = self._deal(table, rows, replace)
+        if not parts:
+            return
+        target = self.warehouse.read(table, self.before, self._older(table, parts))
+        stamped = "load_dttm" in table.schema.names and not self.policy.only_if_changed
         if replace:
             target = target.join(rows.select(*table.keys), list(table.keys), "left_semi")
+        elif not stamped and self.before.of(table):
+            rows = self._kept(f"_{table.name}_changes", changed(target, rows, table))
+            parts, bits, size = self._deal(table, rows)
+            if not parts:
+                return
+            target = self.warehouse.read(table, self.before, self._older(table, parts))
         merged = merge_single(
             target,
             rows,
@@ -143,12 +178,9 @@ class Load:
             self.load_ts,
             only_if_changed=self.policy.only_if_changed,
             start=F.lit(self.before.max_id(table)).cast("bigint"),
-            small=is_small(rows),
+            small=size <= BROADCAST_BYTES,
         )
-        if table.partition_col and table.partition_col not in table.schema.names:
-            month = month_of(F.col("order_created_date"))
-            merged = merged.withColumn(table.partition_col, month)
-        self._write(table, merged, parts, replace=replace)
+        self._write(table, merged, parts, bits)
 
     def _single(self, table: Table, source: DataFrame) -> DataFrame:
         return one_per_key(source, table.keys, table.update_cols, self.policy.on_conflict)
@@ -157,23 +189,27 @@ class Load:
         self,
         table: Table,
         frame: DataFrame,
-        parts: list[str],
+        parts: set[str],
+        bits: dict[str, int] | None = None,
         highest: int | None = None,
-        replace: bool = False,
     ) -> None:
-        back = self.warehouse.write(
-            table, self.load_id, self.attempt, frame, parts if replace else ()
-        )
+        """Write the rows that the given parts are to have."""
+        if table.folders:
+            frame = placed(frame, table, self.before.bits(table) if bits is None else bits)
+        found = self.warehouse.write(table, self.load_id, self.attempt, frame, parts)
         if highest is None:
-            highest = _highest(back, table.id_col, self.before.max_id(table))
-        self.written[table] = (parts, highest)
-        pinned = dict(self.before.parts.get(table.name, {}))
-        pinned.update(dict.fromkeys(parts, self.load_id))
-        self.current[table.name] = self.warehouse.read(table, self._pins(table, pinned))
+            highest = max([self.before.max_id(table), *(p.max_id for p in found.values())])
+        self.written[table] = (found, highest)
+        self.current[table.name] = self.warehouse.read(table, self._state(table))
 
-    def _pins(self, table: Table, parts: dict[str, int]) -> Snapshot:
+    def _state(self, table: Table) -> Snapshot:
+        """The table's parts as this run has left them so far."""
+        parts = dict(self.before.of(table))
+        if table in self.written:
+            news = self.written[table][0]
+            parts = {p: old for p, old in parts.items() if p not in self._older(table, set(news))} | news
         attempts = {**self.before.attempts, self.load_id: self.attempt}
-        return Snapshot(self.load_id, {table.name: parts}, {}, attempts)
+        return Snapshot(self.load_id, {}, {}, attempts, {table.name: parts})
 
     def table(self, table: Table) -> DataFrame:
         """The table as this run has left it so far."""
@@ -185,93 +221,155 @@ class Load:
         """Merge the three dimensions, which do not depend on each other, side by side."""
 
         def merge(table: Table) -> None:
-            self._merge(table, self._single(table, distinct_source(staging, table)), [WHOLE])
+            self._merge(table, self._single(table, distinct_source(staging, table)))
 
         with ThreadPoolExecutor(len(DIMENSIONS)) as pool:
             list(pool.map(merge, DIMENSIONS))
 
     def orders(self, staging: DataFrame) -> None:
-        """Merge into the months the batch has orders in. The date is part of the match key, so no
-        other month can hold a match."""
+        """Merge into the parts the batch has orders in. All that they depend on is in the match key, so
+        no other part can hold a match."""
         lines = rekey(
             staging,
             self.table(PRODUCTS_TABLE),
             self.table(CRAFTSMEN_TABLE),
             self.table(CUSTOMERS_TABLE),
         )
-        months = _months(
-            staging.select(month_of(F.col("order_created_date")).alias("month")), "month"
-        )
-        if months:
-            self._merge(ORDERS_TABLE, self._single(ORDERS_TABLE, lines), months, only=months)
+        lines = self._kept("_lines", self._single(ORDERS_TABLE, lines))
+        self._merge(ORDERS_TABLE, lines, kept=True)
+        self._where_used(lines)
+
+    def _where_used(self, lines: DataFrame) -> None:
+        """Note the months in which products were sold, for a product that changes later."""
+        month = month_of(F.col("order_created_date")).alias("order_month")
+        sold = self._kept("_sold", lines.select("product_id", month).distinct())
+        parts, bits, _ = self._deal(PRODUCT_MONTHS_TABLE, sold)
+        older = self._older(PRODUCT_MONTHS_TABLE, parts)
+        known = self.warehouse.read(PRODUCT_MONTHS_TABLE, self.before, older)
+        if older:
+            sold = self._kept("_sold_first", sold.join(known, list(PRODUCT_MONTHS.names), "left_anti"))
+            parts, bits, _ = self._deal(PRODUCT_MONTHS_TABLE, sold)
+            known = self.warehouse.read(PRODUCT_MONTHS_TABLE, self.before, self._older(PRODUCT_MONTHS_TABLE, parts))
+        if parts:
+            self._write(PRODUCT_MONTHS_TABLE, conform(known.unionByName(sold), PRODUCT_MONTHS), parts, bits)
 
     def report(self) -> None:
-        """Recompute the (customer, month) pairs that changed since the mark and merge them."""
-        orders, products = self.table(ORDERS_TABLE), self.table(PRODUCTS_TABLE)
+        """Bring the sums, and the report's rows of the (customer, month) pairs that changed, up to date."""
         customers = self.table(CUSTOMERS_TABLE)
-        touched = delta.touched_months(
-            orders,
+        change = self._kept("_change", self._change())
+        touched = self._kept("_touched", change.select(*GROUP).unionByName(self._renewed_months()).distinct())
+        parts, bits, _ = self._deal(SUMS_TABLE, change)
+        if parts:
+            old = self.warehouse.read(SUMS_TABLE, self.before, self._older(SUMS_TABLE, parts))
+            self._write(SUMS_TABLE, sums.applied(old, change), parts, bits)
+        state = self._state(SUMS_TABLE)
+        if mine := self._parts_with(SUMS_TABLE, state, touched):
+            figures = sums.figures_of(self.warehouse.read(SUMS_TABLE, state, mine), touched)
+            self._merge(REPORT_TABLE, with_customers(figures, customers, self.as_of))
+        self._log()
+
+    def _renewed_months(self) -> DataFrame:
+        """The report's (customer, month) pairs of customers stamped since the mark, from their parts."""
+        fresh, _ = self._rewritten(CUSTOMERS_TABLE, self._reported())
+        newer = F.col("load_dttm") > load_stamp(self.mark)
+        customers = self.warehouse.read(CUSTOMERS_TABLE, self._state(CUSTOMERS_TABLE), fresh)
+        renewed = customers.filter(newer).select("customer_id")
+        found = self.before.of(REPORT_TABLE)
+        parts = [digest_part(REPORT_TABLE, F.lit(n)) for n in set(self.before.bits(REPORT_TABLE).values())]
+        theirs = set()
+        if fresh and parts:
+            theirs = {row[0] for row in renewed.select(F.explode(F.array(*parts))).distinct().collect()}
+        report = self.warehouse.read(REPORT_TABLE, self.before, {p for p in found if p.rpartition("/")[2] in theirs})
+        return report.select(*GROUP).join(broadcast_small(renewed), "customer_id", "left_semi") if theirs else report.select(*GROUP)
+
+    def _parts_with(self, table: Table, state: Snapshot, rows: DataFrame) -> set[str]:
+        """The parts that may hold rows with the months and the spread of the given ones."""
+        month = month_column(rows, table)
+        found = rows.select(month, key_part(table, month, state.bits(table))).distinct().collect()
+        return {"/".join(filter(None, row)) for row in found}
+
+    def _reported(self) -> Snapshot:
+        """What the sums were last brought up to date with: nothing, if there are none."""
+        if not self.before.of(SUMS_TABLE):
+            return Snapshot(0, {}, {}, {}, {})
+        return self.warehouse.snapshot(self.before.max_id(LOG_TABLE))
+
+    def _change(self) -> DataFrame:
+        """What the sums change by since the last report: from the parts of orders that were written
+        since, as they are and as they were, and from orders of products that changed their category,
+        in the months that sold them."""
+        old = self._reported()
+        fresh, before = self._rewritten(ORDERS_TABLE, old)
+        orders, products = self._state(ORDERS_TABLE), self.table(PRODUCTS_TABLE)
+        products_before = self.warehouse.read(PRODUCTS_TABLE, old)
+        others = None
+        if moved := self._retyped(old):
+            rest = set(orders.of(ORDERS_TABLE)) - fresh
+            months = self._months_that_sold(moved[0])
+            rest = {p for p in rest if month_and_bits(p)[0] in months}
+            others = self.warehouse.read(ORDERS_TABLE, orders, rest) if rest else None
+        return sums.changes(
+            self.warehouse.read(ORDERS_TABLE, orders, fresh),
+            self.warehouse.read(ORDERS_TABLE, old, before),
             products,
-            self.table(CRAFTSMEN_TABLE),
-            customers,
-            self.table(REPORT_TABLE),
-            load_stamp(self.mark),
-            self._orders_since_mark(),
+            products_before,
+            others,
+            moved[0] if moved else None,
         )
-        touched = self._kept("_touched", touched)
-        months = _months(touched, "report_period")
-        if months:
-            theirs = self._orders_of_months(months)
-            rows = customer_report_for(touched, theirs, products, customers, self.as_of)
-            self._merge(REPORT_TABLE, rows, months, only=months)
-        self._log(delta.next_mark(touched, self.load_ts))
+
+    def _rewritten(self, table: Table, old: Snapshot) -> tuple[set[str], set[str]]:
+        """The parts of a table written after a snapshot, and those of the snapshot they took the place of."""
+        now, then = self._state(table).of(table), old.of(table)
+        fresh = {p for p, part in now.items() if part.load > old.last_load}
+        return fresh, {p for p in then if p in fresh or p not in now}
+
+    def _retyped(self, old: Snapshot) -> list[DataFrame]:
+        """The products that changed their category since, if there are any; of parts written since."""
+        fresh, before = self._rewritten(PRODUCTS_TABLE, old)
+        if not fresh or not before:
+            return []
+        now = self.warehouse.read(PRODUCTS_TABLE, self._state(PRODUCTS_TABLE), fresh)
+        moved = sums.retyped(now, self.warehouse.read(PRODUCTS_TABLE, old, before))
+        moved = self._kept("_retyped", moved)
+        return [] if moved.isEmpty() else [moved]
+
+    def _months_that_sold(self, products: DataFrame) -> set[str]:
+        """The months, which the calendar bounds, in which any of the products was ever sold."""
+        sold = self.table(PRODUCT_MONTHS_TABLE).join(broadcast_small(products.select("product_id")), "product_id")
+        return {row[0] for row in sold.select("order_month").distinct().collect()}
 
     def full_report(self) -> None:
-        """Compute every month anew, replacing the whole report.
+        """Compute every sum and every month anew, replacing the whole report.
 
         Rows keep the ids they had; one that no order supports any more goes.
         """
-        orders = self.table(ORDERS_TABLE)
-        rows = customer_report(
-            orders, self.table(PRODUCTS_TABLE), self.table(CUSTOMERS_TABLE), self.as_of
-        )
-        months = sorted({*self._pinned(ORDERS_TABLE), *self._pinned(REPORT_TABLE)})
-        if months:
-            self._merge(REPORT_TABLE, rows, months, replace=True)
-        stamps = [
-            self.table(table).agg(F.max("load_dttm").alias("load_dttm"))
-            for table in (ORDERS_TABLE, *DIMENSIONS)
-        ]
-        newest = stamps[0]
-        for stamp in stamps[1:]:
-            newest = newest.unionByName(stamp)
-        latest = F.coalesce(F.max("load_dttm"), load_stamp(self.load_ts))
-        self._log(newest.agg(latest.alias("load_dttm")))
-
-    def _pinned(self, table: Table) -> dict[str, int]:
-        parts = dict(self.before.parts.get(table.name, {}))
-        if table in self.written:
-            parts.update(dict.fromkeys(self.written[table][0], self.load_id))
-        return parts
-
-    def _orders_of_months(self, months: list[str]) -> DataFrame:
-        snapshot = self._pins(ORDERS_TABLE, self._pinned(ORDERS_TABLE))
-        return self.warehouse.read(ORDERS_TABLE, snapshot, months)
-
-    def _orders_since_mark(self) -> DataFrame:
-        """The parts written after the load that took the mark: no other can hold a newer order."""
-        reported = self.before.max_id(LOG_TABLE)
-        fresh = {part: load for part, load in self._pinned(ORDERS_TABLE).items() if load > reported}
-        return self.warehouse.read(ORDERS_TABLE, self._pins(ORDERS_TABLE, fresh))
-
-    def _log(self, mark: DataFrame) -> None:
-        """Write the log anew with one row more, in one part, so that reading it opens one file."""
-        row = conform(mark.withColumn("id", F.lit(self.load_id).cast("bigint")), LOG_TABLE.schema)
-        log = self.warehouse.read(LOG_TABLE, self.before).unionByName(row).coalesce(1)
-        self._write(LOG_TABLE, log, [WHOLE], highest=self.load_id)
+        nothing = Snapshot(0, {}, {}, {}, {})
+        orders, products = self.table(ORDERS_TABLE), self.table(PRODUCTS_TABLE)
+        none = self.warehouse.read(ORDERS_TABLE, nothing)
+        fresh = self._kept("_sums", sums.changes(orders, none, products, products))
+        parts, bits, _ = self._deal(SUMS_TABLE, fresh, anew=True)
+        if parts:
+            self._write(SUMS_TABLE, fresh, parts, bits)
+        rows = with_customers(sums.figures(fresh), self.table(CUSTOMERS_TABLE), self.as_of)
+        self._merge(REPORT_TABLE, rows, replace=True)
+        self._log(all_tables=True)
+
+    def _log(self, all_tables: bool = False) -> None:
+        """Write the log anew with one row more, in one part, so that reading it opens one file.
+
+        The row is the newest stamp of the four tables, by their records, or this load's if nothing was
+        stamped since the last one.
+        """
+        found = [self._state(t).newest([t]) for t in (ORDERS_TABLE, *DIMENSIONS)]
+        newest = max((stamp for stamp in found if stamp), default=None)
+        if newest is None or (newest <= self.mark and not all_tables):
+            newest = self.load_ts
+        row = self.warehouse.spark.createDataFrame([(self.load_id,)], "id bigint").withColumn("load_dttm", load_stamp(newest))
+        log = self.warehouse.read(LOG_TABLE, self.before).unionByName(conform(row, LOG_TABLE.schema)).coalesce(1)
+        self._write(LOG_TABLE, log, {WHOLE}, highest=self.load_id)
 
     def commit(self, marks: dict[str, int] | None = None) -> None:
-        self.warehouse.commit(self.load_id, self.attempt, self.written, marks)
+        self.warehouse.commit(self.load_id, self.attempt, self.written, marks, self.before.last_load)
 
 
 def increment(

@@ -155,6 +155,27 @@ CUSTOMER_REPORT = T.StructType([T.StructField("id", T.LongType(), False), *REPOR
 
 LOAD_LOG = _schema("id bigint", "load_dttm timestamp_ntz")
 
+# What the report is derived from: sums of a customer's orders in a month per category, per craftsman
+# and per number of days to completion, which ``kind`` and ``item`` name.
+REPORT_SUMS = _schema(
+    "customer_id bigint",
+    "report_period string",
+    "kind string",
+    "item string",
+    "total bigint",
+    "priced bigint",
+    "count_order bigint",
+    "count_order_created bigint",
+    "count_order_in_progress bigint",
+    "count_order_delivery bigint",
+    "count_order_done bigint",
+    "count_order_not_done bigint",
+)
+PRODUCT_MONTHS = _schema("product_id bigint", "order_month string")
+
+# The directory column of a part: how many bits of the digest it has, and which they are.
+KEY_PART = "key_part"
+
 
 @dataclass(frozen=True)
 class Table:
@@ -167,6 +188,8 @@ class Table:
     update_cols: tuple[str, ...]
     parents: tuple[tuple[str, str], ...] = ()
     partition_col: str | None = None
+    # Columns whose digest deals rows out to parts, so that a changed row rewrites one part only.
+    spread_by: tuple[str, ...] = ()
 
     @property
     def source_cols(self) -> tuple[str, ...]:
@@ -174,8 +197,17 @@ class Table:
 
     @property
     def stored(self) -> T.StructType:
-        """The schema of the files, month directory included."""
-        return with_text(self.schema, self.partition_col) if self.partition_col else self.schema
+        """The schema of the files, directory columns included."""
+        schema = self.schema
+        for name in self.folders:
+            schema = with_text(schema, name)
+        return schema
+
+    @property
+    def folders(self) -> tuple[str, ...]:
+        """The directory columns: the month of a table kept by months, and the part of the digest."""
+        month = (self.partition_col,) if self.partition_col else ()
+        return month + ((KEY_PART,) if self.spread_by else ())
 
 
 def _person_table(name: str, kind: str, schema: T.StructType) -> Table:
@@ -189,6 +221,7 @@ def _person_table(name: str, kind: str, schema: T.StructType) -> Table:
             f"{kind}_address_street",
             f"{kind}_birthday",
         ),
+        spread_by=(f"{kind}_name", f"{kind}_surname", f"{kind}_email"),
     )
 
 
@@ -198,6 +231,7 @@ PRODUCTS_TABLE = Table(
     id_col="product_id",
     keys=("product_name", "product_description", "product_price"),
     update_cols=("product_type",),
+    spread_by=("product_name", "product_description", "product_price"),
 )
 CRAFTSMEN_TABLE = _person_table("craftsmen", "craftsman", CRAFTSMEN)
 CUSTOMERS_TABLE = _person_table("customers", "customer", CUSTOMERS)
@@ -213,6 +247,7 @@ ORDERS_TABLE = Table(
         ("customers", "customer_id"),
     ),
     partition_col="order_month",
+    spread_by=("product_id", "craftsman_id", "customer_id", "order_created_date"),
 )
 REPORT_TABLE = Table(
     "customer_report",
@@ -221,11 +256,29 @@ REPORT_TABLE = Table(
     keys=("customer_id", "report_period"),
     update_cols=tuple(c for c in REPORT.names if c not in ("customer_id", "report_period")),
     partition_col="report_period",
+    spread_by=("customer_id",),
+)
+SUMS_TABLE = Table(
+    "report_sums",
+    REPORT_SUMS,
+    id_col="",
+    keys=("customer_id", "report_period", "kind", "item"),
+    update_cols=tuple(REPORT_SUMS.names[4:]),
+    partition_col="report_period",
+    spread_by=("customer_id",),
+)
+PRODUCT_MONTHS_TABLE = Table(
+    "product_months",
+    PRODUCT_MONTHS,
+    id_col="",
+    keys=("product_id", "order_month"),
+    update_cols=(),
+    spread_by=("product_id",),
 )
 LOG_TABLE = Table("load_log", LOAD_LOG, id_col="id", keys=("id",), update_cols=("load_dttm",))
 
 DIMENSIONS = (PRODUCTS_TABLE, CRAFTSMEN_TABLE, CUSTOMERS_TABLE)
-WAREHOUSE = (*DIMENSIONS, ORDERS_TABLE, REPORT_TABLE, LOG_TABLE)
+WAREHOUSE = (*DIMENSIONS, ORDERS_TABLE, REPORT_TABLE, LOG_TABLE, SUMS_TABLE, PRODUCT_MONTHS_TABLE)
 
 
 def assign(name: str, source: T.DataType, target: T.DataType) -> Column:

@@ -156,7 +156,7 @@ def test_only_touched_months_are_rewritten(spark, tmp_path):
     late = order_feed_row(9, order_created_date=date(2023, 3, 9))
     policy = Policy(only_if_changed=True)
     increment(warehouse, *batch(spark, late), "2024-01-02 00:00:00", AS_OF, policy)
-    expected = {"2023-01": 1, "2023-02": 1, "2023-03": 2}
+    expected = {"2023-01/0-0": 1, "2023-02/0-0": 1, "2023-03/0-0": 2}
     assert warehouse.snapshot().parts["orders"] == expected
     assert warehouse.snapshot().parts["customer_report"] == expected
 
@@ -240,7 +240,7 @@ def test_orders_of_earlier_loads_are_not_read_without_changed_dimensions(spark,
         *(load.table(table) for table in DIMENSIONS),
         load.table(REPORT_TABLE),
         load_stamp(load.mark),
-        load._orders_since_mark(),
+        load.warehouse.read(ORDERS_TABLE, load._state(ORDERS_TABLE), load._rewritten(ORDERS_TABLE, load._reported())[0]),
     )
     read = [path for path in touched.inputFiles() if "/orders/" in path]
     assert read and all("/load=2-" in path for path in read)
@@ -295,8 +295,7 @@ def test_a_rebuild_drops_rows_that_no_order_supports(spark, tmp_path):
     ids = dict(rows(warehouse, REPORT_TABLE, "report_period", "id"))
     load = Load(warehouse, "2024-01-02 00:00:00", AS_OF)
     kept = warehouse.read(ORDERS_TABLE, load.before).filter("order_created_date > '2022-12-31'")
-    month = F.date_format("order_created_date", "yyyy-MM")
-    load._write(ORDERS_TABLE, kept.withColumn("order_month", month), ["2022-03", "2023-01"], replace=True)
+    load._write(ORDERS_TABLE, kept, {"2022-03/0-0", "2023-01/0-0"})
     load.commit()
     rebuild(warehouse, "2024-01-03 00:00:00", AS_OF)
     assert rows(warehouse, REPORT_TABLE, "report_period", "id") == [("2023-01", ids["2023-01"])]
@@ -320,5 +319,4 @@ def test_a_number_that_does_not_fit_is_left_out_or_fails(spark, tmp_path):
         increment(warehouse, feed, people, "2024-01-01 00:00:00", AS_OF)
     increment(warehouse, feed, people, "2024-01-01 00:00:00", AS_OF, Policy(strict=False))
     assert len(rows(warehouse, ORDERS_TABLE)) == 1
-    staged = spark.read.parquet(warehouse.path("_staging", 1)).filter("reject_reason is not null")
-    assert [row.reject_reason for row in staged.collect()] == ["craftsman_address_building out of range"]
+    assert [row.reject_reason for row in warehouse.rejected(1).collect()] == ["craftsman_address_building out of range"]
