@@ -1,23 +1,25 @@
-"""Language model scoring with sharded Elias-Fano tries of word pairs.
+"""Language model scoring with sharded Elias-Fano tries of word triples.
 
-P(w | h) = (c(h w) + MU * P(w)) / (c(h) + MU) with P(w) = (c(w) + 1) / (N + V + 1): counts of the
-context smoothed with the add-one model of single words, which is what the base score uses. Both sum
-to one over the V training words and one unknown word. A context is the word before, or the start.
+P(w | g h) = (c(g h w) + MU * P(w | h)) / (c(g h) + MU), P(w | h) = (c(h w) + MU * P(w)) / (c(h) + MU) and
+P(w) = (c(w) + 1) / (N + V + 1): counts of the two words before, smoothed with those of the one before,
+and these with the add-one model of single words, which is what the base score uses. All sum to one
+over the V training words and one unknown word. Before a text's first word stands the start alone.
 
 Counting and scoring are two rounds of packed messages, so that no row is made per word:
 
-1. Documents are cut into chunks of at most ``CHUNK_WORDS`` words; a chunk keeps a dictionary of its
-   distinct words (64-bit hashes) and its text as numbers in it. Dictionaries go, by hash, to word
-   shards, which sum the counts, number the words by frequency, and answer with numbers and counts.
-2. A chunk's distinct pairs of word numbers, with their training counts, go to pair shards by their
-   context; a context with more than a quarter of a shard is spread over several shards by the second
-   word. A shard sums the counts of all chunks, builds its trie, looks the pairs up, and answers with
-   one code per pair. Chunks sum their documents themselves, so even a pair that is a third of all
-   words is one entry per chunk.
+1. Documents are cut into chunks of about ``CHUNK_WORDS`` words (a longer text ends its chunk); a chunk
+   keeps a dictionary of its distinct words (64-bit hashes) and its text as numbers in it. Dictionaries
+   go, by hash, to word shards, which sum the counts, number the words by frequency, and answer with
+   numbers and counts.
+2. A chunk's distinct pairs and triples of word numbers, with their training counts, go to shards by the
+   pair's first word; one with more than a quarter of a shard is spread over several by the second word,
+   and the triples of two such words by the word before both. A shard sums the counts of all chunks,
+   builds its trie, looks everything up, and answers with codes: a pair's smoothed probability and its
+   count as a context, and a triple's count, which is smoothed with them where it is scored. Chunks sum
+   their documents themselves, so even a pair that is a third of all words is one entry per chunk.
 
 The number of shards grows with the words, so a shard's memory doesn't, and all tables cover the whole
-corpus. Written chunks and answers make a lost executor cost its tasks only. The order is two: the
-third level's messages would double the disk that a run takes.
+corpus. Written chunks and word numbers bound what a lost executor costs.
 
 Defined results: a missing or empty text is its end token alone. Held-out documents are scored and
 never counted. Rows with equal doc_id are documents of their own. Without training documents every
@@ -35,12 +37,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from guildmart.llm.common import Frames, pack, unpack, utf8
-from guildmart.llm.elias_fano import PairTrie, quantise, restore
+from guildmart.llm.elias_fano import Trie, quantise_counts, restore, restore_counts
 from guildmart.sources.warehouse import written
 
 MU = 50.0
-CHUNK_WORDS = 2_000_000
-SHARD_BYTES = 4_000_000  # of the packed texts, some two million words
+CHUNK_WORDS = 1_000_000
+SHARD_BYTES = 1_500_000  # of the packed texts, some 700,000 words
 FOLDS, HELD_OUT = 7, 2
 CONTEXT_SHARE = 4  # a context with over 1/4 of a shard's words is spread
 # Word numbers below FIRST_WORD: the context of a first word, and all words of no training document.
@@ -146,14 +148,27 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def _spread(counts: np.ndarray, shards: int, total: int) -> np.ndarray:
+    """Over how many shards words of these counts are spread, by the share of the words that they are."""
+    return np.minimum(shards, 1 + counts * (CONTEXT_SHARE * shards) // max(1, total)).astype(np.uint64)
+
+
 def pair_shards(contexts: np.ndarray, counts: np.ndarray, words: np.ndarray, shards: int, total: int) -> np.ndarray:
     """Shard of each pair; a context is spread over as many shards as its share of the words asks for."""
-    spread = np.minimum(shards, 1 + counts * (CONTEXT_SHARE * shards) // max(1, total)).astype(np.uint64)
+    spread = _spread(counts, shards, total)
     return ((_mixed(contexts) + _mixed(words) % spread) % np.uint64(shards)).astype(np.int64)
 
 
+def triple_shards(pair_shard: np.ndarray, counts: np.ndarray, before: np.ndarray, shards: int, total: int) -> np.ndarray:
+    """Shard of each triple: its pair's, or one of several if the pair's words (``counts`` of the rarer
+    one) allow it to be frequent."""
+    spread = _spread(counts, shards, total)
+    return ((pair_shard.astype(np.uint64) + _mixed(before) % spread) % np.uint64(shards)).astype(np.int64)
+
+
 class _Chunk:
-    """A chunk's texts as numbers in its dictionary, which is in order of the word numbers, and its distinct pairs."""
+    """A chunk's texts as numbers in its dictionary, which is in order of the word numbers, its distinct
+    pairs, and its distinct triples as a pair and the word before it."""
 
     def __init__(self, row, shards: int, total: int, starts: int) -> None:
         hashes, numbers = unpack(row.words, "<u8"), unpack(row.numbers, "<u4")
@@ -169,35 +184,70 @@ class _Chunk:
         self.ids, self.counts = np.append(ids[order], START), np.append(counts[order], starts)
         self.words = rank[numbers]
         self.lengths, self.held = unpack(row.lengths, "<u4").astype(np.int64), unpack(row.held, "u1")
+        kinds, first = len(ids) + 1, np.cumsum(self.lengths) - self.lengths
         context = np.roll(self.words, 1)
-        context[np.cumsum(self.lengths) - self.lengths] = len(ids)
-        pairs, self.pair = np.unique(context * (len(ids) + 1) + self.words, return_inverse=True)
-        self.heads, self.tails = np.divmod(pairs, len(ids) + 1)
-        shard = pair_shards(self.ids[self.heads], self.counts[self.heads], self.ids[self.tails], shards, total)
-        by_shard = np.argsort(shard, kind="stable")
-        ends = np.searchsorted(shard[by_shard], np.arange(shards + 1))
-        # (shard, its pairs), the same whenever the chunk is read.
-        self.parts = {k: by_shard[ends[k] : ends[k + 1]] for k in np.flatnonzero(np.diff(ends)).tolist()}
+        context[first] = len(ids)
+        pairs, pair = np.unique(context * kinds + self.words, return_inverse=True)
+        self.pair = pair.astype(np.uint32)
+        self.heads, self.tails = np.divmod(pairs, kinds)
+        # A first word has no triple; all others have the context of the word before them.
+        self.later = np.ones(len(self.words), dtype=bool)
+        self.later[first] = False
+        at = np.flatnonzero(self.later)
+        triples, triple = np.unique(pair[at] * kinds + context[at - 1], return_inverse=True)
+        self.triple = triple.astype(np.uint32)
+        self.of_pair, self.before = np.divmod(triples, kinds)
+        self._place(shards, total)
+
+    def _place(self, shards: int, total: int) -> None:
+        """What goes to which shard, the same whenever the chunk is read."""
+        own = pair_shards(self.ids[self.heads], self.counts[self.heads], self.ids[self.tails], shards, total)
+        rarer = np.minimum(self.counts[self.heads], self.counts[self.tails])
+        third = triple_shards(own[self.of_pair], rarer[self.of_pair], self.ids[self.before], shards, total)
+        self.pairs_of, self.triples_of = _by_shard(own, shards), _by_shard(third, shards)
+        self.shards = sorted({*self.pairs_of, *self.triples_of})
 
     def messages(self):
-        learnt = np.bincount(self.pair, weights=np.repeat(self.held == 0, self.lengths), minlength=len(self.heads))
-        for shard, own in self.parts.items():
-            heads, at = np.unique(self.heads[own], return_index=True)
-            tails, number = np.unique(self.tails[own], return_inverse=True)
+        """One message per shard. A pair that is there for its triples only counts nothing."""
+        learnt = np.repeat(self.held == 0, self.lengths)
+        learnt2 = np.bincount(self.pair, weights=learnt, minlength=len(self.heads))
+        learnt3 = np.bincount(self.triple, weights=learnt[self.later], minlength=len(self.before))
+        nothing = np.empty(0, dtype=np.int64)
+        for shard in self.shards:
+            own, third = self.pairs_of.get(shard, nothing), self.triples_of.get(shard, nothing)
+            listed = np.union1d(own, self.of_pair[third])
+            counted = np.zeros(len(listed))
+            counted[np.searchsorted(listed, own)] = learnt2[own]
+            heads, at = np.unique(self.heads[listed], return_index=True)
+            tails, number = np.unique(self.tails[listed], return_inverse=True)
+            before, third_number = np.unique(self.before[third], return_inverse=True)
+            ends = np.searchsorted(self.of_pair[third], listed)
             yield {
                 "shard": shard,
                 "heads": pack(self.ids[heads], "<u8"),
                 "head_counts": pack(self.counts[heads], "<u8"),
-                "runs": pack(np.diff(np.append(at, len(own))), "<u4"),
+                "runs": pack(np.diff(np.append(at, len(listed))), "<u4"),
                 "tails": pack(self.ids[tails], "<u8"),
                 "tail_counts": pack(self.counts[tails], "<u8"),
                 "numbers": pack(number, "<u4"),
-                "learnt": pack(learnt[own], "<u4"),
+                "learnt": pack(counted, "<u4"),
+                "before": pack(self.ids[before], "<u8"),
+                "before_runs": pack(np.diff(np.append(ends, len(third))), "<u4"),
+                "before_numbers": pack(third_number, "<u4"),
+                "before_learnt": pack(learnt3[third], "<u4"),
+                "own": pack(np.isin(listed, own), "u1"),
             }
 
 
+def _by_shard(shard: np.ndarray, shards: int) -> dict[int, np.ndarray]:
+    """The places of each shard that has any, in order."""
+    order = np.argsort(shard, kind="stable")
+    ends = np.searchsorted(shard[order], np.arange(shards + 1))
+    return {k: order[ends[k] : ends[k + 1]] for k in np.flatnonzero(np.diff(ends)).tolist()}
+
+
 def _send_pairs(numbered: DataFrame, shards: int, total: int, starts: int) -> DataFrame:
-    """Messages to the pair shards: each chunk's distinct pairs with their training counts."""
+    """Messages to the shards: each chunk's distinct pairs and triples with their training counts."""
 
     def send(frames: Frames) -> Frames:
         for frame in frames:
@@ -218,6 +268,11 @@ _MESSAGE = [
     "tail_counts binary",
     "numbers binary",
     "learnt binary",
+    "before binary",
+    "before_runs binary",
+    "before_numbers binary",
+    "before_learnt binary",
+    "own binary",
 ]
 
 
@@ -226,54 +281,103 @@ def smoothed(pair: np.ndarray, context: np.ndarray, word: np.ndarray, unit: int)
     return np.log10((pair + MU * (word + 1) / unit) / (context + MU))
 
 
-def _look_up(unit: int):
-    def pairs(m) -> list[np.ndarray]:
-        """Contexts and words of a message, and the places of both in it."""
-        head, tail = np.repeat(np.arange(len(runs := unpack(m.runs, "<u4"))), runs), unpack(m.numbers, "<u4")
-        return [unpack(m.heads, "<u8").astype(np.int64)[head], unpack(m.tails, "<u8").astype(np.int64)[tail], head, tail]
+class _Message:
+    """The entries of a message: pairs as places of its words, and triples as places of its pairs."""
+
+    def __init__(self, m) -> None:
+        self.heads, self.tails, self.third = (unpack(b, "<u8").astype(np.int64) for b in (m.heads, m.tails, m.before))
+        self.head_counts, self.tail_counts = (unpack(b, "<u8").astype(np.int64) for b in (m.head_counts, m.tail_counts))
+        self.head = np.repeat(np.arange(len(self.heads)), unpack(m.runs, "<u4"))
+        self.tail, self.learnt = unpack(m.numbers, "<u4"), unpack(m.learnt, "<u4").astype(np.int64)
+        self.pair = np.repeat(np.arange(len(self.tail)), unpack(m.before_runs, "<u4"))
+        self.before, self.before_learnt = unpack(m.before_numbers, "<u4"), unpack(m.before_learnt, "<u4").astype(np.int64)
+        self.own = unpack(m.own, "u1") > 0
+
+    def pairs(self, at=slice(None)) -> tuple[np.ndarray, np.ndarray]:
+        return self.heads[self.head[at]], self.tails[self.tail[at]]
+
+
+def _summed(columns: tuple[np.ndarray, np.ndarray], values: list[np.ndarray], times: np.ndarray):
+    """Distinct rows of two columns in order, what ``values`` say of them, and the sums of ``times``."""
+    first, second = columns
+    order = np.lexsort((second, first))
+    first, second = first[order], second[order]
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (first[1:] != first[:-1]) | (second[1:] != second[:-1])
+    at = np.flatnonzero(new)
+    sums = np.bincount(np.cumsum(new) - 1, weights=times[order], minlength=len(at))
+    return first[at], second[at], [v[order[at]] for v in values], sums
+
+
+def _trie(messages: list[_Message], unit: int) -> tuple[Trie, np.ndarray]:
+    """The trie of a shard and the counts of its pairs. Pairs that count nothing here hold triples only."""
+    parts = []
+    for m in messages:
+        used = m.learnt > 0
+        used[m.pair[m.before_learnt > 0]] = True
+        at = np.flatnonzero(used)
+        parts.append((*m.pairs(at), m.head_counts[m.head[at]], m.tail_counts[m.tail[at]], m.learnt[at]))
+    contexts, words, head_counts, tail_counts, learnt = (np.concatenate(c) for c in zip(*parts))
+    del parts
+    contexts, words, (head_counts, tail_counts), counts = _summed((contexts, words), [head_counts, tail_counts], learnt)
+    logs = smoothed(counts, head_counts, tail_counts, unit)
+    del head_counts, tail_counts, learnt
+    # The pairs' places are found in a trie without triples, as they will be later.
+    none = np.empty(0, dtype=np.int64)
+    pairs = Trie(contexts, words, logs, none, none, none)
+    third = []
+    for m in messages:
+        at = np.flatnonzero(m.before_learnt)
+        parents = pairs.place(*m.pairs())[m.pair[at]]
+        third.append((parents, m.third[m.before[at]], m.before_learnt[at]))
+    parents, before, times = (np.concatenate(c) for c in zip(*third))
+    del third, pairs
+    parents, before, _, times = _summed((parents, before), [], times)
+    return Trie(contexts, words, logs, parents, before, times), counts
+
 
+def _look_up(unit: int):
     def look_up(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        parts = []
-        for m in frame.itertuples():
-            at = np.flatnonzero(counts := unpack(m.learnt, "<u4"))
-            context, word, head, tail = (x[at] for x in pairs(m))
-            head_counts, tail_counts = (unpack(b, "<u8").astype(np.int64) for b in (m.head_counts, m.tail_counts))
-            parts.append((context, word, counts[at].astype(np.int64), head_counts[head], tail_counts[tail]))
-        columns = [np.concatenate(c) for c in zip(*parts)]
-        del parts
-        order = np.lexsort((columns[1], columns[0]))
-        context, word, count, context_count, word_count = (c[order] for c in columns)
-        new = np.ones(len(order), dtype=bool)
-        new[1:] = (context[1:] != context[:-1]) | (word[1:] != word[:-1])
-        at = np.flatnonzero(new)
-        count = np.bincount(np.cumsum(new) - 1, weights=count, minlength=len(at))
-        trie = PairTrie(context[at], word[at], smoothed(count, context_count[at], word_count[at], unit))
-        del columns, order, context, word, context_count, word_count
-        codes = []
-        for m in frame.itertuples():
-            found = trie.find(*pairs(m)[:2])
-            there = ~np.isnan(found)
-            own = np.zeros(len(found), dtype="<u2")
-            own[there] = quantise(found[there])
-            codes.append(pack(own, "<u2"))
-        return pd.DataFrame({"chunk": frame.chunk, "shard": int(key[0]), "codes": codes})
+        messages = [_Message(m) for m in frame.itertuples()]
+        trie, counts = _trie(messages, unit)
+        heights = quantise_counts(np.maximum(counts, 1))
+        heights[counts == 0] = 0
+        answers = []
+        while messages:
+            m = messages.pop(0)
+            places = trie.place(*m.pairs())
+            found = places >= 0
+            height = np.zeros(len(places), dtype="<u2")
+            height[found] = heights[places[found]]
+            third = trie.counts(places[m.pair], m.third[m.before])
+            answers.append((pack(trie.probabilities(places)[m.own], "<u2"), pack(height[m.own], "<u2"), pack(third, "<u2")))
+        codes, heights, thirds = zip(*answers)
+        return pd.DataFrame({"chunk": frame.chunk, "shard": int(key[0]), "codes": codes, "counts": heights, "thirds": thirds})
 
     return look_up
 
 
 def _sum_documents(found: DataFrame, shards: int, total: int, kinds: int, starts: int) -> DataFrame:
-    """Scores of each chunk's documents from the codes of its pairs."""
+    """Scores of each chunk's documents from the codes of its pairs and triples."""
     unit = total + kinds + 1
 
     def sums(frames: Frames) -> Frames:
         for frame in frames:
             for row in frame.itertuples():
                 one = _Chunk(row, shards, total, starts)
-                codes = np.zeros(len(one.heads), dtype="<u2")
+                codes, heights = (np.zeros(len(one.heads), dtype="<u2") for _ in range(2))
+                thirds = np.zeros(len(one.before), dtype="<u2")
                 for part in row.codes:
-                    codes[one.parts[part["shard"]]] = unpack(part["codes"], "<u2")
+                    if len(own := one.pairs_of.get(part["shard"], ())):
+                        codes[own], heights[own] = unpack(part["codes"], "<u2"), unpack(part["counts"], "<u2")
+                    if len(own := one.triples_of.get(part["shard"], ())):
+                        thirds[own] = unpack(part["thirds"], "<u2")
                 backoff = smoothed(np.zeros(len(codes)), one.counts[one.heads], one.counts[one.tails], unit)
-                logs = np.where(codes > 0, restore(codes), backoff)
+                logs = np.where(codes > 0, restore(codes), backoff)[one.pair]
+                contexts = restore_counts(heights)[one.pair]
+                at = np.flatnonzero(one.later)
+                times = restore_counts(thirds)[one.triple]
+                logs[at] = np.log10((times + MU * 10 ** logs[at]) / (contexts[at - 1] + MU))
                 doc, count = np.repeat(np.arange(len(one.lengths)), one.lengths), one.counts[one.words]
                 add = lambda values: np.bincount(doc, weights=values, minlength=len(one.lengths))
                 yield pd.DataFrame(
@@ -283,7 +387,7 @@ def _sum_documents(found: DataFrame, shards: int, total: int, kinds: int, starts
                         "n_tokens": one.lengths,
                         "n_known": add(count > 0).astype(np.int64),
                         "base_score": add(np.log10((count + 1) / unit)),
-                        "score": add(logs[one.pair]),
+                        "score": add(logs),
                     }
                 )
 
@@ -316,7 +420,9 @@ def score(docs: DataFrame, held_out) -> DataFrame:
     by_chunk = answers.groupBy("chunk").agg(F.collect_list(F.struct("shard", "ids", "counts")).alias("answers"))
     numbered = chunks.join(by_chunk.hint("merge"), "chunk")
     messages = _send_pairs(numbered, shards, total, starts)
-    looked_up = messages.groupBy("shard").applyInPandas(_look_up(total + kinds + 1), "chunk bigint, shard int, codes binary")
-    codes = written(looked_up).groupBy("chunk").agg(F.collect_list(F.struct("shard", "codes")).alias("codes"))
+    looked_up = messages.groupBy("shard").applyInPandas(
+        _look_up(total + kinds + 1), "chunk bigint, shard int, codes binary, counts binary, thirds binary"
+    )
+    codes = looked_up.groupBy("chunk").agg(F.collect_list(F.struct("shard", "codes", "counts", "thirds")).alias("codes"))
     found = numbered.join(codes.hint("merge"), "chunk")
     return _sum_documents(found, shards, total, kinds, starts).withColumn("train_tokens", F.lit(total).cast("bigint"))

@@ -12,25 +12,31 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from guildmart.llm import ngram_lm as N
-from guildmart.llm.elias_fano import LOWEST, STEPS, EliasFano, PairTrie, quantise, restore
+from guildmart.llm.elias_fano import HIGHEST, LOWEST, STEPS, EliasFano, Trie, quantise, quantise_counts, restore, restore_counts
 from guildmart.llm.queries import QUERIES
 from tests.llm.samples import TEXTS, edge_docs, no_docs, table_dir, texts_of
 
 
 def plain(rows):
-    """Rows of results, from (doc_id, text), with pair probabilities rounded as the trie rounds them."""
+    """Rows of results, from (doc_id, text), by plain counts of words, pairs and triples."""
     held = [zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2 for i, _ in rows]
     texts = [[*(t or "").encode().lower().split(), b"\n"] for _, t in rows]
     learnt = [t for t, h in zip(texts, held) if not h]
     one = Counter(w for t in learnt for w in t)
     two = Counter(p for t in learnt for p in zip([None, *t], t))
     total, unit = sum(one.values()), sum(one.values()) + len(one) + 1
+    three = Counter(p for t in learnt for p in zip([None, *t], t, t[1:]))
     heads = Counter(one) + Counter({None: len(learnt)})
     for (i, _), t, h in zip(rows, texts, held):
         base = sum(math.log10((one[w] + 1) / unit) for w in t)
         score = 0.0
-        for a, b in zip([None, *t], t):
-            score += math.log10((two[a, b] + N.MU * (one[b] + 1) / unit) / (heads[a] + N.MU))
+        for k, b in enumerate(t):
+            a = t[k - 1] if k else None
+            p = (two[a, b] + N.MU * (one[b] + 1) / unit) / (heads[a] + N.MU)
+            if k:
+                z = t[k - 2] if k > 1 else None
+                p = (three[z, a, b] + N.MU * p) / (two[z, a] + N.MU)
+            score += math.log10(p)
         yield i, h, len(t), sum(one[w] > 0 for w in t), total, base, score
 
 
@@ -42,7 +48,7 @@ def same(ours, wanted):
     assert len(ours) == len(wanted)
     for a, b in zip(ours, wanted):
         assert a[:5] == b[:5] and a[5] == pytest.approx(b[5])
-        assert a[6] == pytest.approx(b[6], abs=b[2] * LOWEST / STEPS)
+        assert a[6] == pytest.approx(b[6], abs=b[2] * (LOWEST + 2 * HIGHEST) / STEPS)
 
 
 def test_query_equals_plain_model(spark, sf_dir):
@@ -85,19 +91,21 @@ def test_a_hot_context_is_spread():
 def test_a_hot_pair_is_one_entry_per_chunk():
     hashes, texts, shards = np.array([4, 7], np.uint64), [0] * 100_000 + [1] + [0, 0, 1], 2
     row = SimpleNamespace(
-        words=N._pack(hashes, "<u8"),
-        numbers=N._pack(np.array(texts), "<u4"),
-        lengths=N._pack(np.array([100_001, 3]), "<u4"),
-        held=N._pack(np.array([0, 1]), "u1"),
+        words=N.pack(hashes, "<u8"),
+        numbers=N.pack(np.array(texts), "<u4"),
+        lengths=N.pack(np.array([100_001, 3]), "<u4"),
+        held=N.pack(np.array([0, 1]), "u1"),
         answers=[
-            {"shard": k, "ids": N._pack(np.array([k + N.FIRST_WORD]), "<u8"), "counts": N._pack(np.array([n]), "<u8")}
+            {"shard": k, "ids": N.pack(np.array([k + N.FIRST_WORD]), "<u8"), "counts": N.pack(np.array([n]), "<u8")}
             for k, n in ((0, 100_000), (1, 1))
         ],
     )
     sent = list(N._Chunk(row, shards, 100_001, 1).messages())
-    # After the start, after the hot word and the end: three pairs.
-    assert sum(len(N._unpack(m["numbers"], "<u4")) for m in sent) == 3
-    assert sorted(n for m in sent for n in N._unpack(m["learnt"], "<u4").tolist()) == [1, 1, 99_999]
+    # After the start, after the hot word and the end: three pairs. After the start or the hot word: three triples.
+    assert sum(N.unpack(m["own"], "u1").sum() for m in sent) == 3
+    learnt = [n for m in sent for n, own in zip(N.unpack(m["learnt"], "<u4"), N.unpack(m["own"], "u1")) if own]
+    assert sorted(learnt) == [1, 1, 99_999]
+    assert sorted(n for m in sent for n in N.unpack(m["before_learnt"], "<u4").tolist()) == [1, 1, 99_998]
 
 
 def test_a_hot_pair_over_many_chunks_equals_plain_model(spark, monkeypatch):
@@ -114,22 +122,53 @@ def test_elias_fano(values, asked):
     values = np.sort(np.array(values, dtype=np.int64))
     one = EliasFano(*EliasFano.parts(values))
     assert one.values().tolist() == values.tolist()
+    assert one.search(values)[1].all()
     asked = np.array([*asked, *values.tolist()], dtype=np.int64)
     for shift in (0, 1):
         assert one.find(asked + shift).tolist() == np.searchsorted(values, asked + shift).tolist()
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.dictionaries(st.tuples(st.integers(0, 40), st.integers(0, 60)), st.floats(-11, 0), max_size=300))
-def test_trie(pairs):
+@given(
+    st.dictionaries(st.tuples(st.integers(0, 40), st.integers(0, 60)), st.floats(-11, 0), max_size=300),
+    st.dictionaries(st.tuples(st.integers(0, 299), st.integers(0, 30)), st.integers(1, 10**6), max_size=300),
+)
+def test_trie(pairs, triples):
     keys = sorted(pairs)
-    trie = PairTrie(*(np.array([k[i] for k in keys], dtype=np.int64) for i in (0, 1)), np.array([pairs[k] for k in keys]))
+    triples = {k: n for k, n in triples.items() if k[0] < len(keys)}
+    below = sorted(triples)
+
+    def column(rows, i):
+        return np.array([k[i] for k in rows], dtype=np.int64)
+
+    logs, counts = np.array([pairs[k] for k in keys]), np.array([triples[k] for k in below], dtype=np.int64)
+    trie = Trie(column(keys, 0), column(keys, 1), logs, column(below, 0), column(below, 1), counts)
     contexts, words = (x.ravel() for x in np.meshgrid(np.arange(42), np.arange(62)))
-    found = trie.find(contexts, words)
-    for a, b, log in zip(contexts.tolist(), words.tolist(), found):
-        assert (a, b) in pairs and log == pytest.approx(pairs[a, b], abs=LOWEST / STEPS) or (a, b) not in pairs and np.isnan(log)
+    places = trie.place(contexts, words)
+    codes = trie.probabilities(places)
+    for a, b, place, code in zip(contexts.tolist(), words.tolist(), places.tolist(), codes):
+        assert place == (keys.index((a, b)) if (a, b) in pairs else -1)
+        assert (code > 0) == ((a, b) in pairs)
+        assert not code or restore(np.array([code]))[0] == pytest.approx(pairs[a, b], abs=LOWEST / STEPS)
+    assert [trie.children(c) for c in range(42)] == [sum(k[0] == c for k in keys) for c in range(42)]
+    asked, before = (x.ravel() for x in np.meshgrid(np.arange(-1, len(keys)), np.arange(32)))
+    for a, b, n in zip(asked.tolist(), before.tolist(), restore_counts(trie.counts(asked, before)).tolist()):
+        assert n == pytest.approx(triples.get((a, b), 0), rel=6e-4)
+
+
+def test_triples_of_frequent_words_are_spread():
+    before = np.arange(2, 5000)
+    frequent = N.triple_shards(np.full(len(before), 5), np.full(len(before), 10**6), before, 64, 10**7)
+    rare = N.triple_shards(np.full(len(before), 5), np.full(len(before), 10), before, 64, 10**7)
+    assert len(set(frequent)) >= 24 and set(rare) == {5}
 
 
 def test_quantised_probabilities():
     logs = np.linspace(-LOWEST, 0, 1000)
     assert np.abs(restore(quantise(logs)) - logs).max() <= LOWEST / STEPS
+
+
+def test_quantised_counts():
+    counts = np.unique(np.logspace(0, 15, 1000).astype(np.int64))
+    assert restore_counts(quantise_counts(counts)) == pytest.approx(counts, rel=3e-4)
+    assert restore_counts(np.zeros(1, dtype="<u2"))[0] == 0
