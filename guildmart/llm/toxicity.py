@@ -7,14 +7,16 @@ beginning. A word's evidence is the difference of its two log-likelihoods. Where
 off, the shared factor cancels, so the fitted model is a table of log-likelihood ratios per n-gram
 and, for unseen n-grams, per context.
 
-A document's log-likelihoods are compared normalised by length, over all its words and over its few
-most telling ones: an insult in a long text counts as much as in a short one. A logistic regression
-on these normalised differences, fitted on labelled documents that the models in question were not
-fitted on (two folds), gives the score.
+A document's log-likelihoods are compared normalised by length, over all its words and over its telling
+ones: the few strongest, and the share and the sum of those beyond what ordinary words reach. The number
+of words is a feature too, as the strongest of many ordinary words is stronger than that of few. A
+logistic regression on these, fitted on labelled documents that the models in question were not fitted
+on (two folds), gives the score.
 
 The models are fitted on about ``MAX_LABELLED`` documents per class, so they are bounded, whatever
 the size of the data, and are broadcast as sorted arrays, which Python workers hold in a few MB. Defined results: missing and empty texts are scored like
-texts without a toxic word. Without labelled documents of both classes all scores are 0. Repeated
+texts without a toxic word. Without labelled documents of both classes all scores are 0; if only a fold
+lacks a class, fixed weights (``WITHOUT_FOLDS``) stand for fitted ones. Repeated
 rows are scored each. Labels, lang and source are never read when scoring.
 """
 
@@ -34,13 +36,16 @@ from guildmart.llm.labelled import remainder, sample
 
 ORDER = 6  # at most 8: an n-gram is kept as an integer of 64 bits
 DISCOUNT = 0.75
-TELLING = 3
+TELLING, TELLING_EVIDENCE, EXCESS = 3, 3.0, 2.5
+N_FEATURES = 7
 MAX_LABELLED = 6000
 MAX_TEXT_BYTES = 100_000
 THRESHOLD = 0.7
 FOLDS, HELD_OUT = 3, 1
 CACHE_WORDS = 100_000
 START, END = b"\x01", b"\x02"
+# The strongest few words alone, where so few documents are labelled that a fold lacks a class.
+WITHOUT_FOLDS = np.array([0.0, 1.0, 0.0, 0.0, 0.0, 0.0, -5.0])
 
 
 def words(text: str | None) -> list[bytes]:
@@ -126,7 +131,7 @@ class Model:
                 logs.append(math.log(own + mass.get(context, 1.0) * lower))
             ratio[gram] = logs[1] - logs[0]
         backoff = {c: math.log(left[1].get(c, 1.0) / left[0].get(c, 1.0)) for c in totals[0] | totals[1]}
-        return cls(Table(ratio), Table(backoff), np.zeros(4), order)
+        return cls(Table(ratio), Table(backoff), np.zeros(N_FEATURES), order)
 
     def evidences(self, found: list[bytes]) -> np.ndarray:
         """log P(word | toxic) - log P(word | ordinary) of each word."""
@@ -152,24 +157,27 @@ class Scorer:
         self.model, self.known = model, {}
 
     def features(self, text: str | None) -> np.ndarray:
-        """Differences of the length-normalised log-likelihoods: all words, telling ones, the most telling."""
+        """Differences of the length-normalised log-likelihoods: of all words, the strongest few and the
+        strongest; the number of words; and the share and the sum of telling words."""
         known, found = self.known, words(text)
         if not found:
-            return np.array([0.0, 0.0, 0.0, 1.0])
+            return np.append(np.zeros(N_FEATURES - 1), 1.0)
         if len(known) > CACHE_WORDS:
             known.clear()
         if new := [w for w in dict.fromkeys(found) if w not in known]:
             known.update(zip(new, self.model.evidences(new).tolist()))
         values = np.array([known[w] for w in found])
         telling = np.partition(values, -TELLING)[-TELLING:] if len(values) > TELLING else values
-        return np.array([values.mean(), telling.sum() / TELLING, values.max(), 1.0])
+        beyond = np.maximum(values - EXCESS, 0).sum()
+        share = 10 * math.sqrt((values > TELLING_EVIDENCE).mean())
+        return np.array([values.mean(), telling.sum() / TELLING, values.max(), math.log1p(len(values)), share, math.log1p(beyond), 1.0])
 
     def score(self, text: str | None) -> float:
         at = float(np.clip(self.features(text) @ self.model.weights, -40, 40))
         return 1 / (1 + math.exp(-at))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, steps: int = 50) -> np.ndarray:
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 50) -> np.ndarray:
     """Weights by Newton's method, with both classes weighing the same; the intercept, last, is not shrunk."""
     weights, penalty = np.zeros(x.shape[1]), np.diag([ridge] * (x.shape[1] - 1) + [1e-6])
     each = np.where(y == 1, len(y) / (2 * max(1, (y == 1).sum())), len(y) / (2 * max(1, (y == 0).sum())))
@@ -213,20 +221,21 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
     model = Model.fit(both)
     del both
     if len(counts) < 4:
-        return replace(model, weights=np.array([0.0, 1.0, 0.0, -5.0]))
+        return replace(model, weights=WITHOUT_FOLDS)
     # The model of one fold is applied to the other one.
     crossed = spark.sparkContext.broadcast([Model.fit((counts.pop((1 - f, 0)), counts.pop((1 - f, 1)))) for f in (0, 1)])
 
     def features(frames: Frames) -> Frames:
         scorers = [Scorer(m) for m in crossed.value]
         for frame in frames:
-            x = np.array([scorers[f].features(t) for t, f in zip(frame.text, frame.fold)]).reshape(-1, 4)
-            yield pd.DataFrame({"a": x[:, 0], "b": x[:, 1], "c": x[:, 2], "d": x[:, 3], "y": frame.label.astype(float)})
+            x = np.array([scorers[f].features(t) for t, f in zip(frame.text, frame.fold)]).reshape(-1, N_FEATURES)
+            yield pd.DataFrame({**dict(zip(names, x.T)), "y": frame.label.astype(float)})
 
-    x = rows.mapInPandas(features, "a double, b double, c double, d double, y double").toPandas()
+    names = [f"x{i}" for i in range(N_FEATURES)]
+    x = rows.mapInPandas(features, ", ".join(f"{n} double" for n in (*names, "y"))).toPandas()
     crossed.destroy()
-    x = x.sort_values(list("abcdy")).to_numpy()
-    return replace(model, weights=logistic(x[:, :4], x[:, 4]))
+    x = x.sort_values([*names, "y"]).to_numpy()
+    return replace(model, weights=logistic(x[:, :N_FEATURES], x[:, N_FEATURES]))
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
