@@ -21,6 +21,7 @@ returns the input's columns.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 
 import numpy as np
@@ -36,11 +37,9 @@ WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
 BLOCK_WORDS = 128
 SLOTS = 4096
-BUCKETS = 1024
+BUCKETS, BUCKET_WORDS = 1024, 50_000_000  # a bucket's tasks sort so many words, if there are that many
 SEED = 17
 MAX_SOURCES = 100_000
-# numpy draws hypergeometric counts of fewer items only; above, halves are cut in proportion.
-LARGEST_DRAW = 10**9 - 1
 
 
 def n_words(text: str = "text") -> Column:
@@ -68,15 +67,21 @@ def _rng(*place: int) -> np.random.Generator:
 
 
 def _left_counts(totals: np.ndarray, left_slots: int, place: tuple[int, ...]) -> np.ndarray:
-    """How many of ``left_slots`` slots each source gets, drawn without replacement from the totals."""
-    all_slots = int(totals.sum())
-    if all_slots <= LARGEST_DRAW:
-        return _rng(*place).multivariate_hypergeometric(totals, left_slots, method="marginals")
-    exact = totals * (left_slots / all_slots)
-    counts = np.floor(exact).astype(np.int64)
-    order = np.argsort(counts - exact, kind="stable")
-    counts[order[: left_slots - int(counts.sum())]] += 1
-    return counts
+    """How many of ``left_slots`` slots each source gets, drawn without replacement from the totals.
+
+    Source after source, given those before: a normal draw with the mean and the variance of the
+    hypergeometric one, rounded and kept to its range, at every size alike.
+    """
+    draws = _rng(*place).standard_normal(len(totals)).tolist()
+    rest, left, counts = int(totals.sum()), left_slots, []
+    for n, draw in zip(totals.tolist(), draws):
+        others = rest - n
+        share = left / rest if rest else 0.0
+        spread = math.sqrt(max(0.0, n * share * (1 - share) * others / max(1, rest - 1)))
+        count = min(max(round(n * share + spread * draw), left - others, 0), n, left)
+        counts.append(count)
+        rest, left = others, left - count
+    return np.array(counts, dtype=np.int64)
 
 
 def shard_counts(slots: np.ndarray, shard: int, shards: int, per_shard: int, seed: int = SEED):
@@ -118,7 +123,7 @@ def permute(x: np.ndarray, n: int, *key: int) -> np.ndarray:
 class Mix:
     """The packed documents, the sources' targets and the drawn slots of one mix.
 
-    ``size`` gives a document's words, by default those of its text. ``sized`` has one row per document:
+    ``size`` gives a document's words and ``digest`` a hash of its text, by default those of ``text``. ``sized`` has one row per document:
     ``row`` with the columns given, ``source_no``, ``size`` and ``offset``, the
     document's place in its source's stream. (source_no, offset) names a document of size over 0.
     """
@@ -127,6 +132,7 @@ class Mix:
         self,
         docs: DataFrame,
         size: Column | None = None,
+        digest: Column | None = None,
         weights: tuple[float, ...] = WEIGHTS,
         block_words: int = BLOCK_WORDS,
         seed: int = SEED,
@@ -134,7 +140,10 @@ class Mix:
     ) -> None:
         self.spark, self.block, self.seed, self.per_shard = docs.sparkSession, block_words, seed, slots_per_shard
         names = docs.columns
-        rows = docs.select(F.struct(*names).alias("row"), F.col("doc_id"), F.col("source"), (n_words() if size is None else size).alias("size"))
+        own = digest if digest is not None else F.xxhash64("text")
+        rows = docs.select(
+            F.struct(*names).alias("row"), "doc_id", "source", (n_words() if size is None else size).alias("size"), own.alias("digest")
+        )
         rows = written(rows) if "text" not in names else rows
         counted = rows.select("doc_id", "source", "size")
         found = counted.groupBy("source").agg(F.sum("size").alias("size")).limit(MAX_SOURCES + 1).collect()
@@ -155,16 +164,17 @@ class Mix:
 
     def _packed(self, rows: DataFrame) -> DataFrame:
         """Offsets from exact sums over (source, bucket) cells and a window within each cell."""
+        buckets = max(BUCKETS, sum(self.sizes) // BUCKET_WORDS)
         numbers = F.broadcast(self.sources.select("source_no", F.col("source").alias("_s")))
         keyed = rows.join(numbers, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-        keyed = keyed.withColumn("bucket", F.pmod(F.xxhash64("doc_id", F.lit(self.seed)), F.lit(BUCKETS)))
+        keyed = keyed.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "digest", F.lit(self.seed)), F.lit(buckets)))
         before = Window.partitionBy("source_no").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-        # A bounded table: sources times buckets.
+        # A small table: sources times buckets.
         cells = keyed.groupBy("source_no", "bucket").agg(F.sum("size").alias("sum")).select(
             "source_no", "bucket", F.coalesce(F.sum("sum").over(before), F.lit(0)).alias("start")
         )
         inside = (
-            Window.partitionBy("source_no", "bucket").orderBy("doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+            Window.partitionBy("source_no", "bucket").orderBy("doc_id", "digest", "size").rowsBetween(Window.unboundedPreceding, -1)
         )
         offset = F.col("start") + F.coalesce(F.sum("size").over(inside), F.lit(0))
         placed = keyed.join(cells, ["source_no", "bucket"]).withColumn("offset", offset)

@@ -33,8 +33,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir).select("doc_id", "source", mixing.n_words().alias("size"))
-    mix = mixing.Mix(docs, size=F.col("size"))
+    docs = documents(spark, sf_dir).select(
+        "doc_id", "source", mixing.n_words().alias("size"), F.xxhash64("text").alias("digest")
+    )
+    mix = mixing.Mix(docs, size=F.col("size"), digest=F.col("digest"))
     named = mix.taken().join(F.broadcast(mix.sources.drop("source")), "source_no")
     return named.select(F.col("row.doc_id").alias("doc_id"), named["size"], "source_size", "target", "taken")
 

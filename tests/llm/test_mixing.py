@@ -69,10 +69,21 @@ def test_shards_draw_the_totals():
     assert all((f == firsts[i]).all() for i, (_, f) in enumerate(draws))
 
 
-def test_large_totals_are_cut_in_proportion():
-    slots = np.array([3 * 10**9, 10**9])
-    counts, first = M.shard_counts(slots, 5, 10, 4 * 10**8)
-    assert counts.sum() == 4 * 10**8 and abs(counts[0] / counts.sum() - 0.75) < 0.01
+@pytest.mark.parametrize("size", [10, 10**6, 10**12])
+def test_draws_follow_one_law_at_every_size(size):
+    """Mean and spread of a source's slots in half of all are those of draws without replacement."""
+    totals = np.array([3 * size, size])
+    draws = np.array([M._left_counts(totals, 2 * size, (7, i))[1] for i in range(4000)])
+    variance = 2 * size * 0.25 * 0.75 * 2 * size / (4 * size - 1)
+    assert (draws >= 0).all() and (draws <= size).all()
+    assert abs(draws.mean() - size / 2) <= 4 * (variance / 4000) ** 0.5 + 0.02
+    assert draws.std() == pytest.approx(variance**0.5, rel=0.1)
+
+
+def test_reruns_agree_without_ids(spark):
+    docs = spark.createDataFrame([(None, "s", f"w{i} " * (1 + i % 9)) for i in range(400)], "doc_id bigint, source string, text string")
+    one, two = (Counter(map(tuple, M.mixed_documents(d, block_words=4).collect())) for d in (docs, docs.repartition(7)))
+    assert one == two
 
 
 def test_edge_rows(spark):
