@@ -55,6 +55,27 @@ def range_of(key: Column, bounds: list[int]) -> Column:
     )
 
 
+def place_groups(groups: list[tuple[int, int]], n_shards: int, total: int) -> tuple[dict[int, int], list[int]]:
+    """The shard of each (key, bytes), the largest first into the emptiest; and where on the line of all
+    other bytes each shard but the last ends, so that all shards are filled to one level."""
+    loads, homes = [0] * n_shards, {}
+    for size, key in sorted(((size, key) for key, size in groups), key=lambda x: (-x[0], x[1])):
+        home = loads.index(min(loads))
+        homes[key] = home
+        loads[home] += size
+    rest, order = total - sum(loads), sorted(loads)
+    level = 0.0
+    for n in range(1, n_shards + 1):
+        level = (rest + sum(order[:n])) / n
+        if n == n_shards or level <= order[n]:
+            break
+    ends, end = [], 0.0
+    for load in loads[:-1]:
+        end += max(0.0, level - load)
+        ends.append(round(end))
+    return homes, ends
+
+
 def shard(
     docs: DataFrame,
     n_shards: int = N_SHARDS,
@@ -83,16 +104,24 @@ def shard(
     large = (
         records.groupBy("_key").agg(F.sum("_size").alias("_bytes"))
         .where(F.col("_bytes") * (n_shards * GROUPS_PER_SHARD) > total)
-        .select("_key", F.lit(True).alias("_large"))
+    )
+    found = [(r["_key"], r["_bytes"]) for r in large.collect()]
+    fits = [x for x in found if x[1] * n_shards <= total]
+    homes, ends = place_groups(fits, n_shards, total)
+    known = [(key, homes.get(key)) for key, _ in found]
+    large = docs.sparkSession.createDataFrame(known, "_key bigint, _home int").withColumn("_large", F.lit(True))
+    # A group that fits a shard is a range of its own shard, after all others; one that does not is split.
+    ranged = (
+        ranged.join(F.broadcast(large), "_key", "left")
+        .withColumn("_large", F.coalesce("_large", F.lit(False)))
+        .withColumn("_range", F.when(F.col("_home").isNull(), F.col("_range")).otherwise(F.col("_home") + F.lit(len(bounds) + 1)))
     )
     # At most one row per range.
     parts = ranged.groupBy("_range").agg(
         F.ceil(F.sum("_size") / F.lit(max(1.0, 2 * total / ranges))).cast("int").alias("_parts")
     )
     cut = (
-        ranged.join(F.broadcast(large), "_key", "left")
-        .join(F.broadcast(parts), "_range")
-        .withColumn("_large", F.coalesce("_large", F.lit(False)))
+        ranged.join(F.broadcast(parts), "_range")
         .withColumn(
             "_part",
             F.when(F.col("_parts") <= 1, 0).otherwise(
@@ -119,13 +148,16 @@ def shard(
         .withColumn("_start", start)
         .withColumn("_row", F.col("_rows_before") + F.row_number().over(order) - 1)
         .withColumn("_start", F.when(F.col("_large"), F.col("_start")).otherwise(F.min("_start").over(group)))
-        .withColumn(
-            "shard",
-            F.least(F.lit(n_shards - 1), F.floor(F.col("_start") * n_shards / F.lit(max(1, total)))).cast("int"),
-        )
-        .select(*own, "shard", "_row")
+        .withColumn("shard", F.coalesce("_home", F.least(F.lit(n_shards - 1), range_of(F.col("_start"), ends))).cast("int"))
+        .select(*own, "shard", "_row", F.col("_home").isNotNull().alias("_whole"))
     )
     placed = written(placed)
-    firsts = placed.groupBy("shard").agg(F.min("_row").alias("_first"))
-    slotted = placed.join(F.broadcast(firsts), "shard").withColumn("slot", F.col("_row") - F.col("_first"))
+    # In a shard the rows of whole groups come after the others.
+    runs = placed.groupBy("shard").agg(
+        F.min(F.when(~F.col("_whole"), F.col("_row"))).alias("_first"),
+        F.count(F.when(~F.col("_whole"), 1)).alias("_n"),
+        F.min(F.when(F.col("_whole"), F.col("_row"))).alias("_first_whole"),
+    )
+    slot = F.when(F.col("_whole"), F.col("_row") - F.col("_first_whole") + F.col("_n")).otherwise(F.col("_row") - F.col("_first"))
+    slotted = placed.join(F.broadcast(runs), "shard").withColumn("slot", slot)
     return slotted.select(*own, "shard", F.col("slot").cast(T.LongType()).alias("slot"))

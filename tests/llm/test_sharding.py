@@ -29,6 +29,26 @@ def test_query(spark, sf_dir):
     assert gapless((r.shard, r.slot) for r in ours)
 
 
+@pytest.mark.parametrize("folder", ["/root/testdata/sf0.01", "/root/testdata/sf0.1"])
+def test_equal_texts_stay_together_and_sizes_are_near_equal(spark, folder):
+    groups, sizes = defaultdict(set), Counter()
+    for r in QUERIES["op5_sharding"](spark, folder).collect():
+        groups[r.text_crc32, r["size"]].add(r.shard)
+        sizes[r.shard] += r["size"]
+    mean = sum(sizes.values()) / 24
+    # No text is larger than a shard here; on the smaller table one text is up to a shard's fifth.
+    assert all(len(shards) == 1 for shards in groups.values())
+    assert max(abs(v - mean) for v in sizes.values()) <= (0.02 if folder.endswith("0.1") else 0.1) * mean
+
+
+def test_groups_are_placed_to_one_level():
+    homes, ends = S.place_groups([(1, 50), (2, 30), (3, 30)], 4, 400)
+    assert homes == {1: 0, 2: 1, 3: 2} and ends == [50, 120, 190]
+    assert S.place_groups([], 3, 300) == ({}, [100, 200])
+    homes, ends = S.place_groups([(1, 90), (2, 90)], 3, 200)
+    assert homes == {1: 0, 2: 1} and ends == [0, 0]
+
+
 def many(spark, n, hot):
     """``n`` records of 8 to 1007 bytes; a share of ``hot`` has one key."""
     rows = spark.range(n).withColumn("size", F.pmod(F.xxhash64("id"), F.lit(1000)) + 8)
@@ -53,6 +73,23 @@ def test_sizes_are_near_equal_and_groups_whole(spark, hot):
     assert all(len(x) == 1 for k, x in groups.items() if k != 5)
 
 
+@pytest.mark.parametrize("groups", [10, 30, 200])
+def test_groups_that_fit_a_shard_are_whole(spark, groups):
+    """Half of the rows in a few groups of up to a shard each."""
+    rows = many(spark, 20_000, 0)
+    key = F.when(F.col("doc_id") % 2 == 0, F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(groups))).otherwise(F.col("group"))
+    placed = S.shard(rows.withColumn("group", key), key=F.col("group"), size=F.col("size")).collect()
+    sizes, shards, own = Counter(), defaultdict(set), Counter()
+    for r in placed:
+        sizes[r.shard] += r["size"]
+        own[r.group] += r["size"]
+        shards[r.group].add(r.shard)
+    mean = sum(sizes.values()) / 24
+    assert all(len(x) == 1 for k, x in shards.items() if own[k] <= mean)
+    assert max(abs(v - mean) for v in sizes.values()) <= 0.25 * mean
+    assert gapless((r.shard, r.slot) for r in placed)
+
+
 def test_reruns_agree(spark):
     one, two = (S.shard(x, key=F.col("group"), size=F.col("size")) for x in (many(spark, 5000, 35), many(spark, 5000, 35).repartition(7)))
     assert one.exceptAll(two).count() == 0
