@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from guildmart.llm.common import Frames, join_keyed, utf8
+from guildmart.llm.common import Frames, join_keyed, ordered_id, utf8
 from guildmart.sources.warehouse import written
 
 SHINGLE_WORDS = 3
@@ -61,14 +61,14 @@ def fingerprint(text: bytes, width: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(bits, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, width: int = SHINGLE_WORDS) -> DataFrame:
+def fingerprints(docs: DataFrame, width: int = SHINGLE_WORDS, id_type: str = "bigint") -> DataFrame:
     """(doc_id, fp) of every row; fp is the fingerprint as a signed integer."""
 
     @F.pandas_udf("bigint")
     def of(texts: pd.Series) -> pd.Series:
         return pd.Series(np.array([fingerprint(t, width) for t in texts], dtype=np.uint64).view(np.int64))
 
-    return docs.select(F.col("doc_id").cast("bigint"), of(utf8()).alias("fp"))
+    return docs.select(F.col("doc_id").cast(id_type).alias("doc_id"), of(utf8()).alias("fp"))
 
 
 def distance(points: np.ndarray, vantage: np.uint64, mask: np.uint64) -> np.ndarray:
@@ -248,9 +248,11 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def near_duplicates(docs: DataFrame, width: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, width: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, id_type: str = "bigint"
+) -> DataFrame:
     """(doc_id, fp, component_id) of every row; component_id is the smallest doc_id reachable."""
-    rows = written(fingerprints(docs, width))
+    rows = written(fingerprints(docs, width, id_type))
     distinct = written(rows.groupBy("fp").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_id")))
     size = distinct.agg(F.count(F.lit(1)).alias("fps"), F.sum("n").alias("docs")).first()
     edges = written(links(distinct, size.fps, max_bits))
@@ -272,18 +274,20 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE_WORDS, max_bits: int =
 
 
 def one_of_each(docs: DataFrame, width: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """The documents without those that a document with a smaller doc_id is linked to.
+    """One row of each group of linked documents, with its columns: that with the smallest doc_id.
 
-    Of rows with equal doc_id one stays, the one with the smallest text. Rows without doc_id stay.
+    Of several with that doc_id, or of a group without any, the one with the smallest hash of its text
+    stays, so rows of one doc_id whose texts are not linked all stay. Of rows with equal doc_id and text
+    the one with the smallest other columns stays.
     """
-    named = near_duplicates(docs.select("doc_id", "text"), width, max_bits)
-    gone = written(named.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct())
-    kept = docs.join(gone, "doc_id", "left_anti")
-    again = written(docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id"))
+    key = F.struct(ordered_id().alias("id"), F.xxhash64(utf8()).alias("text_key"))
+    named = near_duplicates(docs.select(key.alias("doc_id"), "text"), width, max_bits, "struct<id:bigint,text_key:bigint>")
+    gone = written(named.where(F.col("doc_id") != F.col("component_id")).select("doc_id.*").distinct())
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), ordered_id().alias("id"), F.xxhash64(utf8()).alias("text_key"))
+    kept = keyed.join(gone, ["id", "text_key"], "left_anti")
+    again = written(keyed.groupBy("id", "text_key").count().where("count > 1").select("id", "text_key"))
+    own = [F.col("row")[c].alias(c) for c in docs.columns]
     if not again.limit(1).count():
-        return kept
-    fields = F.struct("text", *[c for c in docs.columns if c not in ("doc_id", "text")])
-    one = kept.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(fields).alias("row"))
-    return kept.join(again, "doc_id", "left_anti").unionByName(
-        one.select("doc_id", "row.*").select(*docs.columns)
-    )
+        return kept.select(*own)
+    one = kept.join(again, ["id", "text_key"], "left_semi").groupBy("id", "text_key").agg(F.min("row").alias("row"))
+    return kept.join(again, ["id", "text_key"], "left_anti").select(*own).unionByName(one.select(*own))

@@ -56,11 +56,22 @@ def test_one_of_each_keeps_the_smallest_and_all_columns(spark):
     docs = edge_docs(spark)
     kept = simhash.one_of_each(docs)
     assert kept.columns == docs.columns
-    # 4 and 5 link with 3 (fingerprint 0), 8 and 9 appear once, rows without doc_id stay.
-    ids = sorted((r.doc_id for r in kept.collect() if r.doc_id is not None))
+    # 4, 5 and the row without id and text link with 3 (fingerprint 0); 8 appears once, 9 with both texts.
     named = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()}
-    assert ids == sorted({i for i, c in named.items() if i is not None and i == c})
-    assert kept.where("doc_id is null").count() == 2
+    rows = kept.collect()
+    ids = sorted(r.doc_id for r in rows if r.doc_id is not None)
+    assert ids == sorted([*{i for i, c in named.items() if i is not None and i == c}, 9])
+    assert [r.text for r in rows if r.doc_id is None] == ["a text without an id\nshared line of text"]
+
+
+def test_one_of_each_without_ids(spark):
+    """Copies without an id are one document, near copies of it go, other texts stay."""
+    text = " ".join(f"word{i}" for i in range(400))
+    rows = [(None, text)] * 5 + [(None, text + " end"), (None, "another text altogether, of its own words"), (4, "x y z"), (4, "p q r s t")]
+    kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    linked = bin(simhash.fingerprint(text.encode()) ^ simhash.fingerprint(f"{text} end".encode())).count("1") <= 3
+    assert len(kept) == (4 if linked else 5)
+    assert {r.text for r in kept} >= {"x y z", "p q r s t", rows[6][1]}
 
 
 @pytest.mark.parametrize("ball", [0, 400])
