@@ -332,6 +332,56 @@ PARENTLESS = " union all ".join(
 )
 
 
+def _broken(name: str, relation: str, fresh: str, id_col: str, keys: str, rest: str = "") -> str:
+    """Ids of new rows that are taken, and natural keys on several new rows."""
+    text = "concat_ws('|', " + ", ".join(f"{k}::varchar" for k in keys.split(", ")) + ")"
+    ids = f"""select '{name}' as table_name, 'unique {id_col}' as rule, {id_col}::varchar as key,
+        cast(count(*) as bigint) as row_count
+        from (select {id_col} from {relation} where {fresh} union all
+              {rest or f"select {id_col} from {relation} where not ({fresh})"})
+        where {id_col} in (select {id_col} from {relation} where {fresh})
+        group by {id_col} having count(*) > 1"""
+    own = f"""select '{name}', 'unique key', {text}, cast(count(*) as bigint) from {relation} where {fresh}
+        group by {keys} having count(*) > 1"""
+    return ids if keys == id_col else f"{ids} union all {own}"
+
+
+LATE = f"load_dttm > {FIRST}"
+BROKEN_VIEWS = {
+    "b_orders": """
+        select * replace (case when order_id % 70 <> 0 then order_status end as order_status,
+          case when order_id % 100 = 0 then order_id - 1 else order_id end as order_id) from s_orders""",
+    "b_report": "select customer_id as id, * from report_after",
+    "b_log": "select 1 as id, load_dttm from (select distinct load_dttm from s_orders)",
+    "b_fresh": "select * replace (customer_id // 2 as customer_id) from s_customers",
+}
+BROKEN = " union all ".join(
+    [
+        _broken("orders", "b_orders", LATE, "order_id", "product_id, craftsman_id, customer_id, order_created_date"),
+        f"""select 'orders', 'not null order_status', null, cast(count(*) as bigint) from b_orders
+            where {LATE} and order_status is null having count(*) > 0""",
+        *(
+            f"""select 'orders', 'parent {name}', {key}::varchar, cast(count(*) as bigint) from b_orders
+            where {LATE} and {key} not in (select {key} from s_{name} where load_dttm <= {FIRST}) group by {key}"""
+            for name, key in (("products", "product_id"), ("craftsmen", "craftsman_id"), ("customers", "customer_id"))
+        ),
+        _broken(
+            "products", "s_products", LATE, "product_id", "product_name, product_description, product_price",
+            "select product_id from s_products",
+        ),
+        _broken(
+            "craftsmen", "s_craftsmen", LATE, "craftsman_id", PERSON_KEYS["craftsman"], "select craftsman_id from s_craftsmen"
+        ),
+        _broken(
+            "customers", "b_fresh", LATE, "customer_id", PERSON_KEYS["customer"],
+            f"select customer_id // 4 from s_customers where not ({LATE})",
+        ),
+        _broken("customer_report", "b_report", "report_period >= '1998'", "id", "customer_id, report_period"),
+        _broken("load_log", "b_log", LATE, "id", "id"),
+    ]
+)
+
+
 def _counted(key: str, group: str) -> str:
     return f"""select {group}, {key}, cast(count(*) as bigint) as count_product
                from lines group by {group}, {key}"""
@@ -479,6 +529,72 @@ OVERLAP_VIEWS = {
         from x_orders o join x_products using (product_id)""",
 }
 
+# Two loads of other lines, the second with products in another category.
+RENEWED_SETS = {
+    "y_old": "select * replace (product_type || ' (old)' as product_type) from staging where id % 3 <> 0",
+    "y_new": "select * from staging where id % 3 = 0",
+}
+
+
+def _renewed(name: str, id_col: str, keys: list[str], values: list[str]) -> dict[str, str]:
+    early, late = (f"({latest_per_key(rows, keys, values, 'id')})" for rows in RENEWED_SETS)
+    first = loaded(f"{name}_early", early, id_col, keys, values)
+    return {**first, name: merged(f"{name}_early", late, id_col, keys, values)}
+
+
+RENEWED_VIEWS = {
+    **RENEWED_SETS,
+    **_renewed("y_products", "product_id", PRODUCT_KEYS, ["product_type"]),
+    **_renewed("y_craftsmen", "craftsman_id", CRAFTSMAN_KEYS, CRAFTSMAN_VALUES),
+    **_renewed("y_customers", "customer_id", CUSTOMER_KEYS, CUSTOMER_VALUES),
+    **{
+        f"{rows}_{state}": text
+        for rows in RENEWED_SETS
+        for state, text in (
+            ("keyed", _rekeyed(rows).replace("x_", "y_")),
+            ("last", latest_per_key(f"{rows}_keyed", ORDER_KEYS, ORDER_VALUES, "id")),
+        )
+    },
+    "y_orders": f"""
+        select * from y_new_last union all
+        select f.* from y_old_last f anti join y_new_last s using ({_columns(ORDER_KEYS)})""",
+    "y_lines": OVERLAP_VIEWS["x_lines"].replace("x_", "y_"),
+}
+
+# Literal types, as the files have them: directory columns are text and not in the files.
+STORED = {
+    "products": "product_id bigint; product_name string; product_description string; product_type string; "
+    "product_price bigint; load_dttm timestamp_ntz",
+    "craftsmen": f"craftsman_id bigint; {_person_columns('craftsman')}; load_dttm timestamp_ntz",
+    "customers": f"customer_id bigint; {_person_columns('customer')}; load_dttm timestamp_ntz",
+    "orders": "order_id bigint; product_id bigint; craftsman_id bigint; customer_id bigint; "
+    "order_created_date date; order_completion_date date; order_status string; load_dttm timestamp_ntz",
+    "customer_report": f"id bigint; customer_id bigint; {_person_columns('customer')}; customer_money decimal(15,2); "
+    "platform_money bigint; count_order bigint; avg_price_order decimal(10,2); "
+    "avg_age_customer decimal(3,1); median_time_order_completed decimal(10,1); "
+    "top_product_category string; top_craftsman bigint; count_order_created bigint; "
+    "count_order_in_progress bigint; count_order_delivery bigint; count_order_done bigint; "
+    "count_order_not_done bigint",
+    "load_log": "id bigint; load_dttm timestamp_ntz",
+    "report_sums": "customer_id bigint; kind string; item string; total bigint; priced bigint; count_order bigint; "
+    "count_order_created bigint; count_order_in_progress bigint; count_order_delivery bigint; "
+    "count_order_done bigint; count_order_not_done bigint",
+    "product_months": "product_id bigint; order_month string",
+}
+STORED_TYPES = " union all ".join(
+    f"select '{table}' as table_name, '{column.split()[0]}' as column_name, '{column.split()[1]}' as stored_type"
+    for table, columns in STORED.items()
+    for column in columns.split("; ")
+)
+
+# Changed since the sums were kept: new orders, orders with another state, products in another category.
+SUMS_TOUCHED = f"""
+    select distinct o.customer_id, o.report_period from lines o
+      join (select product_id, load_dttm as product_stamp from s_products) using (product_id)
+      join (select customer_id, load_dttm as customer_stamp from s_customers) using (customer_id)
+    where o.load_dttm > {FIRST} or product_stamp > {FIRST}
+      or (customer_stamp > {FIRST} and order_created_date < {SPLIT})"""
+
 NAMELESS = "(select distinct * replace (nullif(customer_name, 'BUILDING') as customer_name) from {})"
 PEOPLE_OF = "(select distinct {} from staging where order_created_date {} " + SPLIT + ")"
 
@@ -541,6 +657,10 @@ ORACLE: dict[str, str] = {
     ),
     "completion_days": _with("select order_id, product_id, days from lines"),
     "report_period": _with("select order_id, product_id, report_period from lines"),
+    "surrogate_keys_dense": _with(
+        f"""select cast(row_number() over (order by {_columns(CUSTOMER_KEYS)}) as bigint) as customer_id, *
+            from (select distinct {_columns(CUSTOMER_KEYS + CUSTOMER_VALUES)} from staging)"""
+    ),
     "surrogate_keys": _with(
         numbered(
             f"(select distinct {_columns(CUSTOMER_KEYS + CUSTOMER_VALUES)} from staging)",
@@ -582,6 +702,8 @@ ORACLE: dict[str, str] = {
     ),
     "check_keys": _with(REPEATED),
     "check_parents": _with(PARENTLESS),
+    "check_load": _with(BROKEN, **BROKEN_VIEWS),
+    "stored_types": STORED_TYPES,
     "read_watermark": _with(
         "select coalesce(max(load_dttm), timestamp '1900-01-01') as load_dttm from s_orders"
     ),
@@ -633,6 +755,16 @@ ORACLE: dict[str, str] = {
     "report_incremental": _with(
         "select r.* from report_after r join touched using (customer_id, report_period)"
     ),
+    "report_incremental_sums": _with(
+        "select r.* from report_after r join sums_touched using (customer_id, report_period)",
+        sums_touched=SUMS_TOUCHED,
+    ),
+    "increment_renewed_products": _with(report("y_lines", "y_customers"), **RENEWED_VIEWS),
+    "product_months": _with(
+        f"""select distinct {_columns(PRODUCT_KEYS)}, strftime(order_created_date, '%Y-%m') as order_month
+            from y_orders join y_products using (product_id)""",
+        **RENEWED_VIEWS,
+    ),
     "datamart_insert_new": _with(
         """select r.* from report_after r
            anti join report_before b using (customer_id, report_period)"""

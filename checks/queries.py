@@ -20,11 +20,12 @@ from checks.tables import (
 )
 from guildmart.functions import building, days_between, month_of, street, whole_years, word
 from guildmart.operators import delta, quality
-from guildmart.operators.keys import assign_ids
+from guildmart.operators.keys import assign_ids, dense_ids
 from guildmart.operators.rekey import rekey, star_join
 from guildmart.operators.staging import REASON, build_staging, rejected
 from guildmart.operators.upsert import KEEP_FIRST, LATEST, ORDER, inserted, load_stamp, updated, upsert
 from guildmart.plans import report as R
+from guildmart.plans import sums
 from guildmart.plans.loads import Policy, distinct_source, increment, read_report, refresh_report
 from guildmart.schemas import (
     CRAFTSMEN,
@@ -35,6 +36,7 @@ from guildmart.schemas import (
     LOG_TABLE,
     ORDERS,
     ORDERS_TABLE,
+    PRODUCT_MONTHS_TABLE,
     PRODUCTS,
     PRODUCTS_TABLE,
     REPORT,
@@ -101,8 +103,15 @@ def staging_overflow(spark, sf_dir):
     return lines.select("id", "order_id", "customer_id", REASON)
 
 
+def _kept_staging(spark: SparkSession, sf_dir: str, *tables: Table) -> DataFrame:
+    """Staging with the columns that make up the tables and the orders' own, written."""
+    wanted = dict.fromkeys(c for table in tables for c in table.source_cols)
+    own = ("order_created_date", "order_completion_date", "order_status")
+    return written(_staging(spark, sf_dir).select(*wanted, *own))
+
+
 def staging_fact(spark, sf_dir):
-    staging = written(_staging(spark, sf_dir))
+    staging = _kept_staging(spark, sf_dir, *DIMENSIONS)
     return rekey(staging, *_loaded_dims(spark, staging))
 
 
@@ -148,6 +157,11 @@ def report_period(spark, sf_dir):
 # Upserts ---------------------------------------------------------------------------------------
 
 
+def surrogate_keys_dense(spark, sf_dir):
+    rows = distinct_source(_staging(spark, sf_dir), CUSTOMERS_TABLE)
+    return dense_ids(rows, CUSTOMERS_TABLE.keys, "customer_id")
+
+
 def surrogate_keys(spark, sf_dir):
     rows = distinct_source(_staging(spark, sf_dir), CUSTOMERS_TABLE)
     return assign_ids(rows, CUSTOMERS_TABLE.keys, "customer_id", F.lit(0).cast("bigint"))
@@ -155,7 +169,7 @@ def surrogate_keys(spark, sf_dir):
 
 def _merge(spark, sf_dir, table: Table, renewed: dict[str, F.Column], policy: str) -> DataFrame:
     """The first batch's rows, then the second batch's with changed attributes merged into them."""
-    staging = written(_staging(spark, sf_dir))
+    staging = _kept_staging(spark, sf_dir, table)
     before = upsert(
         empty(spark, table.schema),
         distinct_source(staging.filter(first_batch()), table),
@@ -206,7 +220,7 @@ def merge_orders_latest(spark, sf_dir):
 
 def merge_null_keys(spark, sf_dir):
     """A person without a name matches nobody: kept in the target and inserted from the source."""
-    staging = written(_staging(spark, sf_dir))
+    staging = _kept_staging(spark, sf_dir, CUSTOMERS_TABLE)
     nameless = {"customer_name": F.nullif(F.col("customer_name"), F.lit("BUILDING"))}
     before = upsert(
         empty(spark, CUSTOMERS),
@@ -296,6 +310,41 @@ def check_parents(spark, sf_dir):
     return _union(missing)
 
 
+def check_load(spark, sf_dir):
+    """What a second load breaks if its ids are taken, its rows repeat, values are missing and products
+    unknown: every hundredth order has its neighbour's id, every seventieth no state, and a report row
+    the id of its customer."""
+    tables = star(spark, sf_dir)
+    late = F.col("load_dttm") > _mark()
+    taken = F.when(F.col("order_id") % 100 == 0, F.col("order_id") - 1).otherwise(F.col("order_id"))
+    state = F.when(F.col("order_id") % 70 != 0, F.col("order_status"))
+    orders = tables.orders.withColumns({"order_status": state, "order_id": taken})
+    known = {t.name: d.filter(~late) for t, d in zip(DIMENSIONS, tables.dims(), strict=True)}
+    report = written(_report(tables, tables.orders).withColumn("id", F.col("customer_id")))
+    log = tables.orders.groupBy("load_dttm").agg(F.lit(1).cast("bigint").alias("id"))
+    people = {
+        name: tables.customers.withColumn("customer_id", F.floor(F.col("customer_id") / width).cast("bigint"))
+        for name, width in (("fresh", 2), ("rest", 4))
+    }
+    found = [
+        quality.load_violations(ORDERS_TABLE, orders.filter(late), orders.filter(~late), known),
+        quality.load_violations(PRODUCTS_TABLE, tables.products.filter(late), tables.products, {}),
+        quality.load_violations(CRAFTSMEN_TABLE, tables.craftsmen.filter(late), tables.craftsmen, {}),
+        quality.load_violations(CUSTOMERS_TABLE, people["fresh"].filter(late), people["rest"].filter(~late), {}),
+        quality.load_violations(
+            REPORT_TABLE, report.filter("report_period >= '1998'"), report.filter("report_period < '1998'"), {}
+        ),
+        quality.load_violations(LOG_TABLE, log.filter(late), log.filter(~late), {}),
+    ]
+    return _union(found)
+
+
+def stored_types(spark, sf_dir):
+    """The types in the files of every table after two loads."""
+    warehouse = _with_renewed_products(spark, sf_dir)
+    return warehouse.stored_types().select("table_name", "column_name", "stored_type").distinct()
+
+
 # Deltas ----------------------------------------------------------------------------------------
 
 
@@ -389,6 +438,63 @@ def report_incremental(spark, sf_dir):
     return _recomputed(tables, _report_before(tables))
 
 
+def report_incremental_sums(spark, sf_dir):
+    """The report of what changed, from kept sums: early orders that are open had another state before,
+    and products of the second load another category."""
+    tables = star(spark, sf_dir)
+    late = F.col("load_dttm") > _mark()
+    open_before = {
+        "order_status": F.when(late, F.lit("in progress")).otherwise(F.col("order_status")),
+        "order_completion_date": F.when(~late, F.col("order_completion_date")),
+    }
+    before = tables.orders.filter(first_batch()).withColumns(open_before)
+    old_type = F.when(late, F.lower("product_type")).otherwise(F.col("product_type"))
+    products_before = tables.products.withColumn("product_type", old_type)
+    nothing = tables.orders.limit(0)
+    kept = written(sums.changes(before, nothing, products_before, products_before))
+    change = written(
+        sums.changes(
+            tables.orders.filter(late),
+            before.filter(late),
+            tables.products,
+            products_before,
+            tables.orders.filter(~late),
+            written(sums.retyped(tables.products, products_before)),
+        )
+    )
+    renewed = tables.customers.filter(late).select("customer_id")
+    theirs = kept.select(*R.GROUP).distinct().join(renewed, "customer_id", "left_semi")
+    touched = written(change.select(*R.GROUP).unionByName(theirs).distinct())
+    figures = sums.figures_of(written(sums.applied(kept, change)), touched)
+    return R.with_customers(figures, tables.customers, AS_OF)
+
+
+def _with_renewed_products(spark, sf_dir) -> Warehouse:
+    """Two loads of other lines; the second's products come in another category than before."""
+    orders, customers = feeds(spark, sf_dir)
+    root = f"{shared_folder(spark)}/warehouse-{uuid.uuid4().hex}"
+    warehouse = Warehouse(spark, root).create()
+    policy = Policy(on_conflict=LATEST, only_if_changed=True, order_by=("id",))
+    old = F.concat("product_type", F.lit(" (old)"))
+    early = orders.filter("id % 3 <> 0").withColumn("product_type", old)
+    increment(warehouse, early, customers, FIRST_LOAD, AS_OF, policy)
+    increment(warehouse, orders.filter("id % 3 = 0"), customers, SECOND_LOAD, AS_OF, policy)
+    return warehouse
+
+
+def increment_renewed_products(spark, sf_dir):
+    warehouse = _with_renewed_products(spark, sf_dir)
+    return warehouse.read(REPORT_TABLE, warehouse.snapshot()).drop("id")
+
+
+def product_months(spark, sf_dir):
+    """The stored months in which each product was sold."""
+    warehouse = _with_renewed_products(spark, sf_dir)
+    tables = warehouse.tables()
+    sold = tables[PRODUCT_MONTHS_TABLE.name].join(tables[PRODUCTS_TABLE.name], "product_id")
+    return sold.select(*PRODUCTS_TABLE.keys, "order_month")
+
+
 def datamart_insert_new(spark, sf_dir):
     """Rows the second load adds to the report."""
     tables = star(spark, sf_dir)
@@ -475,6 +581,7 @@ QUERIES: dict[str, Query] = {
     "completion_days": completion_days,
     "report_period": report_period,
     "surrogate_keys": surrogate_keys,
+    "surrogate_keys_dense": surrogate_keys_dense,
     "merge_products": merge_products,
     "merge_craftsmen": merge_craftsmen,
     "merge_customers": merge_customers,
@@ -487,6 +594,8 @@ QUERIES: dict[str, Query] = {
     "check_orphans": check_orphans,
     "check_keys": check_keys,
     "check_parents": check_parents,
+    "check_load": check_load,
+    "stored_types": stored_types,
     "read_watermark": read_watermark,
     "advance_watermark": advance_watermark,
     "delta_changed_orders": delta_changed_orders,
@@ -507,9 +616,12 @@ QUERIES: dict[str, Query] = {
     "report_as_written": report_as_written,
     "report_full": report_full,
     "report_incremental": report_incremental,
+    "report_incremental_sums": report_incremental_sums,
     "datamart_insert_new": datamart_insert_new,
     "datamart_update_existing": datamart_update_existing,
     "increment_two_batches": increment_two_batches,
     "load_log": load_log,
     "increment_overlapping_batches": increment_overlapping_batches,
+    "increment_renewed_products": increment_renewed_products,
+    "product_months": product_months,
 }

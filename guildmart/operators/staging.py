@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from guildmart.functions import building, building_digits, street, word
+from guildmart.operators.spread import join_unique
 from guildmart.schemas import STAGING, WAREHOUSE, conform
 
 REASON = "reject_reason"
@@ -35,7 +36,7 @@ def build_staging(
     it, so that only their raw text is shuffled. A building number that does not fit is an error, or
     left NULL, for ``reject_reason`` to name, if not ``strict``.
     """
-    lines = orders_feed.join(split_person(customers_feed, "customer", strict), "customer_id")
+    lines = join_unique(orders_feed, split_person(customers_feed, "customer", strict), ["customer_id"])
     return conform(split_person(lines, "craftsman", strict), STAGING)
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from guildmart.functions import month_of
-from guildmart.operators import delta
+from guildmart.operators import delta, quality
 from guildmart.operators.rekey import rekey
 from guildmart.operators.sizing import BROADCAST_BYTES, broadcast_small, total_bytes
 from guildmart.operators.staging import REASON, build_staging, reject_reason, require_complete
@@ -49,13 +49,15 @@ from guildmart.sources.warehouse import WHOLE, Part, Snapshot, Warehouse, digest
 class Policy:
     """How a load treats conflicting, unchanged and incomplete rows.
 
-    ``order_by`` names the staging columns that say which of several source rows is the latest.
+    ``order_by`` names the staging columns that say which of several source rows is the latest. A
+    ``checked`` load is not committed if what it wrote breaks a key, a parent or a NOT NULL rule.
     """
 
     on_conflict: str = ERROR
     only_if_changed: bool = False
     strict: bool = True
     order_by: tuple[str, ...] = ("id",)
+    checked: bool = False
 
     def ordered(self, staging: DataFrame) -> DataFrame:
         if self.on_conflict != LATEST:
@@ -368,7 +370,23 @@ class Load:
         log = self.warehouse.read(LOG_TABLE, self.before).unionByName(conform(row, LOG_TABLE.schema)).coalesce(1)
         self._write(LOG_TABLE, log, {WHOLE}, highest=self.load_id)
 
+    def violations(self) -> DataFrame:
+        """The rules that the parts written by this run break, read back from storage."""
+        parents = {t.name: self.table(t) for t in DIMENSIONS}
+        found = []
+        for table, (parts, _) in self.written.items():
+            state = self._state(table)
+            fresh = self.warehouse.read(table, state, parts)
+            rest = self.warehouse.read(table, state, set(state.of(table)) - set(parts))
+            found.append(quality.load_violations(table, fresh, rest, parents))
+        result = found[0]
+        for one in found[1:]:
+            result = result.unionByName(one)
+        return result
+
     def commit(self, marks: dict[str, int] | None = None) -> None:
+        if self.policy.checked and self.written and (broken := self.violations().limit(5).collect()):
+            raise ValueError(f"load {self.load_id} breaks rules: {[tuple(row) for row in broken]}")
         self.warehouse.commit(self.load_id, self.attempt, self.written, marks, self.before.last_load)
 
 

@@ -1,0 +1,244 @@
+"""Key parts: what a load rewrites and reads, commits that were begun and never ended, and refused rows."""
+
+from __future__ import annotations
+
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from checks.tables import AS_OF, feeds
+from guildmart.operators.upsert import KEEP_FIRST
+from guildmart.plans.loads import Load, Policy, increment, rebuild
+from guildmart.schemas import (
+    CRAFTSMEN_TABLE,
+    CUSTOMERS_TABLE,
+    DIMENSIONS,
+    LOG_TABLE,
+    ORDERS_TABLE,
+    PRODUCT_MONTHS_TABLE,
+    PRODUCTS_TABLE,
+    REPORT_TABLE,
+    SUMS_TABLE,
+)
+from guildmart.sources.warehouse import Warehouse
+from tests.samples import ANN, BOB, customers_feed, order_feed_row, orders_feed
+from tests.test_loads import recomputed, report_rows, rows
+
+CHANGED = Policy(on_conflict=KEEP_FIRST, only_if_changed=True)
+
+
+def batch(spark, *lines):
+    return orders_feed(spark, *lines), customers_feed(spark, ANN, BOB)
+
+
+@pytest.fixture(scope="module")
+def loaded(spark, sf_dir, tmp_path_factory):
+    """The test tables in parts of 100 rows."""
+    warehouse = Warehouse(spark, str(tmp_path_factory.mktemp("parts") / "warehouse"), part_rows=100).create()
+    orders, customers = feeds(spark, sf_dir)
+    increment(warehouse, orders, customers, "2024-01-01 00:00:00", AS_OF, CHANGED)
+    return warehouse, orders, customers
+
+
+def test_parts_follow_the_rows_and_ids_stay(spark, sf_dir, loaded):
+    warehouse, orders, customers = loaded
+    before = warehouse.snapshot()
+    assert len(before.of(CUSTOMERS_TABLE)) >= 2 and max(before.bits(ORDERS_TABLE).values()) >= 0
+    assert report_rows(warehouse) == recomputed(warehouse)
+    ids = rows(warehouse, CUSTOMERS_TABLE, "customer_id", "customer_email")
+
+    # one customer moves, ordering what was ordered before
+    one = orders.filter(F.col("id") == orders.agg(F.min("id")).first()[0])
+    moved = customers.withColumn("customer_address", F.concat(F.lit("9"), "customer_address"))
+    increment(warehouse, one, moved, "2024-01-02 00:00:00", AS_OF, CHANGED)
+    after = warehouse.snapshot()
+    rewritten = {t.name: [p for p, part in after.of(t).items() if part.load == 2] for t in DIMENSIONS}
+    assert rewritten == {"products": [], "craftsmen": [], "customers": rewritten["customers"]}
+    assert len(rewritten["customers"]) == 1
+    assert not [p for p, part in after.of(ORDERS_TABLE).items() if part.load == 2]
+    assert rows(warehouse, CUSTOMERS_TABLE, "customer_id", "customer_email") == ids
+    assert report_rows(warehouse) == recomputed(warehouse)
+    # the report's parts of other customers stay where they were
+    spread = {p.rpartition("/")[2] for p, part in after.of(REPORT_TABLE).items() if part.load == 2}
+    assert spread and all(part.load == 1 for p, part in after.of(REPORT_TABLE).items() if p.rpartition("/")[2] not in spread)
+
+
+def test_one_late_order_rewrites_one_part(spark, loaded):
+    warehouse, orders, customers = loaded
+    before = warehouse.snapshot()
+    last = orders.agg(F.max("id")).first()[0]
+    again = orders.filter(F.col("id") == last).withColumn("order_status", F.lit("returned"))
+    increment(warehouse, again, customers, "2024-01-03 00:00:00", AS_OF, CHANGED)
+    after = warehouse.snapshot()
+    for table in (ORDERS_TABLE, SUMS_TABLE):
+        assert [part.load for part in after.of(table).values()].count(after.last_load) == 1
+        assert set(after.of(table)) == set(before.of(table))
+    assert report_rows(warehouse) == recomputed(warehouse)
+
+
+def test_a_month_that_grows_is_dealt_out_anew(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "warehouse"), part_rows=4).create()
+    for day in (1, 2, 3):
+        lines = [order_feed_row(day * 10 + n, product_name=f"{day} {n}", customer_id=1 + n % 2) for n in range(4)]
+        increment(warehouse, *batch(spark, *lines), f"2024-01-0{day} 00:00:00", AS_OF, CHANGED)
+        assert len(set(rows(warehouse, ORDERS_TABLE, "order_id"))) == 4 * day
+        assert len(rows(warehouse, ORDERS_TABLE)) == 4 * day
+    snapshot = warehouse.snapshot()
+    assert snapshot.bits(ORDERS_TABLE) == {"2023-01": 2}
+    assert {p for p in snapshot.of(ORDERS_TABLE)} == {f"2023-01/2-{k}" for k in range(4)}
+    assert snapshot.rows(ORDERS_TABLE) == {"2023-01": 12}
+    assert report_rows(warehouse) == recomputed(warehouse)
+    rebuild(warehouse, "2024-01-09 00:00:00", AS_OF)
+    assert report_rows(warehouse) == recomputed(warehouse)
+
+
+def test_stamps_and_counts_in_the_record_are_those_of_the_rows(loaded):
+    warehouse, *_ = loaded
+    snapshot = warehouse.snapshot()
+    for table in (*DIMENSIONS, ORDERS_TABLE):
+        frame = warehouse.read(table, snapshot)
+        newest, count = frame.agg(F.max("load_dttm"), F.count("*")).first()
+        assert snapshot.newest([table]) == newest
+        assert sum(snapshot.rows(table).values()) == count
+
+
+def renewed(spark, tmp_path):
+    """A product sold in two of three months comes in another category; nothing else is new."""
+    warehouse = Warehouse(spark, str(tmp_path / "warehouse")).create()
+    lines = [order_feed_row(n, product_name=f"p{n % 2}", product_price=5, order_created_date=date(2023, n, 5)) for n in (1, 2, 3)]
+    increment(warehouse, *batch(spark, *lines), "2024-01-01 00:00:00", AS_OF, CHANGED)
+    load = Load(warehouse, "2024-01-02 00:00:00", AS_OF, CHANGED)
+    line = order_feed_row(3, product_name="p1", product_price=5, order_created_date=date(2023, 3, 5), product_type="other")
+    staging = load.stage(*batch(spark, line))
+    load.dimensions(staging)
+    load.orders(staging)
+    return warehouse, load
+
+
+def test_a_renewed_product_reads_only_the_months_that_sold_it(spark, tmp_path):
+    warehouse, load = renewed(spark, tmp_path)
+    change = load._change()
+    read = {f.split("order_month=")[1][:7] for f in change.inputFiles() if "/orders/" in f}
+    assert read == {"2023-01", "2023-03"}
+    moved = {(r.report_period, r.item, r.count_order) for r in change.collect()}
+    assert moved == {(m, t, n) for m in ("2023-01", "2023-03") for t, n in (("other", 1), ("toys", -1))}
+    load.report()
+    load.commit()
+    assert report_rows(warehouse) == recomputed(warehouse)
+    assert {r[1] for r in rows(warehouse, REPORT_TABLE, "report_period", "top_product_category")} == {"other", "toys"}
+
+
+def test_the_report_reads_orders_of_parts_since_the_mark_and_their_previous_versions(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "warehouse")).create()
+    lines = [order_feed_row(n, order_created_date=date(2023, n, 5)) for n in (1, 2, 3)]
+    increment(warehouse, *batch(spark, *lines), "2024-01-01 00:00:00", AS_OF, CHANGED)
+    load = Load(warehouse, "2024-01-02 00:00:00", AS_OF, CHANGED)
+    done = order_feed_row(2, order_created_date=date(2023, 2, 5), order_status="done", order_completion_date=date(2023, 2, 9))
+    staging = load.stage(*batch(spark, done))
+    load.dimensions(staging)
+    load.orders(staging)
+    change = load._change()
+    read = sorted(f.split("/orders/")[1].split("/part-")[0].split("-")[0] + f.split("order_month=")[1][:7] for f in change.inputFiles() if "/orders/" in f)
+    assert read == ["load=12023-02", "load=22023-02"]
+    changed = {(r.kind, r.item, r.count_order, r.count_order_done) for r in change.collect()}
+    assert ("days", "4", 1, 0) in changed and all(kind != "craftsman" for kind, *_ in changed)
+
+
+def test_months_that_sold_a_product_are_noted_once(spark, tmp_path):
+    warehouse, load = renewed(spark, tmp_path)
+    load.report()
+    load.commit()
+    sold = warehouse.read(PRODUCT_MONTHS_TABLE, warehouse.snapshot())
+    orders = warehouse.read(ORDERS_TABLE, warehouse.snapshot())
+    wanted = orders.select("product_id", F.date_format("order_created_date", "yyyy-MM").alias("order_month")).distinct()
+    assert sorted(sold.collect()) == sorted(wanted.collect())
+
+
+def test_a_commit_that_was_begun_and_never_ended_blocks_nothing(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "warehouse")).create()
+    (tmp_path / "warehouse" / "_commits" / "load=1" / "_temporary" / "0").mkdir(parents=True)
+    increment(warehouse, *batch(spark, order_feed_row(1)), "2024-01-01 00:00:00", AS_OF)
+    assert warehouse.snapshot().last_load == 2
+    assert len(rows(warehouse, ORDERS_TABLE)) == 1
+    increment(warehouse, *batch(spark, order_feed_row(2)), "2024-01-02 00:00:00", AS_OF)
+    assert [r[0] for r in rows(warehouse, LOG_TABLE)] == [2, 3]
+    assert report_rows(warehouse) == recomputed(warehouse)
+
+
+def test_a_load_opened_beside_a_begun_commit_is_refused_if_that_one_ends_first(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "warehouse")).create()
+    first = Load(warehouse, "2024-01-01 00:00:00", AS_OF)
+    begun = tmp_path / "warehouse" / "_commits" / "load=1" / "_temporary"
+    begun.mkdir(parents=True)
+    second = Load(warehouse, "2024-01-01 00:00:00", AS_OF)
+    assert (first.load_id, second.load_id) == (1, 2)
+    begun.rmdir()
+    begun.parent.rmdir()
+    for load in (first, second):
+        staging = load.stage(*batch(spark, order_feed_row(load.load_id)))
+        load.dimensions(staging)
+    first.commit()
+    with pytest.raises(RuntimeError, match="another load"):
+        second.commit()
+    assert warehouse.snapshot().last_load == 1
+
+
+def test_refused_rows_are_read_from_the_committed_attempt(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "warehouse")).create()
+    lines = batch(spark, order_feed_row(1), order_feed_row(2, craftsman_name="Carl"))
+    broken = Load(warehouse, "2024-01-01 00:00:00", AS_OF, Policy(strict=False))
+    broken.stage(*lines)
+    increment(warehouse, *lines, "2024-01-01 00:00:00", AS_OF, Policy(strict=False))
+    assert [r.reject_reason for r in warehouse.rejected().collect()] == ["craftsman_surname"]
+    with pytest.raises(ValueError, match="not committed"):
+        warehouse.rejected(7)
+
+
+def test_directories_that_nothing_refers_to_are_listed(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "warehouse")).create()
+    increment(warehouse, *batch(spark, order_feed_row(1)), "2024-01-01 00:00:00", AS_OF)
+    assert warehouse.unreferenced().collect() == []
+    attempt = warehouse.attempt_of(1)
+    increment(warehouse, *batch(spark, order_feed_row(1, order_status="done")), "2024-01-02 00:00:00", AS_OF)
+    left = {r.folder for r in warehouse.unreferenced().collect()}
+    assert f"orders/load=1-{attempt}" in left and f"load_log/load=1-{attempt}" in left
+    assert f"product_months/load=1-{attempt}" not in left
+
+
+def test_a_checked_load_that_breaks_a_rule_is_not_committed(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "warehouse")).create()
+    checked = Policy(checked=True)
+    increment(warehouse, *batch(spark, order_feed_row(1)), "2024-01-01 00:00:00", AS_OF, checked)
+    load = Load(warehouse, "2024-01-02 00:00:00", AS_OF, checked)
+    orders = warehouse.read(ORDERS_TABLE, load.before)
+    load._write(ORDERS_TABLE, orders.unionByName(orders).withColumn("product_id", F.lit(77).cast("bigint")), {"2023-01/0-0"})
+    assert {r.rule for r in load.violations().collect()} == {"unique order_id", "unique key", "parent products"}
+    with pytest.raises(ValueError, match="breaks rules"):
+        load.commit()
+    assert warehouse.snapshot().last_load == 1
+
+
+def test_a_part_written_with_another_type_is_named(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "warehouse")).create()
+    increment(warehouse, *batch(spark, order_feed_row(1)), "2024-01-01 00:00:00", AS_OF)
+    assert warehouse.stored_types().filter("not (stored_type <=> contract_type)").collect() == []
+    load = Load(warehouse, "2024-01-02 00:00:00", AS_OF)
+    craftsmen = warehouse.read(CRAFTSMEN_TABLE, load.before)
+    wrong = craftsmen.withColumn("craftsman_address_building", F.col("craftsman_address_building").cast("string"))
+    load._write(CRAFTSMEN_TABLE, wrong, {"0-0"})
+    load.commit()
+    (found,) = warehouse.stored_types().filter("not (stored_type <=> contract_type)").collect()
+    assert tuple(found) == ("craftsmen", 2, "craftsman_address_building", "string", "int")
+
+
+def test_products_of_any_load_are_where_their_key_says(loaded):
+    """Reading one part by its keys' digest finds every row of these keys."""
+    from guildmart.sources.warehouse import key_part
+
+    warehouse, *_ = loaded
+    snapshot = warehouse.snapshot()
+    for part in snapshot.of(PRODUCTS_TABLE):
+        frame = warehouse.read(PRODUCTS_TABLE, snapshot, [part])
+        places = frame.select(key_part(PRODUCTS_TABLE, F.lit(""), snapshot.bits(PRODUCTS_TABLE))).distinct().collect()
+        assert [r[0] for r in places] in ([part], [])
