@@ -42,17 +42,42 @@ def alnum_words(text: bytes) -> list[bytes]:
     return text.translate(_WORD_TABLE).split()
 
 
-def pack(values: np.ndarray, dtype: str) -> bytes:
-    """Compressed; the bytes of equal weight stand together, which makes small numbers small."""
+def _planes(values: np.ndarray, dtype: str) -> bytes:
+    """The bytes of equal weight stand together, which makes small numbers small."""
     raw = np.ascontiguousarray(values, dtype=dtype)
-    planes = raw.view(np.uint8).reshape(-1, raw.dtype.itemsize).T
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+    return np.ascontiguousarray(raw.view(np.uint8).reshape(-1, raw.dtype.itemsize).T).tobytes()
+
+
+def _values(raw: np.ndarray, dtype: str) -> np.ndarray:
+    return np.ascontiguousarray(raw.reshape(np.dtype(dtype).itemsize, -1).T).view(dtype).ravel()
+
+
+# One of each per worker: making them costs more than a small message.
+_PACKER, _UNPACKER = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
+def pack(values: np.ndarray, dtype: str) -> bytes:
+    return _PACKER.compress(_planes(values, dtype))
 
 
 def unpack(blob: bytes, dtype: str) -> np.ndarray:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), dtype=np.uint8)
-    size = np.dtype(dtype).itemsize
-    return np.ascontiguousarray(raw.reshape(size, -1).T).view(dtype).ravel()
+    return _values(np.frombuffer(_UNPACKER.decompress(blob), dtype=np.uint8), dtype)
+
+
+def pack_all(arrays: list[np.ndarray], dtypes: list[str]) -> bytes:
+    """Several arrays in one blob, which begins with their lengths."""
+    lengths = np.array(list(map(len, arrays)), dtype="<u4").tobytes()
+    return _PACKER.compress(lengths + b"".join(map(_planes, arrays, dtypes)))
+
+
+def unpack_all(blob: bytes, dtypes: list[str]) -> list[np.ndarray]:
+    raw = np.frombuffer(_UNPACKER.decompress(blob), dtype=np.uint8)
+    at, arrays = 4 * len(dtypes), []
+    for n, dtype in zip(raw[:at].view("<u4").tolist(), dtypes):
+        size = n * np.dtype(dtype).itemsize
+        arrays.append(_values(raw[at : at + size], dtype))
+        at += size
+    return arrays
 
 
 def hot_keys(counts: DataFrame, rows: int, count: str = "n") -> DataFrame:

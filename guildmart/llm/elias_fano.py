@@ -183,14 +183,14 @@ class Trie:
         place, there = heads.search(np.array([context]))
         return int(np.diff(pointers.at(place[0] + np.arange(2)))[0]) if there[0] else 0
 
-    def place(self, contexts: np.ndarray, successors: np.ndarray) -> np.ndarray:
-        """The places of pairs, -1 of those that the trie has not."""
+    def place(self, contexts: np.ndarray, successors: np.ndarray, of: np.ndarray, to: np.ndarray) -> np.ndarray:
+        """The places of the pairs (contexts[of], successors[to]), -1 of those that the trie has not."""
         heads, _, words, children, *_ = self.levels
-        result = np.full(len(contexts), -1, dtype=np.int64)
+        result = np.full(len(of), -1, dtype=np.int64)
         head, known = heads.search(contexts)
         number, there = words.search(successors)
-        asked = np.flatnonzero(known & there)
-        at, hit = children.search(head[asked] * self.universe + number[asked])
+        asked = np.flatnonzero(known[of] & there[to])
+        at, hit = children.search(head[of[asked]] * self.universe + number[to[asked]])
         result[asked[hit]] = at[hit]
         return result
 
@@ -200,12 +200,12 @@ class Trie:
         codes[places >= 0] = self.codes[places[places >= 0]]
         return codes
 
-    def counts(self, places: np.ndarray, third: np.ndarray) -> np.ndarray:
-        """Codes of the counts of what stood before the pairs, 0 where the trie has none."""
+    def counts(self, places: np.ndarray, third: np.ndarray, to: np.ndarray) -> np.ndarray:
+        """Codes of the counts of third[to] before the pairs at these places, 0 where the trie has none."""
         before, _, children = self.levels[4:]
         codes = np.zeros(len(places), dtype="<u2")
         number, there = before.search(third)
-        asked = np.flatnonzero(there & (places >= 0))
-        at, hit = children.search(places[asked] * self.third_universe + number[asked])
+        asked = np.flatnonzero(there[to] & (places >= 0))
+        at, hit = children.search(places[asked] * self.third_universe + number[to[asked]])
         codes[asked[hit]] = self.count_codes[at[hit]]
         return codes

@@ -36,13 +36,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from guildmart.llm.common import Frames, pack, unpack, utf8
+from guildmart.llm.common import Frames, pack, pack_all, unpack, unpack_all, utf8
 from guildmart.llm.elias_fano import Trie, quantise_counts, restore, restore_counts
 from guildmart.sources.warehouse import written
 
 MU = 50.0
-CHUNK_WORDS = 1_000_000
-SHARD_BYTES = 1_500_000  # of the packed texts, some 700,000 words
+CHUNK_WORDS = 1_500_000
+SHARD_BYTES = 2_500_000  # of the packed texts, some 1,200,000 words
 FOLDS, HELD_OUT = 7, 2
 CONTEXT_SHARE = 4  # a context with over 1/4 of a shard's words is spread
 # Word numbers below FIRST_WORD: the context of a first word, and all words of no training document.
@@ -65,7 +65,12 @@ def _chunks(docs: DataFrame) -> DataFrame:
 
     def one(rows: list[tuple], hashes: _Hashes) -> dict:
         all_hashes = np.concatenate([h for *_, h in rows])
-        words, numbers = np.unique(all_hashes, return_inverse=True)
+        words, numbers, times = np.unique(all_hashes, return_inverse=True, return_counts=True)
+        # The chunk's most frequent words get the smallest numbers, which pack best.
+        order = np.argsort(-times, kind="stable")
+        rank = np.empty(len(words), dtype=np.uint32)
+        rank[order] = np.arange(len(words))
+        words, numbers = words[order], rank[numbers]
         hashes.clear()
         return {
             "chunk": rows[0][0],
@@ -208,35 +213,42 @@ class _Chunk:
         self.shards = sorted({*self.pairs_of, *self.triples_of})
 
     def messages(self):
-        """One message per shard. A pair that is there for its triples only counts nothing."""
+        """(shard, message): see ``_MESSAGE``. A pair that is there for its triples only counts nothing."""
         learnt = np.repeat(self.held == 0, self.lengths)
         learnt2 = np.bincount(self.pair, weights=learnt, minlength=len(self.heads))
         learnt3 = np.bincount(self.triple, weights=learnt[self.later], minlength=len(self.before))
         nothing = np.empty(0, dtype=np.int64)
         for shard in self.shards:
-            own, third = self.pairs_of.get(shard, nothing), self.triples_of.get(shard, nothing)
-            listed = np.union1d(own, self.of_pair[third])
-            counted = np.zeros(len(listed))
-            counted[np.searchsorted(listed, own)] = learnt2[own]
-            heads, at = np.unique(self.heads[listed], return_index=True)
+            listed, third = self.pairs_of.get(shard, nothing), self.triples_of.get(shard, nothing)
+            parents, own = self.of_pair[third], np.ones(len(listed), dtype=bool)
+            at = np.searchsorted(listed, parents)
+            guests = np.append(listed, -1)[at] != parents
+            if guests.any():
+                every = np.union1d(listed, parents)
+                own = np.zeros(len(every), dtype=bool)
+                own[np.searchsorted(every, listed)] = True
+                listed = every
+            new = np.append(True, self.heads[listed][1:] != self.heads[listed][:-1])[: len(listed)]
+            first = np.flatnonzero(new)
+            heads = self.heads[listed[first]]
             tails, number = np.unique(self.tails[listed], return_inverse=True)
             before, third_number = np.unique(self.before[third], return_inverse=True)
-            ends = np.searchsorted(self.of_pair[third], listed)
-            yield {
-                "shard": shard,
-                "heads": pack(self.ids[heads], "<u8"),
-                "head_counts": pack(self.counts[heads], "<u8"),
-                "runs": pack(np.diff(np.append(at, len(listed))), "<u4"),
-                "tails": pack(self.ids[tails], "<u8"),
-                "tail_counts": pack(self.counts[tails], "<u8"),
-                "numbers": pack(number, "<u4"),
-                "learnt": pack(counted, "<u4"),
-                "before": pack(self.ids[before], "<u8"),
-                "before_runs": pack(np.diff(np.append(ends, len(third))), "<u4"),
-                "before_numbers": pack(third_number, "<u4"),
-                "before_learnt": pack(learnt3[third], "<u4"),
-                "own": pack(np.isin(listed, own), "u1"),
-            }
+            ends = np.searchsorted(parents, listed)
+            message = [
+                np.diff(self.ids[heads], prepend=0),
+                self.counts[heads],
+                np.diff(np.append(first, len(listed))),
+                np.diff(self.ids[tails], prepend=0),
+                self.counts[tails],
+                number,
+                np.where(own, learnt2[listed], 0),
+                own,
+                np.diff(self.ids[before], prepend=0),
+                np.diff(np.append(ends, len(third))),
+                third_number,
+                learnt3[third],
+            ]
+            yield shard, message
 
 
 def _by_shard(shard: np.ndarray, shards: int) -> dict[int, np.ndarray]:
@@ -252,28 +264,18 @@ def _send_pairs(numbered: DataFrame, shards: int, total: int, starts: int) -> Da
     def send(frames: Frames) -> Frames:
         for frame in frames:
             for row in frame.itertuples():
-                for message in _Chunk(row, shards, total, starts).messages():
-                    yield pd.DataFrame([{"chunk": row.chunk, **message}]).reindex(columns=[c.split()[0] for c in _MESSAGE])
-
-    return numbered.mapInPandas(send, ", ".join(_MESSAGE))
-
-
-_MESSAGE = [
-    "shard int",
-    "chunk bigint",
-    "heads binary",
-    "head_counts binary",
-    "runs binary",
-    "tails binary",
-    "tail_counts binary",
-    "numbers binary",
-    "learnt binary",
-    "before binary",
-    "before_runs binary",
-    "before_numbers binary",
-    "before_learnt binary",
-    "own binary",
-]
+                for shard, message in _Chunk(row, shards, total, starts).messages():
+                    yield pd.DataFrame({"shard": [shard], "chunk": [row.chunk], "message": [pack_all(message, _MESSAGE)]})
+
+    return numbered.mapInPandas(send, "shard int, chunk bigint, message binary")
+
+
+# Of a message: the distinct first words (differences of their numbers, in order) with their counts and
+# numbers of pairs; the distinct second words alike; each pair's second word, training count, and whether
+# it is answered here; the distinct words before pairs; each pair's number of triples; each triple's word
+# before and training count.
+_MESSAGE = ["<i8", "<u8", "<u4", "<i8", "<u8", "<u4", "<u4", "u1", "<i8", "<u4", "<u4", "<u4"]
+_ANSWER = ["<u2", "<u2", "<u2"]
 
 
 def smoothed(pair: np.ndarray, context: np.ndarray, word: np.ndarray, unit: int) -> np.ndarray:
@@ -281,78 +283,76 @@ def smoothed(pair: np.ndarray, context: np.ndarray, word: np.ndarray, unit: int)
     return np.log10((pair + MU * (word + 1) / unit) / (context + MU))
 
 
-class _Message:
-    """The entries of a message: pairs as places of its words, and triples as places of its pairs."""
+class _Messages:
+    """The entries of a shard's messages, one after another: pairs as places of words in the messages' own
+    lists of them, triples as places of pairs and words."""
 
-    def __init__(self, m) -> None:
-        self.heads, self.tails, self.third = (unpack(b, "<u8").astype(np.int64) for b in (m.heads, m.tails, m.before))
-        self.head_counts, self.tail_counts = (unpack(b, "<u8").astype(np.int64) for b in (m.head_counts, m.tail_counts))
-        self.head = np.repeat(np.arange(len(self.heads)), unpack(m.runs, "<u4"))
-        self.tail, self.learnt = unpack(m.numbers, "<u4"), unpack(m.learnt, "<u4").astype(np.int64)
-        self.pair = np.repeat(np.arange(len(self.tail)), unpack(m.before_runs, "<u4"))
-        self.before, self.before_learnt = unpack(m.before_numbers, "<u4"), unpack(m.before_learnt, "<u4").astype(np.int64)
-        self.own = unpack(m.own, "u1") > 0
+    def __init__(self, blobs) -> None:
+        parts = [unpack_all(b, _MESSAGE) for b in blobs]
 
-    def pairs(self, at=slice(None)) -> tuple[np.ndarray, np.ndarray]:
-        return self.heads[self.head[at]], self.tails[self.tail[at]]
+        def joined(column: int, dtype=np.int64) -> np.ndarray:
+            return np.concatenate([p[column] for p in parts]).astype(dtype)
 
+        def numbers(column: int) -> np.ndarray:
+            return np.concatenate([np.cumsum(p[column]) for p in parts])
 
-def _summed(columns: tuple[np.ndarray, np.ndarray], values: list[np.ndarray], times: np.ndarray):
-    """Distinct rows of two columns in order, what ``values`` say of them, and the sums of ``times``."""
-    first, second = columns
+        def shifted(column: int, by: list[int]) -> np.ndarray:
+            ends = np.cumsum([0, *by[:-1]])
+            return np.concatenate([p[column].astype(np.int64) + end for p, end in zip(parts, ends)])
+
+        self.heads, self.tails, self.third = numbers(0), numbers(3), numbers(8)
+        self.head_counts, self.tail_counts = joined(1), joined(4)
+        self.head = np.repeat(np.arange(len(self.heads)), joined(2))
+        self.tail = shifted(5, [len(p[3]) for p in parts])
+        self.learnt, self.own = joined(6), joined(7, bool)
+        self.pair = np.repeat(np.arange(len(self.tail)), joined(9))
+        self.before = shifted(10, [len(p[8]) for p in parts])
+        self.before_learnt = joined(11)
+        # Where each message's own pairs and triples end.
+        self.pair_ends = np.cumsum([int(p[7].sum()) for p in parts])
+        self.triple_ends = np.cumsum([len(p[10]) for p in parts])
+
+
+def _distinct(first: np.ndarray, second: np.ndarray, times: np.ndarray):
+    """Where the distinct rows of two columns are, in order; the place of each row among them; and the sums
+    of ``times``."""
     order = np.lexsort((second, first))
-    first, second = first[order], second[order]
     new = np.ones(len(order), dtype=bool)
-    new[1:] = (first[1:] != first[:-1]) | (second[1:] != second[:-1])
-    at = np.flatnonzero(new)
-    sums = np.bincount(np.cumsum(new) - 1, weights=times[order], minlength=len(at))
-    return first[at], second[at], [v[order[at]] for v in values], sums
+    new[1:] = (np.diff(first[order]) != 0) | (np.diff(second[order]) != 0)
+    place = np.empty(len(order), dtype=np.int64)
+    place[order] = np.cumsum(new) - 1
+    return order[new], place, np.bincount(place, weights=times, minlength=int(new.sum())).astype(np.int64)
 
 
-def _trie(messages: list[_Message], unit: int) -> tuple[Trie, np.ndarray]:
+def _trie(m: _Messages, unit: int) -> tuple[Trie, np.ndarray]:
     """The trie of a shard and the counts of its pairs. Pairs that count nothing here hold triples only."""
-    parts = []
-    for m in messages:
-        used = m.learnt > 0
-        used[m.pair[m.before_learnt > 0]] = True
-        at = np.flatnonzero(used)
-        parts.append((*m.pairs(at), m.head_counts[m.head[at]], m.tail_counts[m.tail[at]], m.learnt[at]))
-    contexts, words, head_counts, tail_counts, learnt = (np.concatenate(c) for c in zip(*parts))
-    del parts
-    contexts, words, (head_counts, tail_counts), counts = _summed((contexts, words), [head_counts, tail_counts], learnt)
-    logs = smoothed(counts, head_counts, tail_counts, unit)
-    del head_counts, tail_counts, learnt
-    # The pairs' places are found in a trie without triples, as they will be later.
-    none = np.empty(0, dtype=np.int64)
-    pairs = Trie(contexts, words, logs, none, none, none)
-    third = []
-    for m in messages:
-        at = np.flatnonzero(m.before_learnt)
-        parents = pairs.place(*m.pairs())[m.pair[at]]
-        third.append((parents, m.third[m.before[at]], m.before_learnt[at]))
-    parents, before, times = (np.concatenate(c) for c in zip(*third))
-    del third, pairs
-    parents, before, _, times = _summed((parents, before), [], times)
-    return Trie(contexts, words, logs, parents, before, times), counts
+    learnt = np.flatnonzero(m.before_learnt)
+    used = m.learnt > 0
+    used[m.pair[learnt]] = True
+    at = np.flatnonzero(used)
+    contexts, words = m.heads[m.head[at]], m.tails[m.tail[at]]
+    rows, place, counts = _distinct(contexts, words, m.learnt[at])
+    contexts, words, of = contexts[rows], words[rows], at[rows]
+    logs = smoothed(counts, m.head_counts[m.head[of]], m.tail_counts[m.tail[of]], unit)
+    places = np.full(len(used), -1, dtype=np.int64)
+    places[at] = place
+    parents, before = places[m.pair[learnt]], m.third[m.before[learnt]]
+    rows, _, times = _distinct(parents, before, m.before_learnt[learnt])
+    return Trie(contexts, words, logs, parents[rows], before[rows], times), counts
 
 
 def _look_up(unit: int):
     def look_up(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        messages = [_Message(m) for m in frame.itertuples()]
-        trie, counts = _trie(messages, unit)
-        heights = quantise_counts(np.maximum(counts, 1))
-        heights[counts == 0] = 0
-        answers = []
-        while messages:
-            m = messages.pop(0)
-            places = trie.place(*m.pairs())
-            found = places >= 0
-            height = np.zeros(len(places), dtype="<u2")
-            height[found] = heights[places[found]]
-            third = trie.counts(places[m.pair], m.third[m.before])
-            answers.append((pack(trie.probabilities(places)[m.own], "<u2"), pack(height[m.own], "<u2"), pack(third, "<u2")))
-        codes, heights, thirds = zip(*answers)
-        return pd.DataFrame({"chunk": frame.chunk, "shard": int(key[0]), "codes": codes, "counts": heights, "thirds": thirds})
+        m = _Messages(frame.message)
+        trie, counts = _trie(m, unit)
+        places = trie.place(m.heads, m.tails, m.head, m.tail)
+        thirds = trie.counts(places[m.pair], m.third, m.before)
+        places = places[m.own]
+        heights = np.where(counts > 0, quantise_counts(np.maximum(counts, 1)), 0).astype("<u2")
+        height = np.where(places >= 0, np.append(heights, 0)[places], 0)
+        pairs = zip(np.split(trie.probabilities(places), m.pair_ends[:-1]), np.split(height, m.pair_ends[:-1]))
+        answers = [pack_all([*p, t], _ANSWER) for p, t in zip(pairs, np.split(thirds, m.triple_ends[:-1]))]
+        return pd.DataFrame({"chunk": frame.chunk, "shard": int(key[0]), "codes": answers})
 
     return look_up
 
@@ -367,11 +367,10 @@ def _sum_documents(found: DataFrame, shards: int, total: int, kinds: int, starts
                 one = _Chunk(row, shards, total, starts)
                 codes, heights = (np.zeros(len(one.heads), dtype="<u2") for _ in range(2))
                 thirds = np.zeros(len(one.before), dtype="<u2")
+                nothing = np.empty(0, dtype=np.int64)
                 for part in row.codes:
-                    if len(own := one.pairs_of.get(part["shard"], ())):
-                        codes[own], heights[own] = unpack(part["codes"], "<u2"), unpack(part["counts"], "<u2")
-                    if len(own := one.triples_of.get(part["shard"], ())):
-                        thirds[own] = unpack(part["thirds"], "<u2")
+                    own, third = (x.get(part["shard"], nothing) for x in (one.pairs_of, one.triples_of))
+                    codes[own], heights[own], thirds[third] = unpack_all(part["codes"], _ANSWER)
                 backoff = smoothed(np.zeros(len(codes)), one.counts[one.heads], one.counts[one.tails], unit)
                 logs = np.where(codes > 0, restore(codes), backoff)[one.pair]
                 contexts = restore_counts(heights)[one.pair]
@@ -420,9 +419,7 @@ def score(docs: DataFrame, held_out) -> DataFrame:
     by_chunk = answers.groupBy("chunk").agg(F.collect_list(F.struct("shard", "ids", "counts")).alias("answers"))
     numbered = chunks.join(by_chunk.hint("merge"), "chunk")
     messages = _send_pairs(numbered, shards, total, starts)
-    looked_up = messages.groupBy("shard").applyInPandas(
-        _look_up(total + kinds + 1), "chunk bigint, shard int, codes binary, counts binary, thirds binary"
-    )
-    codes = looked_up.groupBy("chunk").agg(F.collect_list(F.struct("shard", "codes", "counts", "thirds")).alias("codes"))
+    looked_up = messages.groupBy("shard").applyInPandas(_look_up(total + kinds + 1), "chunk bigint, shard int, codes binary")
+    codes = looked_up.groupBy("chunk").agg(F.collect_list(F.struct("shard", "codes")).alias("codes"))
     found = numbered.join(codes.hint("merge"), "chunk")
     return _sum_documents(found, shards, total, kinds, starts).withColumn("train_tokens", F.lit(total).cast("bigint"))

@@ -100,12 +100,11 @@ def test_a_hot_pair_is_one_entry_per_chunk():
             for k, n in ((0, 100_000), (1, 1))
         ],
     )
-    sent = list(N._Chunk(row, shards, 100_001, 1).messages())
+    sent = [N.unpack_all(N.pack_all(m, N._MESSAGE), N._MESSAGE) for _, m in N._Chunk(row, shards, 100_001, 1).messages()]
     # After the start, after the hot word and the end: three pairs. After the start or the hot word: three triples.
-    assert sum(N.unpack(m["own"], "u1").sum() for m in sent) == 3
-    learnt = [n for m in sent for n, own in zip(N.unpack(m["learnt"], "<u4"), N.unpack(m["own"], "u1")) if own]
-    assert sorted(learnt) == [1, 1, 99_999]
-    assert sorted(n for m in sent for n in N.unpack(m["before_learnt"], "<u4").tolist()) == [1, 1, 99_998]
+    assert sum(m[7].sum() for m in sent) == 3
+    assert sorted(n for m in sent for n, own in zip(m[6].tolist(), m[7].tolist()) if own) == [1, 1, 99_999]
+    assert sorted(n for m in sent for n in m[11].tolist()) == [1, 1, 99_998]
 
 
 def test_a_hot_pair_over_many_chunks_equals_plain_model(spark, monkeypatch):
@@ -144,7 +143,7 @@ def test_trie(pairs, triples):
     logs, counts = np.array([pairs[k] for k in keys]), np.array([triples[k] for k in below], dtype=np.int64)
     trie = Trie(column(keys, 0), column(keys, 1), logs, column(below, 0), column(below, 1), counts)
     contexts, words = (x.ravel() for x in np.meshgrid(np.arange(42), np.arange(62)))
-    places = trie.place(contexts, words)
+    places = trie.place(np.arange(42), np.arange(62), contexts, words)
     codes = trie.probabilities(places)
     for a, b, place, code in zip(contexts.tolist(), words.tolist(), places.tolist(), codes):
         assert place == (keys.index((a, b)) if (a, b) in pairs else -1)
@@ -152,7 +151,7 @@ def test_trie(pairs, triples):
         assert not code or restore(np.array([code]))[0] == pytest.approx(pairs[a, b], abs=LOWEST / STEPS)
     assert [trie.children(c) for c in range(42)] == [sum(k[0] == c for k in keys) for c in range(42)]
     asked, before = (x.ravel() for x in np.meshgrid(np.arange(-1, len(keys)), np.arange(32)))
-    for a, b, n in zip(asked.tolist(), before.tolist(), restore_counts(trie.counts(asked, before)).tolist()):
+    for a, b, n in zip(asked.tolist(), before.tolist(), restore_counts(trie.counts(asked, np.arange(32), before)).tolist()):
         assert n == pytest.approx(triples.get((a, b), 0), rel=6e-4)
 
 
