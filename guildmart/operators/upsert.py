@@ -6,10 +6,11 @@ from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from guildmart.operators.keys import assign_ids, highest_id
-from guildmart.schemas import Table, conform
+from guildmart.operators.keys import BUCKETS, assign_ids, bucket, highest_id
+from guildmart.schemas import Table, assign, conform
 
 ERROR, KEEP_FIRST, LATEST = "error", "keep_first", "latest"
 POLICIES = (ERROR, KEEP_FIRST, LATEST)
@@ -38,42 +39,58 @@ def one_per_key(
     repeated in a third of all rows costs one row per task and variant. A row with a NULL in its key
     matches nothing, so it is told apart by its values too and kept.
     """
-    if on_conflict not in POLICIES:
-        raise ValueError(f"unknown conflict policy: {on_conflict}")
-    if on_conflict == LATEST and ORDER not in rows.columns:
-        raise ValueError(f"the policy {LATEST} needs columns that order the source rows")
-    no_match = F.lit(False)
-    for key in keys:
-        no_match = no_match | F.col(key).isNull()
+    _check_policy(rows, on_conflict)
     value = F.struct(*values)
-    counted = [F.count(F.lit(1)).alias("_rows")]
     if on_conflict == LATEST:
-        counted.append(F.max(ORDER).alias(ORDER))
         aggregates = [F.max(F.struct(ORDER, "_value"))["_value"].alias("_first")]
     else:
         aggregates = [F.min("_value").alias("_first")]
     if on_conflict == ERROR:
         aggregates.append(F.max("_value").alias("_last"))
     reduced = (
-        rows.groupBy(*keys, *values)
-        .agg(*counted)
-        # Always true. Without a use of the count the optimizer would drop the aggregation above as
-        # redundant and sort all source rows in the next one.
-        .filter("_rows > 0")
-        .withColumns({"_value": value, "_apart": F.when(no_match, value)})
+        _distinct_rows(rows, keys, values, on_conflict)
+        .withColumns({"_value": value, "_apart": F.when(_no_match(keys), value)})
         .groupBy(*keys, "_apart")
         .agg(*aggregates)
     )
     if on_conflict == ERROR:
-        shown = F.to_json(F.struct(*keys))
-        reduced = reduced.filter(
-            F.when(F.col("_first").eqNullSafe(F.col("_last")), True).otherwise(
-                F.raise_error(F.concat(F.lit("several source rows for one key: "), shown))
-            )
-        )
+        reduced = reduced.filter(_one_value(keys, F.col("_first"), F.col("_last")))
     return reduced.select(*keys, "_first.*")
 
 
+def _check_policy(rows: DataFrame, on_conflict: str) -> None:
+    if on_conflict not in POLICIES:
+        raise ValueError(f"unknown conflict policy: {on_conflict}")
+    if on_conflict == LATEST and ORDER not in rows.columns:
+        raise ValueError(f"the policy {LATEST} needs columns that order the source rows")
+
+
+def _no_match(keys: Sequence[str]) -> Column:
+    """Whether a key column is missing."""
+    missing = F.lit(False)
+    for key in keys:
+        missing = missing | F.col(key).isNull()
+    return missing
+
+
+def _distinct_rows(rows: DataFrame, keys: Sequence[str], values: Sequence[str], on_conflict: str) -> DataFrame:
+    """The distinct source rows, with the latest place of each if that decides."""
+    counted = [F.count(F.lit(1)).alias("_rows")]
+    if on_conflict == LATEST:
+        counted.append(F.max(ORDER).alias(ORDER))
+    # The filter is always true. Without a use of the count the optimizer would drop the aggregation as
+    # redundant and sort all source rows in the next one.
+    return rows.groupBy(*keys, *values).agg(*counted).filter("_rows > 0").drop("_rows")
+
+
+def _one_value(keys: Sequence[str], first: Column, last: Column) -> Column:
+    """True, or an error that names the key if its source rows differ."""
+    shown = F.to_json(F.struct(*keys))
+    return F.when(first.eqNullSafe(last), True).otherwise(
+        F.raise_error(F.concat(F.lit("several source rows for one key: "), shown))
+    )
+
+
 def updated(
     target: DataFrame,
     rows: DataFrame,
@@ -138,23 +155,79 @@ def merge_single(
 ) -> DataFrame:
     """New state of ``target`` after loading ``rows``, which hold at most one row per key.
 
-    A left and an anti join let either side be broadcast, which a full outer join would rule out;
-    keys are unique on both sides, so neither join can be skewed. If ``rows`` are known to be
-    ``small``, the target is not shuffled at all: it is only ever filtered by them. ``start``
-    overrides the highest id in use, for a target given in part.
+    If ``rows`` are known to be ``small``, the target is not shuffled at all: it is only ever filtered
+    by them, and a left and an anti join broadcast either side. Else both sides are shuffled once, see
+    ``_merged``. ``start`` overrides the highest id in use, for a target given in part.
     """
-    news, known = rows, target
-    if small:
-        news = F.broadcast(rows)
-        matched = target.join(news.select(*table.keys), list(table.keys), "left_semi")
-        known = F.broadcast(matched.select(*table.keys))
     if start is None:
         start = highest_id(target, table.id_col)
+    if not small:
+        return _merged(target, rows, table, load_ts, KEEP_FIRST, only_if_changed, start)
+    news = F.broadcast(rows)
+    matched = target.join(news.select(*table.keys), list(table.keys), "left_semi")
+    known = F.broadcast(matched.select(*table.keys))
     return updated(target, news, table, load_ts, only_if_changed).unionByName(
         inserted(known, rows, table, load_ts, start)
     )
 
 
+def _merged(
+    target: DataFrame,
+    rows: DataFrame,
+    table: Table,
+    load_ts: datetime | str,
+    on_conflict: str,
+    only_if_changed: bool,
+    start: Column,
+) -> DataFrame:
+    """Target and distinct source rows, put together by the buckets that ids are given in.
+
+    Both are shuffled once, by their bucket alone. Matching, the choice between conflicting rows and
+    the ids of new rows are windows inside it, over one sort, so that neither side is computed or moved
+    again for any of them. A row with a NULL in its key neither matches nor conflicts.
+    """
+    keys, values = list(table.keys), list(table.update_cols)
+    stamped = "load_dttm" in table.schema.names
+    order = [ORDER] if on_conflict == LATEST else []
+    old = target.select(*table.schema.names, F.lit(False).alias("_fresh"))
+    fresh = _in_types_of(rows, target, keys + values).select(*keys, *values, *order, F.lit(True).alias("_fresh"))
+    both = old.unionByName(fresh, allowMissingColumns=True).withColumn("_bucket", bucket(keys)).repartition("_bucket")
+
+    # of one key the target's rows come first, then the source's from the smallest
+    first = W.partitionBy("_bucket", *keys).orderBy("_fresh", *values)
+    whole = first.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    value, is_fresh = F.struct(*values), F.col("_fresh")
+    news = {"_n": F.row_number().over(first)}
+    if on_conflict == LATEST:
+        news["_new"] = F.max(F.when(is_fresh, F.struct(ORDER, value.alias("value")))).over(whole)["value"]
+    else:
+        news["_new"] = F.min(F.when(is_fresh, value)).over(whole)
+    if on_conflict == ERROR:
+        news["_last"] = F.max(F.when(is_fresh, value)).over(whole)
+    lonely = _no_match(keys)
+    both = both.withColumns(news)
+    if on_conflict == ERROR:
+        both = both.filter(lonely | _one_value(keys, F.col("_new"), F.col("_last")))
+    both = both.filter(~is_fresh | (F.col("_n") == 1) | lonely)
+
+    place = F.count(F.when(is_fresh, 1)).over(W.partitionBy("_bucket").orderBy(*keys, "_fresh", *values).rowsBetween(W.unboundedPreceding, 0))
+    new_id = start + 1 + F.col("_bucket") + (place - 1) * BUCKETS
+    matched = ~lonely & F.col("_new").isNotNull()
+    if only_if_changed:
+        matched = matched & (is_fresh | ~F.col("_new").eqNullSafe(value))
+    replaced = {c: F.when(matched, F.col(f"_new.{c}")).otherwise(F.col(c)) for c in values}
+    replaced[table.id_col] = F.when(is_fresh, new_id).otherwise(F.col(table.id_col))
+    if stamped:
+        replaced["load_dttm"] = F.when(matched | is_fresh, load_stamp(load_ts)).otherwise(F.col("load_dttm"))
+    return conform(both.select(*(replaced.get(c, F.col(c)).alias(c) for c in table.schema.names)), table.schema)
+
+
+def _in_types_of(rows: DataFrame, target: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The rows with the named columns in the target's types."""
+    types = {f.name: f.dataType for f in rows.schema.fields}
+    return rows.withColumns({n: assign(n, types[n], target.schema[n].dataType) for n in names})
+
+
 def upsert(
     target: DataFrame,
     source: DataFrame,
@@ -165,7 +238,9 @@ def upsert(
 ) -> DataFrame:
     """New state of ``target`` after loading ``source``, whose rows may repeat a key.
 
-    The source is read for both joins: write it down first if it is costly to compute.
+    Equal source rows are combined per task before any shuffle; which of several different ones stays
+    is decided where they meet the target, as ``one_per_key`` would.
     """
-    rows = one_per_key(source, table.keys, table.update_cols, on_conflict)
-    return merge_single(target, rows, table, load_ts, only_if_changed)
+    _check_policy(source, on_conflict)
+    rows = _distinct_rows(source, table.keys, table.update_cols, on_conflict)
+    return _merged(target, rows, table, load_ts, on_conflict, only_if_changed, highest_id(target, table.id_col))

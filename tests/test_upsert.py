@@ -152,3 +152,21 @@ def test_source_rows_are_hashed_before_any_sort(spark, tmp_path):
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan.strip().splitlines()[-2] or "HashAggregate" in plan.strip().splitlines()[-3], plan
     assert [tuple(row) for row in kept.collect()] == [("p", "d", 1, "x")]
+
+
+def test_a_merge_shuffles_each_side_once(spark, tmp_path):
+    """Target and source meet in one shuffle, in which conflicts, matches and ids are decided."""
+    first_load(spark, ("cup", "blue", 5, "mugs")).write.parquet(str(tmp_path / "target"))
+    source(spark, ("cup", "blue", 5, "cups")).write.parquet(str(tmp_path / "rows"))
+    target, rows = spark.read.parquet(str(tmp_path / "target")), spark.read.parquet(str(tmp_path / "rows"))
+    start = F.lit(0).cast("bigint")
+    merged = merge_single(target, rows, PRODUCTS_TABLE, LATER, start=start)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("FileScan") == 2, plan
+    assert state(merged) == [("cup", 5, "cups", LATER)]
+
+
+def test_a_target_that_repeats_a_key_keeps_all_of_its_rows(spark):
+    before = first_load(spark, ("cup", "blue", 5, "mugs"))
+    after = load(spark, before.unionByName(before), ("cup", "blue", 5, "cups"))
+    assert state(after) == [("cup", 5, "cups", LATER)] * 2
