@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from guildmart.operators.keys import dense_ids
-from guildmart.operators.spread import hot_keys, join_unique
+from guildmart.operators.spread import hot_keys, hot_places, join_unique
 from tests.test_plans import plan
 
 
@@ -65,3 +65,19 @@ def test_dense_ids_have_no_gaps_and_follow_the_keys(spark, sf_dir):
     same = spark.createDataFrame([(None, 1), (None, 1), ("k", 2)], "a string, b int")
     assert sorted(r.n for r in dense_ids(same, ["a"], "n").collect()) == [1, 2, 3]
     assert dense_ids(same.limit(0), ["a"], "n").collect() == []
+
+
+def test_rows_without_a_hot_key_are_not_dealt_out(spark, not_adaptive):
+    """No count by key is shuffled or broadcast for them."""
+    rows = spark.range(0, 60_000, 1, 8).select((F.col("id") % 60_000).alias("k"))
+    joined = join_unique(rows, spark.range(60_000).withColumnRenamed("id", "k"), ["k"], limit=0)
+    assert "SortMergeJoin" in plan(joined) and "Broadcast" not in plan(joined)
+    assert joined.count() == 60_000
+
+
+def test_keys_are_counted_together_before_they_are_counted_alone(spark):
+    places, most = hot_places(lines(spark), ["product_id"], 8)
+    assert most == 60_000 // 64 and 0 < len(places) < 64
+    even = spark.range(0, 60_000, 1, 8).withColumnRenamed("id", "product_id")
+    assert hot_places(even, ["product_id"], 8)[0] == []
+    assert hot_keys(even, ["product_id"], 8).collect() == []
