@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from guildmart.schemas import CUSTOMERS_FEED, ORDERS_FEED, conform
+from guildmart.sources.shared import written
 
 
 def read_orders_feed(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -69,7 +70,11 @@ def derived_craftsmen(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def derived_orders_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders feed made from lineitem, orders, part, supplier, nation and region."""
+    """Orders feed made from lineitem, orders, part, supplier, nation and region.
+
+    Lines and their orders, both of any size, are joined once and written, however often the feed is
+    read; without the texts, which come from the smaller tables at each reading.
+    """
     ordered = F.col("o_orderdate").cast("date")
     finished = F.date_add(ordered, (F.col("l_orderkey") % 11 + F.col("l_linenumber")).cast("int"))
     status = (
@@ -78,9 +83,12 @@ def derived_orders_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("l_linestatus") == "O", "created")
         .otherwise("in progress")
     )
+    ordered_lines = _table(spark, sf_dir, "lineitem").join(
+        _table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
+    )
+    wanted = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_linestatus")
     lines = (
-        _table(spark, sf_dir, "lineitem")
-        .join(_table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        written(ordered_lines.select(*wanted, "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus"))
         .join(_table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(_table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
     )
