@@ -105,9 +105,11 @@ class Load:
         if datetime.fromisoformat(str(self.load_ts)) <= self.mark:
             raise ValueError(f"load_ts {self.load_ts} is not after the last load, {self.mark}")
         staging = build_staging(orders_feed, customers_feed, self.policy.strict)
+        # of a strict load the rows that pass have no reason, so it is not worked out a second time
+        reason = reject_reason()
         if self.policy.strict:
-            staging = require_complete(staging)
-        written = self._kept("_staging", staging.withColumn(REASON, reject_reason()))
+            staging, reason = require_complete(staging), F.lit(None).cast("string")
+        written = self._kept("_staging", staging.withColumn(REASON, reason))
         return self.policy.ordered(written.filter(F.col(REASON).isNull()).drop(REASON))
 
     def _kept(self, name: str, frame: DataFrame) -> DataFrame:
