@@ -49,18 +49,21 @@ def _nth_set() -> np.ndarray:
 
 
 _NTH_SET = _nth_set()
+_PAIRS, _FOURS, _NIBBLES, _BYTES, _TOPS = (np.uint64(0x0101010101010101 * x) for x in (0x55, 0x33, 0x0F, 0x01, 0x80))
 
 
 def _select(words: np.ndarray, before: np.ndarray, n: np.ndarray, zeros: bool = False) -> np.ndarray:
     """The places of the n-th ones (or zeros) in words of 64 bits; ``before`` counts those before each word."""
     at = np.searchsorted(before, n, side="right") - 1
-    left = (n - before[at]).astype(np.int64)
-    parts = (~words[at] if zeros else words[at]).view(np.uint8).reshape(-1, 8)
-    ones = np.cumsum(np.bitwise_count(parts), axis=1, dtype=np.int64)
-    byte = (ones <= left[:, None]).sum(axis=1)
-    row = np.arange(len(at))
-    left -= np.where(byte > 0, ones[row, np.maximum(byte - 1, 0)], 0)
-    return at * 64 + byte * 8 + _NTH_SET[parts[row, byte], left]
+    left = (n - before[at]).astype(np.uint64)
+    bits = ~words[at] if zeros else words[at]
+    # the ones of every byte, then those of it and the lower ones, each in its byte
+    ones = bits - ((bits >> np.uint64(1)) & _PAIRS)
+    ones = (ones & _FOURS) + ((ones >> np.uint64(2)) & _FOURS)
+    ones = ((ones + (ones >> np.uint64(4))) & _NIBBLES) * _BYTES
+    byte = np.bitwise_count(((left * _BYTES | _TOPS) - ones) & _TOPS).astype(np.uint64) << np.uint64(3)
+    left -= ((ones << np.uint64(8)) >> byte) & np.uint64(255)
+    return at * 64 + byte.astype(np.int64) + _NTH_SET[(bits >> byte) & np.uint64(255), left]
 
 
 class EliasFano:
@@ -80,8 +83,9 @@ class EliasFano:
         n, top = len(values), int(values[-1]) if len(values) else 0
         bits = max(0, (top // n).bit_length() - 1) if n else 0
         if bits:
-            matrix = (values[:, None] >> np.arange(bits)) & 1
-            low = np.packbits(matrix.astype(np.uint8).ravel(), bitorder="little")
+            octets = np.ascontiguousarray(values, dtype="<i8").view(np.uint8).reshape(-1, 8)
+            matrix = np.unpackbits(octets, axis=1, count=bits, bitorder="little")
+            low = np.packbits(matrix.ravel(), bitorder="little")
         else:
             low = np.empty(0, dtype=np.uint8)
         unary = np.zeros(-(-(n + (top >> bits) + 2) // 64) * 64, dtype=np.uint8)

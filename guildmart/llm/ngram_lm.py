@@ -147,6 +147,16 @@ def _number_words(chunks: DataFrame, shards: int) -> DataFrame:
     )
 
 
+def _placed(chunks: DataFrame, shards: int) -> DataFrame:
+    """The chunks with the shards of their words, which pack, in place of the words, which do not."""
+
+    def place(frames: Frames) -> Frames:
+        for frame in frames:
+            yield frame.assign(words=[pack(unpack(b, "<u8") % np.uint64(shards), "<u8") for b in frame.words])
+
+    return chunks.mapInPandas(place, chunks.schema)
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -171,6 +181,24 @@ def triple_shards(pair_shard: np.ndarray, counts: np.ndarray, before: np.ndarray
     return ((pair_shard.astype(np.uint64) + _mixed(before) % spread) % np.uint64(shards)).astype(np.int64)
 
 
+def _unique(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values, of 0 and more, in order, and each one's place among them.
+
+    One sort of values that carry where they stood, several times as fast as one of their places.
+    """
+    if not len(values):
+        return values, np.empty(0, dtype=np.int64)
+    bits = len(values).bit_length()
+    if int(values.max()).bit_length() + bits > 63:
+        return np.unique(values, return_inverse=True)
+    both = np.sort((values << bits) | np.arange(len(values)))
+    found = both >> bits
+    new = np.append(True, found[1:] != found[:-1])
+    place = np.empty(len(values), dtype=np.int64)
+    place[both & ((1 << bits) - 1)] = np.cumsum(new) - 1
+    return found[new], place
+
+
 class _Chunk:
     """A chunk's texts as numbers in its dictionary, which is in order of the word numbers, its distinct
     pairs, and its distinct triples as a pair and the word before it."""
@@ -192,14 +220,14 @@ class _Chunk:
         kinds, first = len(ids) + 1, np.cumsum(self.lengths) - self.lengths
         context = np.roll(self.words, 1)
         context[first] = len(ids)
-        pairs, pair = np.unique(context * kinds + self.words, return_inverse=True)
+        pairs, pair = _unique(context * kinds + self.words)
         self.pair = pair.astype(np.uint32)
         self.heads, self.tails = np.divmod(pairs, kinds)
         # A first word has no triple; all others have the context of the word before them.
         self.later = np.ones(len(self.words), dtype=bool)
         self.later[first] = False
         at = np.flatnonzero(self.later)
-        triples, triple = np.unique(pair[at] * kinds + context[at - 1], return_inverse=True)
+        triples, triple = _unique(pair[at] * kinds + context[at - 1])
         self.triple = triple.astype(np.uint32)
         self.of_pair, self.before = np.divmod(triples, kinds)
         self._place(shards, total)
@@ -231,8 +259,8 @@ class _Chunk:
             new = np.append(True, self.heads[listed][1:] != self.heads[listed][:-1])[: len(listed)]
             first = np.flatnonzero(new)
             heads = self.heads[listed[first]]
-            tails, number = np.unique(self.tails[listed], return_inverse=True)
-            before, third_number = np.unique(self.before[third], return_inverse=True)
+            tails, number = _unique(self.tails[listed])
+            before, third_number = _unique(self.before[third])
             ends = np.searchsorted(parents, listed)
             message = [
                 np.diff(self.ids[heads], prepend=0),
@@ -314,14 +342,14 @@ class _Messages:
 
 
 def _distinct(first: np.ndarray, second: np.ndarray, times: np.ndarray):
-    """Where the distinct rows of two columns are, in order; the place of each row among them; and the sums
+    """Where one of each of the distinct rows of two columns is, in order; the place of each row among them; and the sums
     of ``times``."""
-    order = np.lexsort((second, first))
-    new = np.ones(len(order), dtype=bool)
-    new[1:] = (np.diff(first[order]) != 0) | (np.diff(second[order]) != 0)
-    place = np.empty(len(order), dtype=np.int64)
-    place[order] = np.cumsum(new) - 1
-    return order[new], place, np.bincount(place, weights=times, minlength=int(new.sum())).astype(np.int64)
+    first_place = _unique(first)[1]
+    seconds, second_place = _unique(second)
+    found, place = _unique(first_place * max(1, len(seconds)) + second_place)
+    rows = np.empty(len(found), dtype=np.int64)
+    rows[place] = np.arange(len(place))
+    return rows, place, np.bincount(place, weights=times, minlength=len(found)).astype(np.int64)
 
 
 def _trie(m: _Messages, unit: int) -> tuple[Trie, np.ndarray]:
@@ -417,7 +445,7 @@ def score(docs: DataFrame, held_out) -> DataFrame:
     figures = answers.select("shard", "kinds", "total").distinct().agg(F.sum("kinds").alias("kinds"), F.sum("total").alias("total")).first()
     kinds, total = int(figures.kinds or 0), int(figures.total or 0)
     by_chunk = answers.groupBy("chunk").agg(F.collect_list(F.struct("shard", "ids", "counts")).alias("answers"))
-    numbered = chunks.join(by_chunk.hint("merge"), "chunk")
+    numbered = _placed(chunks, shards).join(by_chunk.hint("merge"), "chunk")
     messages = _send_pairs(numbered, shards, total, starts)
     looked_up = messages.groupBy("shard").applyInPandas(_look_up(total + kinds + 1), "chunk bigint, shard int, codes binary")
     codes = looked_up.groupBy("chunk").agg(F.collect_list(F.struct("shard", "codes")).alias("codes"))

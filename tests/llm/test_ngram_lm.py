@@ -12,7 +12,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from guildmart.llm import ngram_lm as N
-from guildmart.llm.elias_fano import HIGHEST, LOWEST, STEPS, EliasFano, Trie, quantise, quantise_counts, restore, restore_counts
+from guildmart.llm.common import unpack
+from guildmart.llm.elias_fano import HIGHEST, LOWEST, STEPS, EliasFano, Trie, _select, quantise, quantise_counts, restore, restore_counts
 from guildmart.llm.queries import QUERIES
 from tests.llm.samples import TEXTS, edge_docs, no_docs, table_dir, texts_of
 
@@ -171,3 +172,36 @@ def test_quantised_counts():
     counts = np.unique(np.logspace(0, 15, 1000).astype(np.int64))
     assert restore_counts(quantise_counts(counts)) == pytest.approx(counts, rel=3e-4)
     assert restore_counts(np.zeros(1, dtype="<u2"))[0] == 0
+
+
+def test_distinct_values_by_one_sort_are_those_of_numpy():
+    rng = np.random.default_rng(3)
+    for top in (1, 5, 10**6, 2**62):
+        for n in (0, 1, 2, 1000):
+            values = rng.integers(0, top, n)
+            found, place = N._unique(values)
+            expected, inverse = np.unique(values, return_inverse=True)
+            assert found.tolist() == expected.tolist() and place.tolist() == inverse.tolist()
+
+
+def test_places_of_ones_and_zeros():
+    rng = np.random.default_rng(5)
+    words = np.append(rng.integers(0, 2**63, 50).astype("<u8"), np.array([0, 2**64 - 1, 1, 2**63], dtype="<u8"))
+    bits = np.unpackbits(words.view(np.uint8), bitorder="little")
+    for zeros in (False, True):
+        places = np.flatnonzero(bits == (0 if zeros else 1))
+        each = (bits.reshape(-1, 64) == (0 if zeros else 1)).sum(axis=1)
+        found = _select(words, np.cumsum(each) - each, np.arange(len(places)), zeros)
+        assert found.tolist() == places.tolist()
+
+
+def test_chunks_are_joined_without_their_words(spark):
+    """Hashes do not pack; a chunk needs its words' shards, which do, to read the answers."""
+    rows = [(n, n, False, False, bytearray(f"word{n} other word{n % 7}", "utf-8")) for n in range(40)]
+    docs = spark.createDataFrame(rows, "row long, doc_id long, missing boolean, held_out boolean, text binary")
+    chunks = N._chunks(docs)
+    placed = N._placed(chunks, 5)
+    words = {row.chunk: unpack(row.words, "<u8") for row in chunks.collect()}
+    assert max(len(w) for w in words.values()) > 5
+    for row in placed.collect():
+        assert unpack(row.words, "<u8").tolist() == (words[row.chunk] % np.uint64(5)).tolist()
