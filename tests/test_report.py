@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from guildmart.operators import sizing
 from guildmart.plans import report as R
+from guildmart.plans import sums
 from guildmart.schemas import REPORT
 from tests.samples import customers, orders, products
 
@@ -183,3 +184,17 @@ def test_as_written_rows_repeat_per_tie_and_craftsman(spark):
     }
     # customer 1 has two toys and two cups from three craftsmen over both months
     assert counted == {(1, "2023-01"): (2, 3, 6), (1, "2023-02"): (2, 3, 6), (2, "2023-01"): (1, 1, 1)}
+
+
+def test_sums_after_a_change_give_their_figures_without_another_shuffle(spark, tmp_path):
+    january = orders(spark, *((n % 3 + 1, 7, 1, JAN, None, "done") for n in range(6)))
+    goods = products(spark, {n: (f"type{n}", 10 * n) for n in (1, 2, 3)})
+    none = january.limit(0)
+    for name, frame in (("kept", january), ("change", january.filter("product_id < 3"))):
+        sums.changes(frame, none, goods, goods).write.parquet(str(tmp_path / name))
+    kept, change = (spark.read.parquet(str(tmp_path / name)) for name in ("kept", "change"))
+    found = sums.figures(sums.applied(kept, change))
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert found.first().count_order == 10
+    by_place = sums.applied(kept, change, F.lit(0)).collect()
+    assert sorted(map(str, by_place)) == sorted(map(str, sums.applied(kept, change).collect()))
