@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from guildmart.operators.sizing import is_small
+from guildmart.sources.shared import written
 
 # A key is hot if its rows are more than this share of an average task's, and is cut into pieces of it.
 PIECE = 8
@@ -40,6 +43,22 @@ def hot_keys(rows: DataFrame, keys: Sequence[str], tasks: int, found: tuple[list
     return counted.filter(F.col("_n") > most).select(*keys, pieces)
 
 
+def apart(rows: DataFrame, columns: Sequence[str], number: str) -> tuple[DataFrame, DataFrame | None]:
+    """The rows with a number in place of some columns, whose values repeat, and what the numbers stand for.
+
+    For shuffles of rows that carry much text; joined back by the number afterwards. Values as many as
+    cannot be broadcast stay in the rows.
+    """
+    values = rows.select(*columns).distinct().withColumn(number, F.monotonically_increasing_id())
+    values = written(values)  # numbers are given once
+    if not is_small(values):
+        return rows, None
+    named = values.select(number, *(F.col(c).alias(f"_{c}") for c in columns))
+    same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in columns))
+    kept = [c for c in rows.columns if c not in columns]
+    return rows.join(F.broadcast(named), same).select(*kept, number), values
+
+
 def join_unique(rows: DataFrame, unique: DataFrame, keys: Sequence[str], limit: int | None = None) -> DataFrame:
     """Inner join of ``rows`` to ``unique``, which has at most one row per key.
 
@@ -48,9 +67,14 @@ def join_unique(rows: DataFrame, unique: DataFrame, keys: Sequence[str], limit:
     ``unique`` to all of them. ``rows`` are read twice then (three times if there are hot keys), so write
     them down if they are costly.
     """
-    keys = list(keys)
     if is_small(unique, limit):
-        return rows.join(F.broadcast(unique), keys)
+        return rows.join(F.broadcast(unique), list(keys))
+    return join_dealt(rows, unique, keys)
+
+
+def join_dealt(rows: DataFrame, unique: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The shuffled way of ``join_unique``."""
+    keys = list(keys)
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = hot_places(rows, keys, tasks)
     if not found[0]:

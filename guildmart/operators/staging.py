@@ -6,11 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from guildmart.functions import building, building_digits, street, word
-from guildmart.operators.spread import join_unique
+from guildmart.operators.sizing import is_small
+from guildmart.operators.spread import apart, join_dealt
 from guildmart.schemas import STAGING, WAREHOUSE, conform
 
 REASON = "reject_reason"
 OVERFLOW = "out of range"
+CRAFTSMAN_TEXT = ("craftsman_name", "craftsman_address", "craftsman_birthday", "craftsman_email")
 
 
 def split_person(feed: DataFrame, kind: str, strict: bool = True) -> DataFrame:
@@ -33,10 +35,17 @@ def build_staging(
     """One row per order line whose customer is known.
 
     Customers are parsed before the join, once each and not once per order line; craftsmen after
-    it, so that only their raw text is shuffled. A building number that does not fit is an error, or
-    left NULL, for ``reject_reason`` to name, if not ``strict``.
+    it, so that only their raw text is shuffled: a number for it, where they are few. A building number
+    that does not fit is an error, or left NULL, for ``reject_reason`` to name, if not ``strict``.
     """
-    lines = join_unique(orders_feed, split_person(customers_feed, "customer", strict), ["customer_id"])
+    customers = split_person(customers_feed, "customer", strict)
+    if is_small(customers):
+        lines = orders_feed.join(F.broadcast(customers), "customer_id")
+    else:
+        lines, texts = apart(orders_feed, CRAFTSMAN_TEXT, "_craftsman")
+        lines = join_dealt(lines, customers, ["customer_id"])
+        if texts is not None:
+            lines = lines.join(F.broadcast(texts), "_craftsman").drop("_craftsman")
     return conform(split_person(lines, "craftsman", strict), STAGING)
 
 

@@ -3,7 +3,10 @@ from __future__ import annotations
 import pytest
 from pyspark.errors import PySparkException
 
+from guildmart.operators import sizing
+from guildmart.operators.spread import apart
 from guildmart.operators.staging import (
+    CRAFTSMAN_TEXT,
     REASON,
     accepted,
     build_staging,
@@ -61,3 +64,29 @@ def test_an_open_order_is_complete(spark):
     lines = staged(spark, [ANN], order_feed_row(1, order_completion_date=None))
     assert rejected(lines).count() == 0
     assert require_complete(lines).count() == 1
+
+
+def test_lines_are_shuffled_without_their_craftsmen_texts(spark, monkeypatch, tmp_path):
+    """Shuffled to many customers, a line carries a number for them; missing texts match each other."""
+    people = [(n, f"Ann Lee{n}", f"{n} Main St") for n in range(1, 29)]
+    feeds = (
+        orders_feed(
+            spark,
+            *(order_feed_row(n, customer_id=n % 30) for n in range(60)),
+            *(order_feed_row(n, craftsman_name=None, craftsman_birthday=None) for n in range(60, 63)),
+            order_feed_row(63, craftsman_name="Eve Ray", craftsman_id=1),
+        ),
+        customers_feed(spark, *people),
+    )
+    feeds[0].write.parquet(str(tmp_path / "orders"))
+    feeds = spark.read.parquet(str(tmp_path / "orders")), feeds[1]
+    direct = build_staging(*feeds).collect()
+    monkeypatch.setattr(sizing, "BROADCAST_BYTES", 1000)
+    shuffled = build_staging(*feeds)
+    assert sorted(map(str, shuffled.collect())) == sorted(map(str, direct)) and len(direct) == 60
+    plan = shuffled._jdf.queryExecution().executedPlan().toString()
+    assert "_craftsman" in plan, plan
+    lines, texts = apart(feeds[0], CRAFTSMAN_TEXT, "_craftsman")
+    assert not {*CRAFTSMAN_TEXT} & {*lines.columns} and texts.count() == 3
+    monkeypatch.setattr(sizing, "BROADCAST_BYTES", 10)
+    assert apart(feeds[0], CRAFTSMAN_TEXT, "_craftsman") == (feeds[0], None)
