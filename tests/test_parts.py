@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from checks.tables import AS_OF, feeds
 from guildmart.operators.upsert import KEEP_FIRST
+from guildmart.plans import loads
 from guildmart.plans.loads import Load, Policy, increment, rebuild
 from guildmart.schemas import (
     CRAFTSMEN_TABLE,
@@ -242,3 +243,34 @@ def test_products_of_any_load_are_where_their_key_says(loaded):
         frame = warehouse.read(PRODUCTS_TABLE, snapshot, [part])
         places = frame.select(key_part(PRODUCTS_TABLE, F.lit(""), snapshot.bits(PRODUCTS_TABLE))).distinct().collect()
         assert [r[0] for r in places] in ([part], [])
+
+
+def test_large_loads_write_parts_without_a_second_shuffle(spark, sf_dir, tmp_path, monkeypatch):
+    """Both loads as if nothing were small, parts cut into pieces for the tasks."""
+    orders, customers = feeds(spark, sf_dir)
+    written, reports = [], []
+    for name in ("small", "large"):
+        if name == "large":
+            monkeypatch.setattr(loads, "BROADCAST_BYTES", -1)
+            monkeypatch.setattr(loads, "TASK_ROWS", 40)
+            monkeypatch.setattr(Warehouse, "write", noted(Warehouse.write, written))
+        warehouse = Warehouse(spark, str(tmp_path / name), part_rows=100).create()
+        policy = Policy(on_conflict=KEEP_FIRST)
+        for day, part in ((1, "id % 3 <> 0"), (2, "id % 2 = 0")):
+            increment(warehouse, orders.filter(part), customers, f"2024-01-0{day} 00:00:00", AS_OF, policy)
+        reports.append(report_rows(warehouse))
+        tables = warehouse.tables()
+        for table in (ORDERS_TABLE, REPORT_TABLE):
+            ids = tables[table.name].agg(F.count(table.id_col).alias("n"), F.count_distinct(table.id_col).alias("ids")).first()
+            assert ids.n == ids.ids == tables[table.name].count()
+    assert reports[0] == reports[1]
+    assert [name for name, together in written if together].count(ORDERS_TABLE.name) == 2
+    assert (SUMS_TABLE.name, True) in written and (REPORT_TABLE.name, True) in written
+
+
+def noted(write, calls):
+    def wrapped(self, table, load_id, attempt, frame, parts, together=False):
+        calls.append((table.name, together))
+        return write(self, table, load_id, attempt, frame, parts, together)
+
+    return wrapped

@@ -170,3 +170,17 @@ def test_a_target_that_repeats_a_key_keeps_all_of_its_rows(spark):
     before = first_load(spark, ("cup", "blue", 5, "mugs"))
     after = load(spark, before.unionByName(before), ("cup", "blue", 5, "cups"))
     assert state(after) == [("cup", 5, "cups", LATER)] * 2
+
+
+def test_a_merge_can_put_rows_together_as_they_are_written(spark):
+    """Same rows, ids of their own, and each place in one partition."""
+    before = first_load(spark, *((f"p{n}", "d", n, "t") for n in range(50)))
+    rows = source(spark, *((f"p{n}", "d", n, "u") for n in range(40, 90)))
+    start = F.lit(10**9).cast("bigint")
+    place = F.pmod(F.col("product_price"), F.lit(3)).cast("bigint")
+    merged = merge_single(before, rows, PRODUCTS_TABLE, LATER, start=start, places=(place, 3))
+    assert state(merged) == state(merge_single(before, rows, PRODUCTS_TABLE, LATER, start=start))
+    ids = [row.product_id for row in merged.collect()]
+    assert len(ids) == len(set(ids)) == 90
+    at = merged.select(place.alias("place"), F.spark_partition_id().alias("task")).distinct().collect()
+    assert sorted(row.place for row in at) == [0, 1, 2]
