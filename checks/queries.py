@@ -510,7 +510,7 @@ def datamart_insert_new(spark, sf_dir):
 def datamart_update_existing(spark, sf_dir):
     """The first load's rows as the second load leaves them."""
     tables = star(spark, sf_dir)
-    before = _report_before(tables)
+    before = written(_report_before(tables))
     target = before.withColumn("id", F.lit(0).cast("bigint"))
     rows = updated(target, _recomputed(tables, before), REPORT_TABLE, SECOND_LOAD)
     return rows.select(*REPORT.names)

@@ -114,3 +114,9 @@ def test_small_news_leave_the_target_where_it_is(spark, sf_dir, no_broadcast):
     )
     text = plan(frame)
     assert not re.search(r"Exchange hashpartitioning\(product_id#\d+L, craftsman_id#\d+L, cust", text)
+
+
+def test_the_report_before_is_computed_once(spark, sf_dir):
+    """As the target and for the months that are touched."""
+    medians = plan(QUERIES["report_full"](spark, sf_dir)).count("percentile(")
+    assert medians and plan(QUERIES["datamart_update_existing"](spark, sf_dir)).count("percentile(") == medians
