@@ -120,3 +120,9 @@ def test_the_report_before_is_computed_once(spark, sf_dir):
     """As the target and for the months that are touched."""
     medians = plan(QUERIES["report_full"](spark, sf_dir)).count("percentile(")
     assert medians and plan(QUERIES["datamart_update_existing"](spark, sf_dir)).count("percentile(") == medians
+
+
+def test_new_rows_are_found_by_one_report_before(spark, sf_dir):
+    """Its pairs are written, for the months that are touched and as the target."""
+    tops = plan(QUERIES["report_full"](spark, sf_dir)).count("WindowGroupLimit")
+    assert tops and plan(QUERIES["datamart_insert_new"](spark, sf_dir)).count("WindowGroupLimit") == tops
