@@ -177,7 +177,8 @@ def monthly_figures(orders: DataFrame, products: DataFrame) -> DataFrame:
     """All figures per customer and month: measures, median and the two top entries.
 
     Sums are taken per category first, from which both the totals and the top category follow, so
-    that orders meet products once. Median and craftsman need no product.
+    that orders meet products once. Median and craftsman need no product. Both join as aggregates by the
+    group, one row each, so that whoever wants neither does not shuffle orders for them.
     """
     totals = ["total", "priced", "count_order", *STATUSES, "count_order_not_done"]
     most_ordered = F.min(F.struct(-F.col("count_order"), F.col("product_type").alias("value")))
@@ -188,11 +189,12 @@ def monthly_figures(orders: DataFrame, products: DataFrame) -> DataFrame:
         .groupBy(*GROUP)
         .agg(*(F.sum(c).alias(c) for c in totals), most_ordered.alias("_most_ordered"))
         .withColumns({**price_columns(), "top_product_category": F.col("_most_ordered.value")})
+        .dropna(subset=list(GROUP))
     )
     months = order_months(orders)
-    craftsman = top_craftsman(months).drop("count_product")
+    craftsman = top_craftsman(months).groupBy(*GROUP).agg(F.min("top_craftsman").alias("top_craftsman"))
     median = median_completion(months.filter(F.col("days").isNotNull()))
-    return measures.join(craftsman, list(GROUP)).join(median, list(GROUP), "left")
+    return measures.join(craftsman, list(GROUP), "left").join(median, list(GROUP), "left")
 
 
 def with_customers(figures: DataFrame, customers: DataFrame, as_of: date | str) -> DataFrame:

@@ -126,3 +126,11 @@ def test_new_rows_are_found_by_one_report_before(spark, sf_dir):
     """Its pairs are written, for the months that are touched and as the target."""
     tops = plan(QUERIES["report_full"](spark, sf_dir)).count("WindowGroupLimit")
     assert tops and plan(QUERIES["datamart_insert_new"](spark, sf_dir)).count("WindowGroupLimit") == tops
+
+
+def test_pairs_of_the_report_count_no_craftsmen(spark, sf_dir, no_broadcast):
+    tables = star(spark, sf_dir)
+    report = R.customer_report(tables.orders, tables.products, tables.customers, AS_OF)
+    assert "Window" in plan(report)
+    pairs = plan(report.select(*R.GROUP))
+    assert "Window" not in pairs and "craftsman_id" not in pairs

@@ -81,6 +81,19 @@ def test_an_age_that_does_not_fit_fails(spark):
         frame.collect()
 
 
+def test_orders_without_customer_or_month_have_no_row(spark):
+    found = orders(spark, (1, 1, 1, JAN, None, "done"), (1, 1, 2, JAN, None, "done"), (1, 1, 3, JAN, None, "done"))
+    gone = {
+        "customer_id": F.when(F.col("customer_id") != 2, F.col("customer_id")),
+        "order_created_date": F.when(F.col("order_id") != 3, F.col("order_created_date")),
+        "craftsman_id": F.lit(None).cast("bigint"),
+    }
+    frame = R.customer_report(found.withColumns(gone), products(spark, {1: ("toys", 5)}), customers(spark, 1, 2, 3), AS_OF)
+    row = only(frame)
+    assert (row.customer_id, row.report_period, row.top_craftsman) == (1, "2023-01", None)
+    assert [tuple(r) for r in frame.select(*R.GROUP).collect()] == [(1, "2023-01")]
+
+
 def random_case(seed):
     rng = random.Random(seed)
     prices = {n: (rng.choice(["toys", "cups", "hats"]), rng.randint(1, 999)) for n in range(1, 21)}
