@@ -88,7 +88,7 @@ def derived_orders_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     wanted = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_linestatus")
     lines = (
-        written(ordered_lines.select(*wanted, "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus"))
+        written(ordered_lines.select(*wanted, "o_custkey", "o_orderdate", "o_orderstatus"))
         .join(_table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(_table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
     )
@@ -102,7 +102,7 @@ def derived_orders_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("p_brand").alias("product_description"),
             F.col("p_type").alias("product_type"),
             F.round(F.col("p_retailprice") * 10).cast("bigint").alias("product_price"),
-            F.col("o_orderkey").alias("order_id"),
+            F.col("l_orderkey").alias("order_id"),
             ordered.alias("order_created_date"),
             F.when(F.col("o_orderstatus") == "F", finished).alias("order_completion_date"),
             status.alias("order_status"),

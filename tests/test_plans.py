@@ -134,3 +134,8 @@ def test_pairs_of_the_report_count_no_craftsmen(spark, sf_dir, no_broadcast):
     assert "Window" in plan(report)
     pairs = plan(report.select(*R.GROUP))
     assert "Window" not in pairs and "craftsman_id" not in pairs
+
+
+def test_lines_of_the_feed_are_written_with_one_order_key(spark, sf_dir):
+    text = plan(QUERIES["scan_orders_feed"](spark, sf_dir))
+    assert "l_orderkey" in text and "o_orderkey" not in text
