@@ -19,7 +19,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from guildmart.functions import commission, days_between, mean_price, money, month_of, whole_years
-from guildmart.operators.sizing import is_small
+from guildmart.operators.sizing import is_small, unless_large
 from guildmart.schemas import CUSTOMERS_TABLE, REPORT, conform
 
 # The order states that are counted one by one.
@@ -32,6 +32,8 @@ STATUSES = {
 DONE = "done"
 
 GROUP = ("customer_id", "report_period")
+# Products of more bytes are not broadcast, however few of their columns a plan reads in the end.
+PRODUCT_BYTES = 256 * 1024 * 1024
 
 
 def order_months(orders: DataFrame) -> DataFrame:
@@ -50,7 +52,7 @@ def order_months(orders: DataFrame) -> DataFrame:
 def order_lines(orders: DataFrame, products: DataFrame) -> DataFrame:
     """Orders with month, days to completion, price and category; nothing else is carried on."""
     priced = products.select("product_id", "product_type", "product_price")
-    return order_months(orders).join(priced, "product_id")
+    return order_months(orders).join(unless_large(priced, PRODUCT_BYTES), "product_id")
 
 
 def status_sums() -> list[Column]:
